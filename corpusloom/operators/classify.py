@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.columns import argmax
@@ -18,6 +18,14 @@ ALPHA = 1.0
 SVM_C = 0.1
 SVM_MAX_ITER = 1000
 HEAD_WEIGHT_DECAY = 0.01
+ROWS_PER_PARTITION = 5_000
+
+
+def weighted_sum(features: str, weights: list[float]) -> Column:
+    """Sum of value times weight over a sparse row."""
+    table = constant_array(weights)
+    parts = F.zip_with(F.col(f"{features}.indices"), F.col(f"{features}.values"), lambda i, v: v * table[i])
+    return F.aggregate(parts, F.lit(0.0), lambda acc, v: acc + v)
 
 
 @dataclass(frozen=True)
@@ -48,9 +56,7 @@ class NaiveBayes:
         """
         scores = []
         for prior, logp in zip(self.log_prior, self.log_prob):
-            weights = constant_array(logp)
-            parts = F.zip_with(F.col(f"{features}.indices"), F.col(f"{features}.values"), lambda i, v, w=weights: v * w[i])
-            scores.append(F.lit(prior) + F.aggregate(parts, F.lit(0.0), lambda acc, v: acc + v))
+            scores.append(F.lit(prior) + weighted_sum(features, logp))
         labels = F.array(*[F.lit(c) for c in self.classes])
         scored = docs.withColumn("scores", F.array(*scores))
         return scored.withColumn(column, labels[argmax(F.col("scores"))])
@@ -114,6 +120,8 @@ def fit_linear_svm(
 ) -> LinearSVCModel:
     """Linear SVM; ``c`` is the inverse regularization per training row."""
     n_rows = vectors.count()
+    # Every iteration is a job over the training rows; partitions of few rows would only add overhead.
+    vectors = vectors.coalesce(max(1, n_rows // ROWS_PER_PARTITION))
     svm = LinearSVC(
         labelCol=label, featuresCol=features, predictionCol="prediction", maxIter=max_iter,
         regParam=1.0 / (c * n_rows), standardization=False,
@@ -126,9 +134,8 @@ def fit_linear_svm(
 
 def predict_linear_svm(model: LinearSVCModel, docs: DataFrame, features: str, column: str = "prediction") -> DataFrame:
     """Class 1 where the weighted sum of the sparse row plus the intercept is positive."""
-    weights = constant_array([float(w) for w in model.coefficients.toArray()])
-    parts = F.zip_with(F.col(f"{features}.indices"), F.col(f"{features}.values"), lambda i, v: v * weights[i])
-    margin = F.aggregate(parts, F.lit(0.0), lambda acc, v: acc + v) + F.lit(float(model.intercept))
+    coefficients = [float(w) for w in model.coefficients.toArray()]
+    margin = weighted_sum(features, coefficients) + F.lit(float(model.intercept))
     return docs.withColumn("margin", margin).withColumn(column, F.when(F.col("margin") > 0, 1).otherwise(0))
 
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from corpusloom.functions.tokens import feature_tokens, ngrams, ngrams_of
 
@@ -20,6 +21,9 @@ NGRAM_RANGE = (1, 3)
 MAX_VOCABULARY = 1_000_000
 MAX_VOCABULARY_CHARS = 256 * 1024 * 1024
 
+# A list of at most this many n-grams is broadcast to filter the longer ones.
+MAX_BROADCAST_TERMS = 100_000
+
 # From this many training rows on, counting goes length by length (see ``_count_by_length``).
 STAGED_FROM_ROWS = 1_000_000
 
@@ -85,29 +89,28 @@ class Vocabulary:
         )
 
 
-def _count_terms(grams: DataFrame) -> DataFrame:
-    """``(term, df, cf)`` from one array ``g`` of terms per document.
+def _occurrences(docs: DataFrame, grams: Column) -> DataFrame:
+    """``(term, first)``: one row per n-gram occurrence; ``first`` is 1 once per document.
 
-    Sorting the array brings equal terms together, so the first of each run marks the
-    document. Both counts then come from one aggregation by term, which Spark combines
-    inside each map task: no shuffle by document, and a frequent term is not a hot key.
+    Sorting a document's array brings equal terms together, so the head of each run stands for
+    the document. Nothing is grouped by document, which would shuffle every n-gram.
     """
-    ordered = grams.select(F.sort_array("g").alias("s"))
+    ordered = docs.select(F.sort_array(grams).alias("s"))
     shifted = F.concat(F.array(F.lit(None).cast("string")), F.slice("s", F.lit(1), F.greatest(F.size("s") - 1, F.lit(0))))
     pairs = ordered.select(F.explode(F.arrays_zip(F.col("s").alias("term"), shifted.alias("prev"))).alias("z"))
-    # Without terms the shifted array still has its null head, which makes a row without a term.
-    pairs = pairs.where(F.col("z.term").isNotNull())
-    first = F.when(F.col("z.prev") == F.col("z.term"), 0).otherwise(1)
-    return (
-        pairs.select(F.col("z.term").alias("term"), first.cast("long").alias("first"))
-        .groupBy("term")
-        .agg(F.sum("first").alias("df"), F.count(F.lit(1)).alias("cf"))
-    )
+    # The shifted array of an empty document still has its null head: a row without a term.
+    first = F.when(F.col("z.prev") == F.col("z.term"), 0).otherwise(1).cast("long")
+    return pairs.where(F.col("z.term").isNotNull()).select(F.col("z.term").alias("term"), first.alias("first"))
+
+
+def _count(occurrences: DataFrame) -> DataFrame:
+    """``(term, df, cf)``. Spark combines inside each map task, so a frequent term is no hot key."""
+    return occurrences.groupBy("term").agg(F.sum("first").alias("df"), F.count(F.lit(1)).alias("cf"))
 
 
 def term_statistics(docs: DataFrame, text: str, ngram_range: tuple[int, int] = NGRAM_RANGE) -> DataFrame:
     """Document and corpus frequency of every n-gram of ``docs``."""
-    return _count_terms(docs.select(ngrams(feature_tokens(F.col(text)), *ngram_range).alias("g")))
+    return _count(_occurrences(docs, ngrams(feature_tokens(F.col(text)), *ngram_range)))
 
 
 def _best(stats: DataFrame, n_docs: int, max_features: int, min_df: int, max_df: float) -> list:
@@ -115,11 +118,6 @@ def _best(stats: DataFrame, n_docs: int, max_features: int, min_df: int, max_df:
     return kept.orderBy(F.desc("cf"), "term").limit(max_features).collect()
 
 
-def _only(tokens: Column, allowed: list[str]) -> Column:
-    """The array with every entry that is not allowed made null."""
-    return F.transform(tokens, lambda t: F.when(t.isin(allowed), t))
-
-
 def _count_by_length(
     docs: DataFrame, text: str, ngram_range: tuple[int, int],
     n_docs: int, max_features: int, min_df: int, max_df: float,
@@ -128,38 +126,36 @@ def _count_by_length(
 
     A run is never more frequent than the shorter runs inside it. Once ``max_features``
     eligible terms are known, the last of them sets a bar, and a longer run can only enter
-    if all runs inside it reach the bar. Nearly all rare 2- and 3-grams, which make up most of
-    the counting and the shuffle, are thus dropped inside the task that reads them. Ties at
+    if the runs inside it reach the bar. Nearly all rare 2- and 3-grams, which make up most of
+    the counting and the shuffle, are thus dropped by the task that reads them. Ties at
     the bar stay in, so the outcome is exact. If the runs that reach the bar are too many to
-    carry along, the next length is counted in full.
+    broadcast, the next length is counted in full.
     """
     low, high = ngram_range
-    tokens = feature_tokens(F.col(text))
-    frame = docs.select(tokens.alias("t"))
     best: list = []
-    allowed: list[str] | None = None
-    bar = 0
+    reaching: DataFrame | None = None
     for n in range(1, high + 1):
-        runs = F.col("t") if n == 1 else ngrams_of(F.col("t"), n)
-        if n > 1 and allowed is not None:
-            # Both runs of length n - 1 inside a run of length n have to be allowed.
-            inner = _only(ngrams_of(F.col("t"), n - 1), allowed)
-            count = F.greatest(F.size("t") - (n - 1), F.lit(0))
-            both = F.zip_with(
-                F.slice(inner, F.lit(1), count), F.slice(inner, F.lit(2), count),
-                lambda a, b: a.isNotNull() & b.isNotNull(),
-            )
-            runs = F.zip_with(runs, both, lambda g, ok: F.when(ok, g))
-        stats = _count_terms(frame.select(F.array_compact(runs).alias("g")))
-        found = _best(stats, n_docs, max_features, min_df, max_df) if n >= low else []
-        best = sorted(best + found, key=lambda r: (-r["cf"], r["term"]))[:max_features]
-        if n == high:
-            break
-        full = len(best) == max_features
-        bar = best[-1]["cf"] if full else 0
-        limit = 8 * max_features + 10_000
-        reach = stats.where((F.col("cf") >= bar) & (F.col("df") >= min_df)).select("term").limit(limit + 1).collect()
-        allowed = [r["term"] for r in reach] if len(reach) <= limit else None
+        rows = _occurrences(docs, ngrams_of(feature_tokens(F.col(text)), n))
+        if reaching is not None:
+            head = F.substring_index("term", " ", n - 1)
+            tail = F.substring_index("term", " ", -(n - 1))
+            rows = rows.withColumns({"head": head, "tail": tail})
+            for part in ("head", "tail"):
+                rows = rows.join(F.broadcast(reaching.withColumnRenamed("term", part)), part, "left_semi")
+            rows = rows.select("term", "first")
+        stats = _count(rows)
+        if n < high:
+            stats = stats.persist(StorageLevel.DISK_ONLY)  # read twice below
+        if n >= low:
+            best += _best(stats, n_docs, max_features, min_df, max_df)
+            best = sorted(best, key=lambda r: (-r["cf"], r["term"]))[:max_features]
+        if n < high:
+            bar = best[-1]["cf"] if len(best) == max_features else 0
+            reach = stats.where((F.col("cf") >= bar) & (F.col("df") >= min_df)).select("term")
+            terms = reach.limit(MAX_BROADCAST_TERMS + 1).collect()
+            small = len(terms) <= MAX_BROADCAST_TERMS
+            reaching = docs.sparkSession.createDataFrame(terms, "term string") if small else None
+            stats.unpersist()
     return best
 
 

@@ -319,7 +319,7 @@ def lineitem_table_report(spark, folder):
     lines = inputs.table(spark, folder, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("Unique_ID"),
         F.when(F.col("l_returnflag") == "R", "1").otherwise("0").alias("POS"),
-        F.col("l_quantity").cast("int").alias("Score"), F.col("l_shipmode").alias("Review"),
+        F.col("l_quantity").cast("int").alias("Score"), F.col("l_returnflag").alias("Review"),
     )
     return quality.table_report(lines, "train")
 
