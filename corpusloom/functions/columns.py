@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
-from pyspark.sql import DataFrame
 
-from corpusloom.functions.text import SPACE
+# Java's ``\s`` is ASCII only. This class holds the characters Python's ``str.isspace`` accepts.
+SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 
 FEATURE_PREFIX = "bow_"
 MAX_NAME_LENGTH = 80
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    An expression that is used several times inside array functions would be computed each
+    time. As the only element of an array it becomes a lambda variable instead.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def label_of_folder(folder: Column) -> Column:
     return F.when(folder == "pos", 1).otherwise(0)
 

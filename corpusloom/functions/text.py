@@ -9,8 +9,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Java's ``\s`` is ASCII only. This class holds the characters Python's ``str.isspace`` accepts.
-SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+from corpusloom.functions.columns import SPACE, let
 
 BREAK_TAG = rf"(?i)<br{SPACE}*/?>"
 ANY_TAG = r"<[^>]+>"
@@ -54,7 +53,7 @@ def decode_entities(text: Column) -> Column:
     Spark has neither as a built-in, so this is an Arrow UDF; rows that neither step could
     change are sent to it as null and keep their text, so plain text never leaves the JVM.
     """
-    changed = _unescape_nfkc(F.when(~text.rlike(PLAIN_TEXT), text))
+    changed = _unescape_nfkc(let(text, lambda t: F.when(~t.rlike(PLAIN_TEXT), t)))
     return F.coalesce(changed, text)
 
 

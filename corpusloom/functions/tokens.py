@@ -7,7 +7,9 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from corpusloom.functions.columns import let
 from corpusloom.functions.wordlists import CLITICS, LEMMAS, NEGATIONS
 
 FEATURE_TOKEN = r"[\p{L}\p{N}_]{2,}"
@@ -27,6 +29,12 @@ def feature_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(FEATURE_TOKEN), F.lit(0))
 
 
+def tokens_of(df: DataFrame, column: str) -> Column:
+    """Feature tokens of a column: made from text, or taken as they are from an array of tokens."""
+    is_array = isinstance(df.schema[column].dataType, T.ArrayType)
+    return F.col(column) if is_array else feature_tokens(F.col(column))
+
+
 def words_and_symbols(text: Column) -> Column:
     """Tokens of running text without spaces and punctuation; ``n't`` and ``'s`` stand alone."""
     text = F.translate(F.coalesce(text, F.lit("")), "’", "'")
@@ -145,18 +153,34 @@ def _starts(tokens: Column, n: int) -> Column:
     return F.greatest(F.size(tokens) - (n - 1), F.lit(0))
 
 
+def _longer(shorter: Column, tokens: Column, n: int) -> Column:
+    """Runs of ``n`` tokens from the runs of ``n - 1`` and the token after each."""
+    count = _starts(tokens, n)
+    return _join_pairs(F.slice(shorter, F.lit(1), count), F.slice(tokens, F.lit(n), count))
+
+
 def ngrams_of(tokens: Column, n: int) -> Column:
-    """All runs of exactly ``n`` tokens joined by a space; null tokens make null runs."""
-    grams = tokens
-    for size in range(2, n + 1):
-        count = _starts(tokens, size)
-        grams = _join_pairs(F.slice(grams, F.lit(1), count), F.slice(tokens, F.lit(size), count))
-    return grams
+    """All runs of exactly ``n`` tokens joined by a space."""
+
+    def build(t: Column) -> Column:
+        grams = t
+        for size in range(2, n + 1):
+            grams = _longer(grams, t, size)
+        return grams
+
+    return tokens if n == 1 else let(tokens, build)
 
 
 def ngrams(tokens: Column, low: int = 1, high: int = 3) -> Column:
     """All runs of ``low`` to ``high`` tokens, shorter runs first."""
-    return F.concat(*[ngrams_of(tokens, n) for n in range(low, high + 1)])
+
+    def extend(t: Column, runs: Column, n: int, done: tuple[Column, ...]) -> Column:
+        done = (*done, runs) if n >= low else done
+        if n == high:
+            return F.concat(*done)
+        return let(_longer(runs, t, n + 1), lambda longer: extend(t, longer, n + 1, done))
+
+    return let(tokens, lambda t: extend(t, t, 1, ()))
 
 
 def truncate_tokens(tokens: Column, max_length: int = 500) -> Column:

@@ -17,6 +17,7 @@ from corpusloom.operators.vectorize import constant_array, long_features
 ALPHA = 1.0
 SVM_C = 0.1
 SVM_MAX_ITER = 1000
+SVM_TOLERANCE = 1e-4
 HEAD_WEIGHT_DECAY = 0.01
 ROWS_PER_PARTITION = 5_000
 
@@ -124,7 +125,7 @@ def fit_linear_svm(
     vectors = vectors.coalesce(max(1, n_rows // ROWS_PER_PARTITION))
     svm = LinearSVC(
         labelCol=label, featuresCol=features, predictionCol="prediction", maxIter=max_iter,
-        regParam=1.0 / (c * n_rows), standardization=False,
+        regParam=1.0 / (c * n_rows), standardization=False, tol=SVM_TOLERANCE,
     )
     if class_weight == "balanced":
         vectors = balanced_weights(vectors, label)

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.columns import safe_name
-from corpusloom.functions.tokens import feature_tokens, ngrams
+from corpusloom.functions.columns import let, safe_name
+from corpusloom.functions.tokens import ngrams, tokens_of
 from corpusloom.operators.vocabulary import Vocabulary
 from corpusloom.session import fresh_path
 
@@ -30,11 +30,14 @@ def constant_array(values: list[float]) -> Column:
 
 
 def bow_features(docs: DataFrame, text: str, vocab: Vocabulary, column: str = "bow") -> DataFrame:
-    """``docs`` with the term counts of each document; unknown terms are dropped."""
+    """``docs`` with the term counts of each document; unknown terms are dropped.
+
+    ``text`` names a text column or an array of feature tokens.
+    """
     if not len(vocab):
         empty = F.struct(F.array().cast("array<int>").alias("indices"), F.array().cast("array<double>").alias("values"))
         return docs.withColumn(column, empty)
-    grams = docs.withColumn("_grams", ngrams(feature_tokens(F.col(text)), vocab.low, vocab.high))
+    grams = docs.withColumn("_grams", ngrams(tokens_of(docs, text), vocab.low, vocab.high))
     counter = CountVectorizerModel.from_vocabulary(vocab.terms, inputCol="_grams", outputCol="_counts")
     counted = counter.transform(grams).withColumn("_counts", F.unwrap_udt("_counts"))
     pair = F.struct(F.col("_counts.indices").alias("indices"), F.col("_counts.values").alias("values"))
@@ -47,8 +50,12 @@ def sublinear_tf(count: Column) -> Column:
 
 def l2_normalised(values: Column) -> Column:
     """Values scaled to length one; a zero vector stays as it is."""
-    norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v * v))
-    return F.when(norm > 0, F.transform(values, lambda v: v / norm)).otherwise(values)
+
+    def scale(v: Column) -> Column:
+        norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
+        return let(norm, lambda n: F.when(n > 0, F.transform(v, lambda x: x / n)).otherwise(v))
+
+    return let(values, scale)
 
 
 def tfidf_features(
@@ -57,10 +64,10 @@ def tfidf_features(
     """``docs`` with TF-IDF weights made from the counts in ``bow``."""
     idf = constant_array(vocab.idf)
     weigh = lambda i, v: (sublinear_tf(v) if sublinear else v) * idf[i]
-    raw = docs.withColumn("_raw", F.zip_with(F.col(f"{bow}.indices"), F.col(f"{bow}.values"), weigh))
-    return raw.withColumn(
-        column, F.struct(F.col(f"{bow}.indices").alias("indices"), l2_normalised(F.col("_raw")).alias("values"))
-    ).drop("_raw")
+    raw = F.zip_with(F.col(f"{bow}.indices"), F.col(f"{bow}.values"), weigh)
+    return docs.withColumn(
+        column, F.struct(F.col(f"{bow}.indices").alias("indices"), l2_normalised(raw).alias("values"))
+    )
 
 
 def long_features(docs: DataFrame, features: str, keep: list[str], value: str) -> DataFrame:
@@ -83,7 +90,7 @@ def term_counts(docs: DataFrame, text: str, key: str, ngram_range: tuple[int, in
     The documents are spread by key first, so that the aggregation by key and term needs no
     second shuffle of the much larger n-gram rows.
     """
-    grams = ngrams(feature_tokens(F.col(text)), *ngram_range)
+    grams = ngrams(tokens_of(docs, text), *ngram_range)
     spread = docs.select(key, text).repartition(key)
     return spread.select(key, F.explode(grams).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from corpusloom.functions.tokens import feature_tokens, ngrams, ngrams_of
+from corpusloom.functions.tokens import ngrams, ngrams_of, tokens_of
 
 MAX_FEATURES = 7500
 MIN_DF = 2
@@ -110,12 +110,15 @@ def _count(occurrences: DataFrame) -> DataFrame:
 
 def term_statistics(docs: DataFrame, text: str, ngram_range: tuple[int, int] = NGRAM_RANGE) -> DataFrame:
     """Document and corpus frequency of every n-gram of ``docs``."""
-    return _count(_occurrences(docs, ngrams(feature_tokens(F.col(text)), *ngram_range)))
+    return _count(_occurrences(docs, ngrams(tokens_of(docs, text), *ngram_range)))
 
 
 def _best(stats: DataFrame, n_docs: int, max_features: int, min_df: int, max_df: float) -> list:
     kept = stats.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(float(max_df)) * F.lit(float(n_docs))))
-    return kept.orderBy(F.desc("cf"), "term").limit(max_features).collect()
+    top = kept.orderBy(F.desc("cf"), "term").limit(max_features)
+    # Collecting a limit merges the best rows of every partition on the driver; with an exchange
+    # on top a task merges them, and the driver gets the final rows only.
+    return top.repartition(1).collect()
 
 
 def _count_by_length(
@@ -133,9 +136,10 @@ def _count_by_length(
     """
     low, high = ngram_range
     best: list = []
+    bar = 0
     reaching: DataFrame | None = None
     for n in range(1, high + 1):
-        rows = _occurrences(docs, ngrams_of(feature_tokens(F.col(text)), n))
+        rows = _occurrences(docs, ngrams_of(tokens_of(docs, text), n))
         if reaching is not None:
             head = F.substring_index("term", " ", n - 1)
             tail = F.substring_index("term", " ", -(n - 1))
@@ -147,7 +151,7 @@ def _count_by_length(
         if n < high:
             stats = stats.persist(StorageLevel.DISK_ONLY)  # read twice below
         if n >= low:
-            best += _best(stats, n_docs, max_features, min_df, max_df)
+            best += _best(stats.where(F.col("cf") >= bar), n_docs, max_features, min_df, max_df)
             best = sorted(best, key=lambda r: (-r["cf"], r["term"]))[:max_features]
         if n < high:
             bar = best[-1]["cf"] if len(best) == max_features else 0
@@ -169,7 +173,7 @@ def fit_vocabulary(
     ngram_range: tuple[int, int] = NGRAM_RANGE,
     staged: bool | None = None,
 ) -> Vocabulary:
-    """Vocabulary of the training rows.
+    """Vocabulary of the training rows; ``text`` is a text column or an array of feature tokens.
 
     Keeps n-grams in at least ``min_df`` documents and at most the fraction ``max_df`` of them,
     then the ``max_features`` most frequent (ties: alphabetical). ``staged`` picks the counting

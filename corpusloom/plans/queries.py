@@ -13,7 +13,7 @@ from corpusloom.functions import tokens as N
 from corpusloom.operators import classify, integrity, metrics, quality, ranking, scoring, split, vectorize
 from corpusloom.operators.vocabulary import Vocabulary, fit_vocabulary, term_statistics
 from corpusloom.plans import inputs, runner
-from corpusloom.session import fresh_path
+from corpusloom.session import fresh_path, materialise
 from corpusloom.sources import labelled_files, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,11 +35,22 @@ def _split_reviews(spark: SparkSession, folder: str) -> DataFrame:
     return split.add_validation_split(inputs.reviews(spark, folder), "doc_id", "pos")
 
 
+def _split_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Split reviews as token arrays, written once.
+
+    Fitting and vectorizing both read them, some passes more than once; the join with the
+    labels and the tokenizing are not repeated.
+    """
+    tokens = N.feature_tokens(F.col("text")).alias("tokens")
+    rows = _split_reviews(spark, folder).select("doc_id", "pos", "validation_set", tokens)
+    return materialise(rows, "split_tokens")
+
+
 def _fitted(spark: SparkSession, folder: str, **options) -> tuple[DataFrame, Vocabulary]:
     """Split reviews with their counts in ``bow``, and the vocabulary of the training rows."""
-    rows = _split_reviews(spark, folder)
-    vocab = fit_vocabulary(split.train_rows(rows), "text", **options)
-    return vectorize.bow_features(rows, "text", vocab), vocab
+    rows = _split_tokens(spark, folder)
+    vocab = fit_vocabulary(split.train_rows(rows), "tokens", **options)
+    return vectorize.bow_features(rows, "tokens", vocab).drop("tokens"), vocab
 
 
 # ---- sources and ids -------------------------------------------------------------------------
@@ -371,14 +382,14 @@ def train_term_statistics(spark, folder):
 @registered
 def vocabulary_fit(spark, folder):
     """The bounded vocabulary of the training rows."""
-    vocab = fit_vocabulary(split.train_rows(_split_reviews(spark, folder)), "text")
+    vocab = fit_vocabulary(split.train_rows(_split_tokens(spark, folder)), "tokens")
     return vocab.table(spark).select("term", "idx", "df", "cf", r6("idf"))
 
 
 @registered
 def vocabulary_fit_staged(spark, folder):
     """The same vocabulary, counted one n-gram length at a time (M1)."""
-    vocab = fit_vocabulary(split.train_rows(_split_reviews(spark, folder)), "text", staged=True)
+    vocab = fit_vocabulary(split.train_rows(_split_tokens(spark, folder)), "tokens", staged=True)
     return vocab.table(spark).select("term", "idx", "df", "cf", r6("idf"))
 
 
@@ -419,7 +430,7 @@ def tfidf_weights(spark, folder):
 @registered
 def tfidf_of_new_texts(spark, folder):
     """TF-IDF of unlabelled texts with the stored vocabulary."""
-    vocab = fit_vocabulary(split.train_rows(_split_reviews(spark, folder)), "text")
+    vocab = fit_vocabulary(split.train_rows(_split_tokens(spark, folder)), "tokens")
     new = inputs.spread(inputs.table(spark, folder, "benchmark"), "item_id")
     weighted = vectorize.tfidf_features(vectorize.bow_features(new, "text", vocab), "bow", vocab)
     long = vectorize.long_features(weighted, "tfidf", ["item_id"], "tfidf")
@@ -465,10 +476,10 @@ def top_tfidf_distinctive(spark, folder):
 @registered
 def top_preprocessed_ngrams(spark, folder):
     """Top 50 n-grams per class of the cleaned, lemmatized text."""
-    rows = inputs.reviews(spark, folder).withColumn("clean", N.preprocess_text(spark, F.col("text")))
-    rows = split.add_validation_split(rows, "doc_id", "pos")
-    vocab = fit_vocabulary(split.train_rows(rows), "clean")
-    return ranking.top_bow_total(vectorize.bow_features(rows, "clean", vocab), "bow", "pos", vocab)
+    tokens = N.feature_tokens(N.preprocess_text(spark, F.col("text"))).alias("tokens")
+    rows = materialise(_split_reviews(spark, folder).select("doc_id", "pos", "validation_set", tokens), "clean_tokens")
+    vocab = fit_vocabulary(split.train_rows(rows), "tokens")
+    return ranking.top_bow_total(vectorize.bow_features(rows, "tokens", vocab), "bow", "pos", vocab)
 
 
 # ---- models ----------------------------------------------------------------------------------
@@ -533,9 +544,11 @@ def external_model_scores(spark, folder):
 
 def _compared(spark: SparkSession, folder: str) -> DataFrame:
     docs, _, model = _naive_bayes(spark, folder)
-    scored = model.predict(split.validation_rows(docs), "bow", "mnb")
-    scored = scoring.score_batches(scored, "text", scoring.word_count_model(STANDIN_WORDS), column="external")
-    return metrics.compare_predictions(scored, "pos", {"MNB_BOW": "mnb", "EXTERNAL": "external"})
+    mnb = model.predict(split.validation_rows(docs), "bow", "mnb").select("doc_id", "mnb")
+    texts = split.validation_rows(_split_reviews(spark, folder)).select("doc_id", "pos", "text")
+    external = scoring.score_batches(texts, "text", scoring.word_count_model(STANDIN_WORDS), column="external")
+    both = external.drop("text").join(mnb, "doc_id")
+    return metrics.compare_predictions(both, "pos", {"MNB_BOW": "mnb", "EXTERNAL": "external"})
 
 
 @registered
@@ -556,7 +569,7 @@ def linear_svm_predictions(spark, folder):
     docs, vocab = _fitted(spark, folder)
     weighted = vectorize.tfidf_features(docs, "bow", vocab)
     stored = vectorize.as_vectors(split.train_rows(weighted), "tfidf", len(vocab), ["doc_id", "pos"])
-    model = classify.fit_linear_svm(stored, max_iter=100)
+    model = classify.fit_linear_svm(stored)
     return classify.predict_linear_svm(model, weighted, "tfidf").select("doc_id", "pos", "validation_set", "prediction")
 
 

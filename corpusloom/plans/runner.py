@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import light_clean
-from corpusloom.functions.tokens import preprocess_text
+from corpusloom.functions.tokens import feature_tokens, preprocess_text
 from corpusloom.operators import classify, integrity, metrics, quality, ranking, scoring, split, vectorize
 from corpusloom.operators.vocabulary import Vocabulary, fit_vocabulary
 from corpusloom.plans import inputs
@@ -65,8 +65,9 @@ class ModelRun:
     def clean(self) -> None:
         """Both tables are read many times from here on, so the cleaned text is written once."""
         for name, df in self.tables.items():
-            text = preprocess_text(self.spark, F.col("Review"))
-            self.tables[name] = self._store(df.withColumn("Review_preprocessed", text), f"{name}_clean")
+            cleaned = df.withColumn("Review_preprocessed", preprocess_text(self.spark, F.col("Review")))
+            cleaned = cleaned.withColumn("tokens", feature_tokens(F.col("Review_preprocessed")))
+            self.tables[name] = self._store(cleaned, f"{name}_clean")
 
     def clean_light(self) -> None:
         for name, df in self.tables.items():
@@ -75,13 +76,13 @@ class ModelRun:
     def bow(self) -> None:
         s = self.settings
         self.vocab = fit_vocabulary(
-            split.train_rows(self.tables["train"]), "Review_preprocessed", max_features=s.max_features,
+            split.train_rows(self.tables["train"]), "tokens", max_features=s.max_features,
             min_df=s.min_df, max_df=s.max_df, ngram_range=s.ngram_range,
         ).require_features()
         if self.out:
             self.vocab.save(self.spark, f"{self.out}/vocabulary")
         for name, df in self.tables.items():
-            counted = vectorize.bow_features(df, "Review_preprocessed", self.vocab)
+            counted = vectorize.bow_features(df, "tokens", self.vocab).drop("tokens")
             self.tables[name] = self._store(counted, f"{name}_bow")
 
     def tfidf(self) -> None:

@@ -41,9 +41,13 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def _run_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/corpusloom/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark)}/corpusloom/{name}-{uuid.uuid4().hex}"
+    """A path in this application's part of the shared folder, never used before."""
+    return f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -54,3 +58,10 @@ def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     target = path or fresh_path(df.sparkSession, name)
     df.write.parquet(target)
     return df.sparkSession.read.schema(df.schema).parquet(target)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete the tables this application has materialised without a path of its own."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
