@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions.columns import SPACE, let
 
@@ -40,7 +41,7 @@ def collapse_space(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, SPACE + "+", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape_nfkc(texts: pd.Series) -> pd.Series:
     return texts.map(
         lambda t: unicodedata.normalize("NFKC", html.unescape(t)), na_action="ignore"

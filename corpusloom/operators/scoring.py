@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BATCH_SIZE = 32
 
@@ -24,7 +25,7 @@ def score_batches(
     of scores, one row per text and one column per class. Only the text goes to Python.
     """
 
-    @F.pandas_udf("int")
+    @F.pandas_udf(T.IntegerType())
     def predict(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load_model()
         for part in parts:

@@ -202,7 +202,7 @@ def truncated_tokens(spark, folder):
 def padded_batches(spark, folder):
     """Batches of 32 documents padded to the longest one."""
     docs = inputs.documents(spark, folder).select(
-        "doc_id", F.floor(F.col("doc_id") / 32).alias("batch"), N.feature_tokens(F.col("text")).alias("tokens")
+        "doc_id", F.expr("doc_id div 32").alias("batch"), N.feature_tokens(F.col("text")).alias("tokens")
     )
     padded = C.pad_batches(docs, "tokens", "batch")
     return padded.select(
