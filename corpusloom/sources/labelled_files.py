@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +23,22 @@ def read_bytes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _binary(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
+    """``(path, length, content)`` of all files.
+
+    Spark's file sources leave out files of length zero. The scan still knows their paths, so
+    they are added back: an empty text must show up in the checks, not vanish. Contents are
+    read only where a query uses them.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(root)
+    found = reader.load(root).select("path", "length", "content")
+    listed = spark.createDataFrame([(unquote(p),) for p in found.inputFiles()], "path string")
+    one_slash = F.regexp_replace("path", "^file:/+", "file:/")
+    empty = listed.select(one_slash.alias("path")).join(found.select(one_slash.alias("path")), "path", "left_anti")
+    return found.unionByName(
+        empty.select("path", F.lit(0).cast("long").alias("length"), F.lit("").cast("binary").alias("content"))
+    )
 
 
 def read_text_files(spark: SparkSession, root: str) -> DataFrame:

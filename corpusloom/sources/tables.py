@@ -26,9 +26,12 @@ CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "encoding":
 
 
 def write_csv(df: DataFrame, path: str, quote_all: bool = False, mode: str = "errorifexists") -> None:
-    """CSV with a header; fields are quoted where needed, or all of them."""
-    writer = df.write.mode(mode).option("header", "true").option("escape", '"').option("quoteAll", str(quote_all).lower())
-    writer.csv(path)
+    """CSV with a header; fields are quoted where needed, or all of them. Space is kept."""
+    options = {
+        "header": "true", "escape": '"', "quoteAll": str(quote_all).lower(),
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    }
+    df.write.mode(mode).options(**options).csv(path)
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
