@@ -15,10 +15,13 @@ from corpusloom.functions.wordlists import CLITICS, LEMMAS, NEGATIONS
 FEATURE_TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 _CLITIC = "|".join(CLITICS)
-# A clitic that was split off is marked with U+2019, after every other U+2019 became "'".
+# Clitics are split off and marked with U+2019, after every other U+2019 became "'".
 _NEGATED = r"(\p{L})n't"
 _ATTACHED = rf"([\p{{L}}\p{{N}}])'({_CLITIC})([^\p{{L}}\p{{N}}_]|$)"
-_WORD_OR_SYMBOL = rf"n’t|’(?:{_CLITIC})|[\p{{L}}\p{{N}}_]+|\p{{S}}"
+_WORD_OR_SYMBOL = rf"n't|'(?:{_CLITIC})|[\p{{L}}\p{{N}}_]+|\p{{S}}"
+
+# Up to this many words are tested as one set before a dictionary is looked into.
+MAX_SET_WORDS = 5_000
 
 # Above this many entries a dictionary is joined instead of carried in the plan.
 MAX_INLINE_ENTRIES = 100_000
@@ -40,8 +43,9 @@ def words_and_symbols(text: Column) -> Column:
     text = F.translate(F.coalesce(text, F.lit("")), "’", "'")
     text = F.regexp_replace(text, _NEGATED, "$1 n’t")
     text = F.regexp_replace(text, _ATTACHED, "$1 ’$2$3")
-    found = F.regexp_extract_all(text, F.lit(_WORD_OR_SYMBOL), F.lit(0))
-    return F.transform(found, lambda t: F.translate(t, "’", "'"))
+    # The apostrophes that are left are quotes; the marked ones become apostrophes.
+    text = F.translate(text, "'’", " '")
+    return F.regexp_extract_all(text, F.lit(_WORD_OR_SYMBOL), F.lit(0))
 
 
 def inline_lookup(spark: SparkSession, entries: Mapping[str, str]):
@@ -63,12 +67,24 @@ def inline_lookup(spark: SparkSession, entries: Mapping[str, str]):
     return lambda word: table[F.pmod(F.xxhash64(word), F.lit(n_slots)).cast("int")][word]
 
 
-def lemmatize(spark: SparkSession, tokens: Column, lemmas: Mapping[str, str] | None = None) -> Column:
-    """Lower-cased lemma of each token, in order; unknown forms stay, empty results go."""
-    lookup = inline_lookup(spark, LEMMAS if lemmas is None else lemmas)
-    lowered = F.transform(tokens, lambda t: F.lower(t))
-    replaced = F.transform(lowered, lambda t: F.coalesce(lookup(t), t))
-    return F.filter(replaced, lambda t: t != "")
+def lemmatize(
+    spark: SparkSession, tokens: Column, lemmas: Mapping[str, str] | None = None, lowered: bool = False
+) -> Column:
+    """Lower-cased lemma of each token, in order; unknown forms stay, empty results go.
+
+    ``lowered`` says that the tokens are in lower case already.
+    """
+    entries = LEMMAS if lemmas is None else lemmas
+    lookup = inline_lookup(spark, entries)
+
+    def lemma(t: Column) -> Column:
+        if not entries or len(entries) > MAX_SET_WORDS:
+            return F.coalesce(F.lower(lookup(t)), t)
+        return F.when(t.isin(list(entries)), F.lower(lookup(t))).otherwise(t)
+
+    low = tokens if lowered else F.transform(tokens, lambda t: F.lower(t))
+    replaced = F.transform(low, lemma)
+    return F.filter(replaced, lambda t: t != "") if "" in entries.values() else replaced
 
 
 def lemmatize_joined(df: DataFrame, key: str, tokens: str, lemmas: DataFrame) -> DataFrame:
@@ -138,7 +154,7 @@ def preprocess_text(
 
     tokens = words_and_symbols(heavy_clean(text, lowercase))
     if use_lemmas:
-        tokens = lemmatize(spark, tokens, lemmas)
+        tokens = lemmatize(spark, tokens, lemmas, lowered=lowercase)
     if use_stop_words:
         tokens = drop_stop_words(tokens, default_stop_words() if stop_words is None else stop_words)
     return F.array_join(tokens, " ")

@@ -84,15 +84,29 @@ def with_terms(rows: DataFrame, vocab: Vocabulary, *columns: str) -> DataFrame:
     return rows.join(F.broadcast(table) if len(vocab) <= BROADCAST_ROWS else table, "idx")
 
 
+def counted_terms(terms: Column) -> Column:
+    """``array<struct<term, tf>>``: the distinct entries of an array and how often each occurs."""
+
+    def runs(s: Column) -> Column:
+        is_start = lambda i: (i == 0) | (s[i] != s[F.greatest(i - 1, F.lit(0))])
+        positions = F.when(F.size(s) > 0, F.sequence(F.lit(0), F.size(s) - 1)).otherwise(F.array().cast("array<int>"))
+        return let(F.filter(positions, is_start), lambda starts: lengths(s, starts))
+
+    def lengths(s: Column, starts: Column) -> Column:
+        ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.size(s)))
+        pairs = F.arrays_zip(starts.alias("a"), F.slice(ends, F.lit(1), F.size(starts)).alias("b"))
+        return F.transform(pairs, lambda p: F.struct(s[p["a"]].alias("term"), (p["b"] - p["a"]).cast("long").alias("tf")))
+
+    return let(F.sort_array(terms), runs)
+
+
 def term_counts(docs: DataFrame, text: str, key: str, ngram_range: tuple[int, int] = (1, 3)) -> DataFrame:
-    """``(key, term, tf)`` over all n-grams, without a vocabulary.
+    """``(key, term, tf)`` over all n-grams of one row per document, without a vocabulary.
 
-    The documents are spread by key first, so that the aggregation by key and term needs no
-    second shuffle of the much larger n-gram rows.
+    The terms are counted inside the document's row, so no n-gram is shuffled.
     """
     grams = ngrams(tokens_of(docs, text), *ngram_range)
-    spread = docs.select(key, text).repartition(key)
-    return spread.select(key, F.explode(grams).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return docs.select(key, F.explode(counted_terms(grams)).alias("c")).select(key, "c.term", "c.tf")
 
 
 def wide_names(vocab: Vocabulary, spark: SparkSession) -> list[str]:

@@ -152,10 +152,11 @@ ORACLES["csv_minimal_round_trip"] = _sql(SPLIT, "SELECT doc_id, pos, text, valid
 
 _NO_BREAKS = f"regexp_replace(html, '(?i)<br{WS}*/?>', ' ', 'g')"
 _NO_TAGS = f"regexp_replace({_NO_BREAKS}, '<[^>]+>', ' ', 'g')"
-# The pages hold these four entities only, and their text is in NFKC form already.
-_DECODED = (
-    f"replace(replace(replace(replace({_NO_TAGS}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
-)
+# The pages hold these four entities only, some without their semicolon, which HTML allows for
+# them; their text is in NFKC form already.
+_DECODED = _NO_TAGS
+for _entity, _char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+    _DECODED = f"regexp_replace({_DECODED}, '&{_entity};?', '{_char}', 'g')"
 _COLLAPSED = f"trim(regexp_replace({_DECODED}, '{WS}+', ' ', 'g'))"
 
 ORACLES["heavy_clean_pages"] = f"SELECT page_id, lower({_COLLAPSED}) AS text FROM pages"

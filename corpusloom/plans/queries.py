@@ -151,7 +151,7 @@ def words_and_symbols(spark, folder):
 @registered
 def lemmas(spark, folder):
     """Lemmas by dictionary lookup, unknown forms kept."""
-    tokens = N.lemmatize(spark, N.words_and_symbols(X.heavy_clean(F.col("text"))))
+    tokens = N.lemmatize(spark, N.words_and_symbols(X.heavy_clean(F.col("text"))), lowered=True)
     return inputs.documents(spark, folder).select("doc_id", F.array_join(tokens, " ").alias("lemmas"))
 
 
