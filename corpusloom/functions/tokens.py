@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Mapping
+from zlib import crc32
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,34 +49,29 @@ def words_and_symbols(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(_WORD_OR_SYMBOL), F.lit(0))
 
 
-def inline_lookup(spark: SparkSession, entries: Mapping[str, str]):
+def inline_lookup(entries: Mapping[str, str]):
     """``word column -> value column`` (null if absent) for a small dictionary.
 
-    The dictionary becomes one constant array of small maps, picked by hash, so that a lookup
-    inside an array expression costs one hash however many entries there are.
+    The dictionary becomes one constant array of small maps, picked by checksum, so that a
+    lookup inside an array expression takes the same time however many entries there are.
     """
     if len(entries) > MAX_INLINE_ENTRIES:
         raise ValueError(f"{len(entries)} entries; join dictionaries above {MAX_INLINE_ENTRIES}")
     n_slots = max(1, len(entries))
     slots: list[dict[str, str]] = [{} for _ in range(n_slots)]
-    if entries:
-        pairs = spark.createDataFrame(list(entries.items()), "word string, value string")
-        slot = F.pmod(F.xxhash64("word"), F.lit(n_slots)).cast("int")
-        for row in pairs.select(slot.alias("slot"), "word", "value").collect():
-            slots[row["slot"]][row["word"]] = row["value"]
+    for word, value in entries.items():
+        slots[crc32(word.encode()) % n_slots][word] = value
     table = F.from_json(F.lit(json.dumps(slots)), "array<map<string,string>>")
-    return lambda word: table[F.pmod(F.xxhash64(word), F.lit(n_slots)).cast("int")][word]
+    return lambda word: table[(F.crc32(word) % n_slots).cast("int")][word]
 
 
-def lemmatize(
-    spark: SparkSession, tokens: Column, lemmas: Mapping[str, str] | None = None, lowered: bool = False
-) -> Column:
+def lemmatize(tokens: Column, lemmas: Mapping[str, str] | None = None, lowered: bool = False) -> Column:
     """Lower-cased lemma of each token, in order; unknown forms stay, empty results go.
 
     ``lowered`` says that the tokens are in lower case already.
     """
     entries = LEMMAS if lemmas is None else lemmas
-    lookup = inline_lookup(spark, entries)
+    lookup = inline_lookup(entries)
 
     def lemma(t: Column) -> Column:
         if not entries or len(entries) > MAX_SET_WORDS:
@@ -140,7 +136,6 @@ def drop_stop_words_joined(df: DataFrame, token: str, words: DataFrame, word: st
 
 
 def preprocess_text(
-    spark: SparkSession,
     text: Column,
     *,
     lowercase: bool = True,
@@ -154,7 +149,7 @@ def preprocess_text(
 
     tokens = words_and_symbols(heavy_clean(text, lowercase))
     if use_lemmas:
-        tokens = lemmatize(spark, tokens, lemmas, lowered=lowercase)
+        tokens = lemmatize(tokens, lemmas, lowered=lowercase)
     if use_stop_words:
         tokens = drop_stop_words(tokens, default_stop_words() if stop_words is None else stop_words)
     return F.array_join(tokens, " ")

@@ -79,8 +79,10 @@ def fit_split(
             here = (F.col("c") == row["c"]) & (prefix == row["p"])
             in_edge = in_edge | here
             nth = F.when(F.col("c") == row["c"], row["nth"]).otherwise(nth)
-        rank = F.row_number().over(W.partitionBy("c").orderBy("h", "k"))
-        last = rows.where(in_edge).withColumn("rank", rank).where(F.col("rank") == nth)
+        # Counting per key first keeps a repeated key from filling the window.
+        keys = rows.where(in_edge).groupBy("c", "h", "k").count()
+        upto = F.sum("count").over(W.partitionBy("c").orderBy("h", "k"))
+        last = keys.withColumn("upto", upto).where((F.col("upto") >= nth) & (F.col("upto") - F.col("count") < nth))
         cuts = {r["c"]: (r["h"], r["k"]) for r in last.select("c", "h", F.col("k").cast("string")).collect()}
     return SplitRule(key, label, seed, cuts, df.schema[key].dataType.simpleString())
 

@@ -121,20 +121,31 @@ def wide_names(vocab: Vocabulary, spark: SparkSession) -> list[str]:
     return names
 
 
-def wide_features(docs: DataFrame, features: str, vocab: Vocabulary, as_type: str = "long") -> DataFrame:
+def dense_line(features: str, size: int, as_type: str) -> Column:
+    """All ``size`` values of a sparse row, zeros included, as one comma-separated text."""
+    indices, values = F.col(f"{features}.indices"), F.col(f"{features}.values")
+    before = F.concat(F.array(F.lit(-1)), F.slice(indices, F.lit(1), F.greatest(F.size(indices) - 1, F.lit(0))))
+    cells = F.transform(
+        F.arrays_zip(indices.alias("i"), before.alias("b"), values.alias("v")),
+        lambda p: F.concat(F.repeat(F.lit("0,"), p["i"] - p["b"] - 1), p["v"].cast(as_type).cast("string")),
+    )
+    rest = F.repeat(F.lit(",0"), F.lit(size - 1) - F.element_at(indices, -1))
+    no_value = F.lit(",".join(["0"] * size))
+    return F.when(F.size(indices) > 0, F.concat(F.array_join(cells, ","), rest)).otherwise(no_value)
+
+
+def wide_features(docs: DataFrame, features: str, vocab: Vocabulary, as_type: str = "bigint") -> DataFrame:
     """The original columns plus one column per feature, for export.
 
-    A column is read out of the sparse row by its index, so the export is a projection: it
-    neither pivots nor joins.
+    The row's values are written as one text and read back with the wide schema: thousands of
+    columns come from one expression, without a pivot.
     """
-    as_map = F.map_from_arrays(F.col(f"{features}.indices"), F.col(f"{features}.values"))
-    zero = F.lit(0).cast(as_type)
-    columns = [
-        F.coalesce(F.col("_map")[i].cast(as_type), zero).alias(name)
-        for i, name in enumerate(wide_names(vocab, docs.sparkSession))
-    ]
-    kept = [F.col(c) for c in docs.columns if c != features]
-    return docs.withColumn("_map", as_map).select(*kept, *columns)
+    names = wide_names(vocab.require_features(), docs.sparkSession)
+    schema = ", ".join(f"`{name}` {as_type}" for name in names)
+    line = dense_line(features, len(names), as_type)
+    kept = [c for c in docs.columns if c != features]
+    wide = docs.withColumn("_row", F.from_csv(line, schema, {"maxColumns": str(len(names) + 1)}))
+    return wide.select(*kept, "_row.*")
 
 
 def feature_names(columns: list[str], prefix: str = "bow_") -> list[str]:

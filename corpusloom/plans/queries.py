@@ -135,7 +135,7 @@ def clean_steps_pages(spark, folder):
 @registered
 def empty_after_cleaning(spark, folder):
     """Texts that cleaning leaves empty."""
-    rows = inputs.documents(spark, folder).select(N.preprocess_text(spark, F.col("text")).alias("clean"))
+    rows = inputs.documents(spark, folder).select(N.preprocess_text(F.col("text")).alias("clean"))
     return quality.count_empty(rows, "clean")
 
 
@@ -151,7 +151,7 @@ def words_and_symbols(spark, folder):
 @registered
 def lemmas(spark, folder):
     """Lemmas by dictionary lookup, unknown forms kept."""
-    tokens = N.lemmatize(spark, N.words_and_symbols(X.heavy_clean(F.col("text"))), lowered=True)
+    tokens = N.lemmatize(N.words_and_symbols(X.heavy_clean(F.col("text"))), lowered=True)
     return inputs.documents(spark, folder).select("doc_id", F.array_join(tokens, " ").alias("lemmas"))
 
 
@@ -159,7 +159,7 @@ def lemmas(spark, folder):
 def preprocessed_text(spark, folder):
     """Clean, tokenize, lemmatize, drop stop words but keep negations, join."""
     return inputs.documents(spark, folder).select(
-        "doc_id", N.preprocess_text(spark, F.col("text")).alias("text_preprocessed")
+        "doc_id", N.preprocess_text(F.col("text")).alias("text_preprocessed")
     )
 
 
@@ -476,7 +476,7 @@ def top_tfidf_distinctive(spark, folder):
 @registered
 def top_preprocessed_ngrams(spark, folder):
     """Top 50 n-grams per class of the cleaned, lemmatized text."""
-    tokens = N.feature_tokens(N.preprocess_text(spark, F.col("text"))).alias("tokens")
+    tokens = N.feature_tokens(N.preprocess_text(F.col("text"))).alias("tokens")
     rows = materialise(_split_reviews(spark, folder).select("doc_id", "pos", "validation_set", tokens), "clean_tokens")
     vocab = fit_vocabulary(split.train_rows(rows), "tokens")
     return ranking.top_bow_total(vectorize.bow_features(rows, "tokens", vocab), "bow", "pos", vocab)

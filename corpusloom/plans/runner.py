@@ -65,7 +65,7 @@ class ModelRun:
     def clean(self) -> None:
         """Both tables are read many times from here on, so the cleaned text is written once."""
         for name, df in self.tables.items():
-            cleaned = df.withColumn("Review_preprocessed", preprocess_text(self.spark, F.col("Review")))
+            cleaned = df.withColumn("Review_preprocessed", preprocess_text(F.col("Review")))
             cleaned = cleaned.withColumn("tokens", feature_tokens(F.col("Review_preprocessed")))
             self.tables[name] = self._store(cleaned, f"{name}_clean")
 

@@ -26,6 +26,9 @@ def build_session(app_name: str = "corpusloom", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can see, as named by ``spark.checkpoint.dir``.
 
@@ -36,9 +39,10 @@ def shared_dir(spark: SparkSession) -> str:
         return path
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    path = tempfile.mkdtemp(prefix="corpusloom-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="corpusloom-")
+    return _local_dirs[app]
 
 
 def _run_folder(spark: SparkSession) -> str:

@@ -17,5 +17,5 @@ from corpusloom.operators.vocabulary import Vocabulary
 
 def predict_stream(docs: DataFrame, text: str, vocab: Vocabulary, model: NaiveBayes, clean: bool = True) -> DataFrame:
     """Streaming or static ``docs`` with the predicted class of each text."""
-    ready = docs.withColumn("_text", preprocess_text(docs.sparkSession, F.col(text)) if clean else F.col(text))
+    ready = docs.withColumn("_text", preprocess_text(F.col(text)) if clean else F.col(text))
     return model.predict(bow_features(ready, "_text", vocab), "bow").drop("_text", "bow", "scores")

@@ -13,7 +13,7 @@ def as_dict(report):
 
 
 def listing(spark, names, folder="train/pos"):
-    return spark.createDataFrame([(f"file:/x/aclImdb/{folder}/{n}",) for n in names], "path string")
+    return spark.createDataFrame([(f"file:/x/corpus/{folder}/{n}",) for n in names], "path string")
 
 
 def test_file_report(spark):
