@@ -43,15 +43,19 @@ class Settings:
 
 
 class ModelRun:
-    """Training and testing on two tables with the columns key, ``POS`` and ``Review``."""
+    """Training and testing on two tables with the columns key, ``POS`` and ``Review``.
+
+    ``tables`` hold the texts, ``features`` the key, label, split and sparse rows made from them.
+    """
 
     def __init__(self, train: DataFrame, test: DataFrame | None, key: str, settings: Settings, out: str | None = None):
         self.spark: SparkSession = train.sparkSession
         self.tables = {"train": train} | ({"test": test} if test is not None else {})
         self.key, self.settings, self.out = key, settings, out
+        self.features: dict[str, DataFrame] = {}
         self.results: dict[str, DataFrame] = {}
         self.vocab: Vocabulary | None = None
-        self.models: dict[str, tuple] = {}
+        self.models: dict[str, Callable[[str], DataFrame]] = {}
 
     def _store(self, df: DataFrame, name: str) -> DataFrame:
         return materialise(df, name, f"{self.out}/{name}" if self.out else None)
@@ -82,30 +86,33 @@ class ModelRun:
         if self.out:
             self.vocab.save(self.spark, f"{self.out}/vocabulary")
         for name, df in self.tables.items():
-            counted = vectorize.bow_features(df, "tokens", self.vocab).drop("tokens")
-            self.tables[name] = self._store(counted, f"{name}_bow")
+            columns = [c for c in (self.key, "POS", "validation_set", "tokens") if c in df.columns]
+            counted = vectorize.bow_features(df.select(*columns), "tokens", self.vocab).drop("tokens")
+            self.features[name] = self._store(counted, f"{name}_bow")
 
     def tfidf(self) -> None:
-        for name, df in self.tables.items():
-            self.tables[name] = vectorize.tfidf_features(df, "bow", self.vocab)
-
-    def _validate(self, name: str, predict: Callable[[DataFrame], DataFrame], seconds: float) -> None:
-        self.models[name] = (predict, seconds)
-        scored = predict(split.validation_rows(self.tables["train"]))
+        for name, df in self.features.items():
+            self.features[name] = vectorize.tfidf_features(df, "bow", self.vocab)
+
+    def _validate(
+        self, name: str, predict: Callable[[DataFrame], DataFrame], seconds: float, inputs: dict[str, DataFrame]
+    ) -> None:
+        self.models[name] = lambda part: predict(inputs[part])
+        scored = predict(split.validation_rows(inputs["train"]))
         self.results[f"validation_{name}"] = metrics.evaluate(scored, name, "POS", training_seconds=seconds)
 
     def train_mnb(self) -> None:
-        train = split.train_rows(self.tables["train"])
+        train = split.train_rows(self.features["train"])
         model, seconds = classify.timed(
             classify.fit_naive_bayes, train, "bow", "POS", len(self.vocab), self.settings.alpha
         )
         if self.out:
             model.save(self.spark, f"{self.out}/mnb_model")
-        self._validate("MNB_BOW", lambda df: model.predict(df, "bow"), seconds)
+        self._validate("MNB_BOW", lambda df: model.predict(df, "bow"), seconds, self.features)
 
     def train_svm(self) -> None:
         s = self.settings
-        train = split.train_rows(self.tables["train"])
+        train = split.train_rows(self.features["train"])
         path = f"{self.out}/tfidf_vectors" if self.out else None
         vectors = vectorize.as_vectors(train, "tfidf", len(self.vocab), [self.key, "POS"], path)
         model, seconds = classify.timed(
@@ -113,28 +120,29 @@ class ModelRun:
         )
         if self.out:
             model.write().save(f"{self.out}/svm_model")
-        self._validate("SVM_TFIDF", lambda df: classify.predict_linear_svm(model, df, "tfidf"), seconds)
+        self._validate(
+            "SVM_TFIDF", lambda df: classify.predict_linear_svm(model, df, "tfidf"), seconds, self.features
+        )
 
     def score_external(self) -> None:
         load = self.settings.external_model
         if load is not None:
-            self._validate("EXTERNAL", lambda df: scoring.score_batches(df, "Review_preprocessed_BERT", load), 0.0)
+            self._validate(
+                "EXTERNAL", lambda df: scoring.score_batches(df, "Review_preprocessed_BERT", load), 0.0, self.tables
+            )
 
     def top_bow(self) -> None:
-        rows, k = self.tables["train"], self.settings.top_k
+        rows, k = self.features["train"], self.settings.top_k
         self.results["top_bow_total"] = ranking.top_bow_total(rows, "bow", "POS", self.vocab, k)
         self.results["top_bow_distinctive"] = ranking.top_bow_distinctive(rows, "bow", "POS", self.vocab, k)
 
     def top_tfidf(self) -> None:
-        rows, k = self.tables["train"], self.settings.top_k
+        rows, k = self.features["train"], self.settings.top_k
         self.results["top_tfidf"] = ranking.top_tfidf(rows, "tfidf", "POS", self.vocab, k)
         self.results["top_tfidf_distinctive"] = ranking.top_tfidf_distinctive(rows, "tfidf", "POS", self.vocab, k)
 
     def test(self) -> None:
-        rows = [
-            metrics.evaluate(predict(self.tables["test"]), name, "POS")
-            for name, (predict, _) in self.models.items()
-        ]
+        rows = [metrics.evaluate(predict("test"), name, "POS") for name, predict in self.models.items()]
         self.results["test_metrics"] = metrics.compare(rows)
 
     def run(self, steps: Iterable[str]) -> dict[str, DataFrame]:
