@@ -115,7 +115,9 @@ def wide_names(vocab: Vocabulary, spark: SparkSession) -> list[str]:
     names: list[str] = []
     seen: set[str] = set()
     for row in sorted(table.collect(), key=lambda r: r["idx"]):
-        name = row["name"] if row["name"] not in seen else f"{row['name']}_{row['idx']}"
+        name = row["name"]
+        while name in seen:
+            name = f"{name}_{row['idx']}"
         seen.add(name)
         names.append(name)
     return names
