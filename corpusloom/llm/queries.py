@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import mixing, token_counts, url_filter
+from corpusloom.llm import language, mixing, perplexity, token_counts, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(docs, tokenizer_path("word_bpe_49k.json"), limit=2048)
 
 
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return perplexity.quality_rules(_table(spark, folder, "documents"))
+
+
 #: Rules of the URL list, and their verdicts.
 URL_RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
 
@@ -30,13 +34,19 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, folder, "pages"), URL_RULES)
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(_table(spark, folder, "documents"))
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_counts(_table(spark, folder, "documents"))
 
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op3_quality_rules": op3_quality_rules,
     "op6_url_filter": op6_url_filter,
+    "op7_language": op7_language,
     "op8_mixing": op8_mixing,
 }
 
