@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import language, mixing, perplexity, token_counts, url_filter
+from corpusloom.llm import bagminhash, language, mixing, perplexity, token_counts, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,12 +42,17 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_counts(_table(spark, folder, "documents"))
 
 
+def op9_bagminhash(spark: SparkSession, folder: str) -> DataFrame:
+    return bagminhash.near_duplicates(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op3_quality_rules": op3_quality_rules,
     "op6_url_filter": op6_url_filter,
     "op7_language": op7_language,
     "op8_mixing": op8_mixing,
+    "op9_bagminhash": op9_bagminhash,
 }
 
 ORACLES: dict[str, str] = {
