@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bagminhash, language, mixing, perplexity, token_counts, url_filter
+from corpusloom.llm import bagminhash, language, mixing, perplexity, suffix_dedup, token_counts, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op9_bagminhash(spark: SparkSession, folder: str) -> DataFrame:
     return bagminhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, folder, "documents"), length=200).drop("spans")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op3_quality_rules": op3_quality_rules,
@@ -53,6 +57,7 @@ QUERIES = {
     "op7_language": op7_language,
     "op8_mixing": op8_mixing,
     "op9_bagminhash": op9_bagminhash,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {
