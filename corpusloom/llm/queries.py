@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bagminhash, language, mixing, perplexity, suffix_dedup, token_counts, url_filter
+from corpusloom.llm import bagminhash, language, mixing, neighbours, perplexity, suffix_dedup, token_counts, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return perplexity.quality_rules(_table(spark, folder, "documents"))
 
 
+def op4_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, folder, "embeddings"), every=50, k=5)
+
+
 #: Rules of the URL list, and their verdicts.
 URL_RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
 
@@ -53,6 +57,7 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op3_quality_rules": op3_quality_rules,
+    "op4_neighbours": op4_neighbours,
     "op6_url_filter": op6_url_filter,
     "op7_language": op7_language,
     "op8_mixing": op8_mixing,
