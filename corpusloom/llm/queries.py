@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bagminhash, language, mixing, neighbours, perplexity, suffix_dedup, token_counts, url_filter
+from corpusloom.llm import bagminhash, language, mixing, neighbours, perplexity, pieces, suffix_dedup, token_counts, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,6 +30,11 @@ def op4_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(_table(spark, folder, "embeddings"), every=50, k=5)
 
 
+def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    model = pieces.read_model(spark, tokenizer_path("piece_bpe_32k.model"))
+    return pieces.encode_documents(_table(spark, folder, "documents"), model, keep=["doc_id"])
+
+
 #: Rules of the URL list, and their verdicts.
 URL_RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
 
@@ -58,6 +63,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op3_quality_rules": op3_quality_rules,
     "op4_neighbours": op4_neighbours,
+    "op5_pieces": op5_pieces,
     "op6_url_filter": op6_url_filter,
     "op7_language": op7_language,
     "op8_mixing": op8_mixing,
