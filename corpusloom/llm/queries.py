@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusloom.llm import bagminhash, language, mixing, neighbours, perplexity, pieces, suffix_dedup, token_counts, url_filter
+from corpusloom.llm import bagminhash, language, mixing, neighbours, perplexity, pieces, secret_scan, suffix_dedup, token_counts, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +23,11 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(docs, tokenizer_path("word_bpe_49k.json"), limit=2048)
 
 
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.scan(_table(spark, folder, "documents"))
+    return found.select("doc_id", "nth", F.sha2("value", 256).alias("value_sha256"), F.length("value").alias("length"), "score", "secret")
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return perplexity.quality_rules(_table(spark, folder, "documents"))
 
@@ -61,6 +67,7 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_secret_scan": op2_secret_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_neighbours": op4_neighbours,
     "op5_pieces": op5_pieces,
