@@ -21,13 +21,6 @@ _NEGATED = r"(\p{L})n't"
 _ATTACHED = rf"([\p{{L}}\p{{N}}])'({_CLITIC})([^\p{{L}}\p{{N}}_]|$)"
 _WORD_OR_SYMBOL = rf"n't|'(?:{_CLITIC})|[\p{{L}}\p{{N}}_]+|\p{{S}}"
 
-# Up to this many words are tested as one set before a dictionary is looked into.
-MAX_SET_WORDS = 5_000
-
-# Above this many entries a dictionary is joined instead of carried in the plan.
-MAX_INLINE_ENTRIES = 100_000
-
-
 def feature_tokens(text: Column) -> Column:
     """Lower-cased runs of two or more word characters."""
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(FEATURE_TOKEN), F.lit(0))
@@ -50,13 +43,11 @@ def words_and_symbols(text: Column) -> Column:
 
 
 def inline_lookup(entries: Mapping[str, str]):
-    """``word column -> value column`` (null if absent) for a small dictionary.
+    """``word column -> value column`` (null if absent) for a dictionary held by the caller.
 
     The dictionary becomes one constant array of small maps, picked by checksum, so that a
     lookup inside an array expression takes the same time however many entries there are.
     """
-    if len(entries) > MAX_INLINE_ENTRIES:
-        raise ValueError(f"{len(entries)} entries; join dictionaries above {MAX_INLINE_ENTRIES}")
     n_slots = max(1, len(entries))
     slots: list[dict[str, str]] = [{} for _ in range(n_slots)]
     for word, value in entries.items():
@@ -74,8 +65,6 @@ def lemmatize(tokens: Column, lemmas: Mapping[str, str] | None = None, lowered:
     lookup = inline_lookup(entries)
 
     def lemma(t: Column) -> Column:
-        if not entries or len(entries) > MAX_SET_WORDS:
-            return F.coalesce(F.lower(lookup(t)), t)
         return F.when(t.isin(list(entries)), F.lower(lookup(t))).otherwise(t)
 
     low = tokens if lowered else F.transform(tokens, lambda t: F.lower(t))
@@ -83,32 +72,20 @@ def lemmatize(tokens: Column, lemmas: Mapping[str, str] | None = None, lowered:
     return F.filter(replaced, lambda t: t != "") if "" in entries.values() else replaced
 
 
-def lemmatize_joined(df: DataFrame, key: str, tokens: str, lemmas: DataFrame) -> DataFrame:
-    """``lemmatize`` for a dictionary table ``(form, lemma)`` too large to carry in the plan.
+def lemmatize_with_table(df: DataFrame, tokens: str, lemmas: DataFrame) -> DataFrame:
+    """``lemmatize`` of the array column ``tokens`` with a dictionary table ``(form, lemma)`` of any size.
 
-    Tokens are joined as rows. The frequent forms of a language make hot join keys, so the
-    join runs on each distinct form once and a document gets its own forms back as a map.
+    Equal token arrays have equal lemmas, so arrays are joined by their digest and rows need no key.
+    A form that the table has twice gets its smallest lemma. Null arrays stay null.
     """
-    forms = df.select(key, F.explode(F.array_distinct(F.transform(tokens, lambda t: F.lower(t)))).alias("form"))
-    known = (
-        forms.select("form").distinct()
-        .join(lemmas.groupBy("form").agg(F.lower(F.min("lemma")).alias("lemma")), "form")
-    )
-    salted = forms.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(64)))
-    copies = known.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(63).cast("long"))))
-    per_doc = (
-        salted.join(copies, ["form", "salt"])
-        .groupBy(key)
-        .agg(F.map_from_entries(F.collect_list(F.struct("form", "lemma"))).alias("_own"))
-    )
-    replaced = F.transform(
-        F.transform(tokens, lambda t: F.lower(t)), lambda t: F.coalesce(F.col("_own")[t], t)
-    )
-    return (
-        df.join(per_doc, key, "left")
-        .withColumn(tokens, F.filter(replaced, lambda t: t != ""))
-        .drop("_own")
-    )
+    digest = F.md5(F.to_json(F.col(tokens)))
+    low = F.transform(tokens, lambda t: F.lower(t))
+    forms = df.where(F.col(tokens).isNotNull()).select(digest.alias("_digest"), F.explode(F.array_distinct(low)).alias("form")).distinct()
+    known = lemmas.groupBy("form").agg(F.lower(F.min("lemma")).alias("lemma"))
+    own = forms.join(known, "form").groupBy("_digest").agg(F.map_from_entries(F.collect_list(F.struct("form", "lemma"))).alias("_own"))
+    replaced = F.transform(low, lambda t: F.coalesce(F.col("_own")[t], t))
+    joined = df.withColumn("_digest", digest).join(own, "_digest", "left")
+    return joined.withColumn(tokens, F.filter(replaced, lambda t: t != "")).select(*df.columns)
 
 
 def effective_stop_words(words: Iterable[str], keep: Iterable[str] = NEGATIONS) -> list[str]:

@@ -19,7 +19,6 @@ SVM_C = 0.1
 SVM_MAX_ITER = 1000
 SVM_TOLERANCE = 1e-4
 HEAD_WEIGHT_DECAY = 0.01
-ROWS_PER_PARTITION = 5_000
 
 
 def weighted_sum(features: str, weights: list[float]) -> Column:
@@ -84,8 +83,10 @@ def class_totals(train: DataFrame, features: str, label: str) -> DataFrame:
 def fit_naive_bayes(train: DataFrame, features: str, label: str, n_features: int, alpha: float = ALPHA) -> NaiveBayes:
     """Smoothed log probabilities; the class priors are not smoothed.
 
-    One pass over the data. What reaches the driver is the model: classes times features.
+    One pass over the data. What reaches the driver is the model: classes times features. An
+    ``alpha`` below 1e-10 counts as 1e-10, so that no logarithm is of zero.
     """
+    alpha = max(alpha, 1e-10)
     known = train.where(F.col(label).isNotNull())
     no_term = F.array(F.struct(F.lit(-1).alias("i"), F.lit(1.0).alias("v")))
     pairs = F.arrays_zip(F.col(f"{features}.indices").alias("i"), F.col(f"{features}.values").alias("v"))
@@ -121,8 +122,6 @@ def fit_linear_svm(
 ) -> LinearSVCModel:
     """Linear SVM; ``c`` is the inverse regularization per training row."""
     n_rows = vectors.count()
-    # Every iteration is a job over the training rows; partitions of few rows would only add overhead.
-    vectors = vectors.coalesce(max(1, n_rows // ROWS_PER_PARTITION))
     svm = LinearSVC(
         labelCol=label, featuresCol=features, predictionCol="prediction", maxIter=max_iter,
         regParam=1.0 / (c * n_rows), standardization=False, tol=SVM_TOLERANCE,
@@ -135,8 +134,12 @@ def fit_linear_svm(
 
 def predict_linear_svm(model: LinearSVCModel, docs: DataFrame, features: str, column: str = "prediction") -> DataFrame:
     """Class 1 where the weighted sum of the sparse row plus the intercept is positive."""
-    coefficients = [float(w) for w in model.coefficients.toArray()]
-    margin = weighted_sum(features, coefficients) + F.lit(float(model.intercept))
+    return predict_linear(model.coefficients.toArray().tolist(), model.intercept, docs, features, column)
+
+
+def predict_linear(coefficients: list[float], intercept: float, docs: DataFrame, features: str, column: str = "prediction") -> DataFrame:
+    """The same from the weights themselves, with the ``margin``."""
+    margin = weighted_sum(features, [float(w) for w in coefficients]) + F.lit(float(intercept))
     return docs.withColumn("margin", margin).withColumn(column, F.when(F.col("margin") > 0, 1).otherwise(0))
 
 

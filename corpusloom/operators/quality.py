@@ -26,7 +26,7 @@ class QualityError(AssertionError):
 
 def require(report: DataFrame) -> DataFrame:
     """Raise when a report row is not ok. A report has a few rows per subset."""
-    failed = report.where(~F.col("ok")).orderBy("subset", "check").limit(20).collect()
+    failed = report.where(~F.col("ok")).orderBy("subset", "check").collect()
     if failed:
         raise QualityError("; ".join(
             f"[{r['subset']}] {r['check']}: {r['violations']} (e.g. {r['sample']})" for r in failed
@@ -73,8 +73,9 @@ def _file_flags(files: DataFrame, id_range: tuple[int, int], score_range: tuple[
         "name_parts": c("n_parts") != 2,
         "id_not_digits": ~is_digits(c("id_text")),
         "score_not_digits": ~is_digits(c("score_text")),
-        "id_out_of_range": ~c("number").between(*id_range),
-        "score_out_of_range": ~c("score").between(*score_range),
+        # Digits that no number type holds are out of any range.
+        "id_out_of_range": is_digits(c("id_text")) & ~F.coalesce(c("number").between(*id_range), F.lit(False)),
+        "score_out_of_range": is_digits(c("score_text")) & ~F.coalesce(c("score").between(*score_range), F.lit(False)),
     }
     parsed = parsed.withColumn("subset", F.concat_ws("_", "split", "folder"))
     return parsed.withColumns({f: F.coalesce(flag, F.lit(False)) for f, flag in flags.items()})

@@ -37,14 +37,3 @@ def score_batches(
             yield pd.Series(np.concatenate(classes) if classes else [], dtype="int32")
 
     return df.withColumn(column, predict(F.coalesce(F.col(text), F.lit(""))))
-
-
-def word_count_model(words_by_class: Sequence[Sequence[str]]) -> Callable[[], Model]:
-    """A deterministic stand-in model: scores a class by how often its words occur in the text."""
-
-    def load() -> Model:
-        return lambda texts: np.array(
-            [[sum(t.count(w) for w in words) for words in words_by_class] for t in texts], dtype=float
-        ).reshape(len(texts), len(words_by_class))
-
-    return load

@@ -20,9 +20,6 @@ from corpusloom.functions.tokens import ngrams, tokens_of
 from corpusloom.operators.vocabulary import Vocabulary
 from corpusloom.session import fresh_path
 
-# A dictionary of at most this many rows is broadcast; a larger one is left to the optimizer.
-BROADCAST_ROWS = 200_000
-
 
 def constant_array(values: list[float]) -> Column:
     """A constant ``array<double>``, folded into the plan and read by position."""
@@ -81,7 +78,7 @@ def long_features(docs: DataFrame, features: str, keep: list[str], value: str) -
 def with_terms(rows: DataFrame, vocab: Vocabulary, *columns: str) -> DataFrame:
     """Rows with an ``idx`` column joined to the vocabulary's ``term`` and further columns."""
     table = vocab.table(rows.sparkSession).select("idx", "term", *columns)
-    return rows.join(F.broadcast(table) if len(vocab) <= BROADCAST_ROWS else table, "idx")
+    return rows.join(table, "idx")
 
 
 def counted_terms(terms: Column) -> Column:

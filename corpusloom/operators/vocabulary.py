@@ -8,24 +8,17 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from corpusloom.functions.tokens import ngrams, ngrams_of, tokens_of
+from corpusloom.session import materialise
 
 MAX_FEATURES = 7500
 MIN_DF = 2
 MAX_DF = 0.95
 NGRAM_RANGE = (1, 3)
 
-# The vocabulary travels with every task, so its size is checked when it is fitted or loaded.
-MAX_VOCABULARY = 1_000_000
-MAX_VOCABULARY_CHARS = 256 * 1024 * 1024
-
-# A list of at most this many n-grams is broadcast to filter the longer ones.
-MAX_BROADCAST_TERMS = 100_000
-
-# From this many training rows on, counting goes length by length (see ``_count_by_length``).
-STAGED_FROM_ROWS = 1_000_000
+# The vocabulary travels with every task; a request for more features is refused before any work.
+LARGEST_MAX_FEATURES = 1_000_000
 
 _SCHEMA = "term string, idx int, df long, cf long, idf double"
 
@@ -40,11 +33,6 @@ class Vocabulary:
     n_docs: int
     params: dict = field(default_factory=dict)
 
-    def __post_init__(self) -> None:
-        size = sum(map(len, self.terms))
-        if len(self.terms) > MAX_VOCABULARY or size > MAX_VOCABULARY_CHARS:
-            raise ValueError(f"vocabulary of {len(self.terms)} terms, {size} characters is too large")
-
     def __len__(self) -> int:
         return len(self.terms)
 
@@ -78,10 +66,9 @@ class Vocabulary:
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "Vocabulary":
+        """A saved vocabulary; it has at most ``LARGEST_MAX_FEATURES`` rows, as it was fitted here."""
         params = spark.read.parquet(f"{path}/params").first()
         table = spark.read.parquet(f"{path}/vocab")
-        if table.count() > MAX_VOCABULARY:
-            raise ValueError("stored vocabulary is too large")
         rows = sorted(table.collect(), key=lambda r: r["idx"])
         return Vocabulary(
             [r["term"] for r in rows], [r["df"] for r in rows], [r["cf"] for r in rows],
@@ -125,41 +112,30 @@ def _count_by_length(
     docs: DataFrame, text: str, ngram_range: tuple[int, int],
     n_docs: int, max_features: int, min_df: int, max_df: float,
 ) -> list:
-    """The same best terms, counting one length at a time and skipping hopeless n-grams.
-
-    A run is never more frequent than the shorter runs inside it. Once ``max_features``
-    eligible terms are known, the last of them sets a bar, and a longer run can only enter
-    if the runs inside it reach the bar. Nearly all rare 2- and 3-grams, which make up most of
-    the counting and the shuffle, are thus dropped by the task that reads them. Ties at
-    the bar stay in, so the outcome is exact. If the runs that reach the bar are too many to
-    broadcast, the next length is counted in full.
+    """The best terms, counted one length at a time; n-grams that cannot be among them are skipped.
+
+    A run of n tokens is never more frequent than its head, the run of its first n - 1, and sorts
+    after it. So it can only be among the best if its head is, or if its head occurs in too many
+    documents to be a term. Heads that were counted are at hand as the best rows so far, ``max_features``
+    at most, and the terms above ``max_df``, of which a document of average length bounds the number.
+    Nearly all rare 2- and 3-grams, most of the counting and the shuffle, are dropped by the task that
+    reads them, and the outcome is exact, ties included.
     """
     low, high = ngram_range
     best: list = []
-    bar = 0
-    reaching: DataFrame | None = None
-    for n in range(1, high + 1):
+    heads: DataFrame | None = None
+    for n in range(low, high + 1):
         rows = _occurrences(docs, ngrams_of(tokens_of(docs, text), n))
-        if reaching is not None:
-            head = F.substring_index("term", " ", n - 1)
-            tail = F.substring_index("term", " ", -(n - 1))
-            rows = rows.withColumns({"head": head, "tail": tail})
-            for part in ("head", "tail"):
-                rows = rows.join(F.broadcast(reaching.withColumnRenamed("term", part)), part, "left_semi")
-            rows = rows.select("term", "first")
+        if heads is not None:
+            rows = rows.join(F.broadcast(heads), F.substring_index("term", " ", n - 1) == F.col("head"), "left_semi")
         stats = _count(rows)
         if n < high:
-            stats = stats.persist(StorageLevel.DISK_ONLY)  # read twice below
-        if n >= low:
-            best += _best(stats.where(F.col("cf") >= bar), n_docs, max_features, min_df, max_df)
-            best = sorted(best, key=lambda r: (-r["cf"], r["term"]))[:max_features]
+            stats = materialise(stats, f"ngrams-{n}")  # read twice below
+        best = sorted(best + _best(stats, n_docs, max_features, min_df, max_df), key=lambda r: (-r["cf"], r["term"]))[:max_features]
         if n < high:
-            bar = best[-1]["cf"] if len(best) == max_features else 0
-            reach = stats.where((F.col("cf") >= bar) & (F.col("df") >= min_df)).select("term")
-            terms = reach.limit(MAX_BROADCAST_TERMS + 1).collect()
-            small = len(terms) <= MAX_BROADCAST_TERMS
-            reaching = docs.sparkSession.createDataFrame(terms, "term string") if small else None
-            stats.unpersist()
+            common = stats.where(F.col("df") > F.lit(float(max_df)) * F.lit(float(n_docs))).select("term").collect()
+            names = [(r["term"],) for r in best if r["term"].count(" ") == n - 1] + [(r["term"],) for r in common]
+            heads = docs.sparkSession.createDataFrame(names, "head string")
     return best
 
 
@@ -171,23 +147,19 @@ def fit_vocabulary(
     min_df: int = MIN_DF,
     max_df: float = MAX_DF,
     ngram_range: tuple[int, int] = NGRAM_RANGE,
-    staged: bool | None = None,
 ) -> Vocabulary:
     """Vocabulary of the training rows; ``text`` is a text column or an array of feature tokens.
 
     Keeps n-grams in at least ``min_df`` documents and at most the fraction ``max_df`` of them,
-    then the ``max_features`` most frequent (ties: alphabetical). ``staged`` picks the counting
-    method, by default from the number of rows; both give the same vocabulary.
+    then the ``max_features`` most frequent (ties: alphabetical). ``max_features`` is at most
+    ``LARGEST_MAX_FEATURES``.
     """
+    if max_features > LARGEST_MAX_FEATURES:
+        raise ValueError(f"max_features is {max_features}; {LARGEST_MAX_FEATURES} is the most")
     n_docs = train.count()
     if n_docs == 0:
         raise ValueError("no training rows to fit the vocabulary on")
-    if staged is None:
-        staged = n_docs >= STAGED_FROM_ROWS
-    if staged:
-        best = _count_by_length(train, text, ngram_range, n_docs, max_features, min_df, max_df)
-    else:
-        best = _best(term_statistics(train, text, ngram_range), n_docs, max_features, min_df, max_df)
+    best = _count_by_length(train, text, ngram_range, n_docs, max_features, min_df, max_df)
     best = sorted(best, key=lambda r: r["term"])
     params = {
         "ngram_range": list(ngram_range), "min_df": min_df, "max_df": max_df, "max_features": max_features,

@@ -195,6 +195,7 @@ ORACLES["words_and_symbols"] = _sql(
 ORACLES["lemmas"] = _sql(_LEMMAS, """
 SELECT d.doc_id, COALESCE(l.lemmas, '') AS lemmas FROM documents d LEFT JOIN (
   SELECT doc_id, string_agg(lemma, ' ' ORDER BY i) AS lemmas FROM lemmas GROUP BY doc_id) l USING (doc_id)""")
+ORACLES["lemmas_from_table"] = ORACLES["lemmas"]
 ORACLES["preprocessed_text"] = _sql(_CLEAN, "SELECT doc_id, text AS text_preprocessed FROM clean")
 ORACLES["empty_after_cleaning"] = _sql(_CLEAN, """
 SELECT count(*) FILTER (WHERE length(text) = 0) AS empty_count, count(*) AS row_count FROM clean""")
@@ -353,18 +354,15 @@ SELECT count(*) FILTER (WHERE hash_match = 'TRUE') AS match_true,
 
 # ---- vocabulary and features -----------------------------------------------------------------
 
-ORACLES["term_counts_per_document"] = _sql(TF, "SELECT doc_id, term, tf FROM tf")
+ORACLES["term_counts_per_document"] = "WITH " + _grams("documents", "doc_id", "text", "tf") + " SELECT doc_id, term, tf FROM tf"
 ORACLES["train_term_statistics"] = _sql(STATS, "SELECT term, df, cf FROM stats")
 ORACLES["vocabulary_fit"] = _sql(VOCAB, "SELECT term, idx, df, cf, round(idf, 6) AS idf FROM vocab")
-ORACLES["vocabulary_fit_staged"] = ORACLES["vocabulary_fit"]
 ORACLES["bag_of_words"] = _sql(BOW, "SELECT doc_id, pos, validation_set, term, tf FROM bow")
 ORACLES["safe_column_names"] = _sql(STATS, f"""
 SELECT term, safe AS ngram_column, substring(safe, 5) AS ngram FROM (SELECT term, {SAFE} AS safe FROM stats)""")
-ORACLES["bag_of_words_wide"] = _sql(STATS + "," + _vocab(k=100) + "," + NAMED + """,
-cells AS (
-  SELECT s.doc_id, s.pos, s.validation_set, n.ngram_column, COALESCE(tf.tf, 0) AS tf
-  FROM split s CROSS JOIN named n LEFT JOIN tf ON tf.doc_id = s.doc_id AND tf.term = n.term)""", """
-SELECT * FROM (PIVOT cells ON ngram_column USING CAST(sum(tf) AS BIGINT) GROUP BY doc_id, pos, validation_set)""")
+ORACLES["bag_of_words_wide"] = _sql(BOW + "," + NAMED, """
+SELECT b.doc_id, n.ngram_column, CAST(b.tf AS BIGINT) AS tf FROM bow b JOIN named n USING (term)
+UNION ALL SELECT NULL, 'columns', count(*) FROM named""")
 ORACLES["tfidf_weights"] = _sql(TFIDF, "SELECT doc_id, validation_set, term, round(tfidf, 6) AS tfidf FROM tfidf")
 ORACLES["tfidf_of_new_texts"] = _sql(VOCAB + "," + _grams("benchmark", "item_id", "text", "new_tf") + """,
 w AS (SELECT item_id, term, (1 + ln(CAST(tf AS DOUBLE))) * idf AS w FROM new_tf JOIN vocab USING (term))""", """
@@ -461,17 +459,13 @@ _MNB_VALIDATION = _SCORED + """,
 judged AS (SELECT pos AS label, prediction FROM split JOIN scored USING (doc_id) WHERE validation_set = 1)"""
 
 
-def _occurrences(word: str) -> str:
-    return f"(length(text) - length(replace(text, '{word}', ''))) // {len(word)}"
-
-
-_EXTERNAL = "CAST(CASE WHEN {} > {} THEN 1 ELSE 0 END AS INTEGER)".format(
-    " + ".join(map(_occurrences, ("the", "of", "and"))),
-    " + ".join(map(_occurrences, ("stupid", "worthless", "hate", "idiot"))))
-_COMPARED = _SCORED + f""",
+_TENTH = """,
+logp_tenth AS (
+  SELECT pos, term, ln(n + 0.1::DOUBLE) - ln(sum(n + 0.1::DOUBLE) OVER (PARTITION BY pos)) AS logp FROM n_ct)"""
+_COMPARED = _SCORED + _TENTH + "," + _scores("split", "tf", "doc_id", "tenth").replace("JOIN logp l", "JOIN logp_tenth l") + """,
 judged AS (
   SELECT 'MNB_BOW' AS model, pos AS label, prediction FROM split JOIN scored USING (doc_id) WHERE validation_set = 1
-  UNION ALL SELECT 'EXTERNAL', pos, {_EXTERNAL} FROM split WHERE validation_set = 1)"""
+  UNION ALL SELECT 'MNB_BOW_0.1', pos, prediction FROM split JOIN tenth USING (doc_id) WHERE validation_set = 1)"""
 
 ORACLES["class_term_totals"] = _sql(BOW, """
 SELECT pos, term, CAST(sum(tf) AS BIGINT) AS total FROM bow WHERE validation_set = 0 GROUP BY pos, term""")
@@ -484,7 +478,13 @@ ORACLES["naive_bayes_new_texts"] = _sql(
     MNB + "," + _grams("benchmark", "item_id", "text", "new_tf") + "," + _scores("benchmark", "new_tf", "item_id", "scored"),
     "SELECT item_id, prediction FROM scored")
 ORACLES["naive_bayes_validation_metrics"] = _sql(_MNB_VALIDATION, _measures("judged", "'MNB_BOW' AS model"))
-ORACLES["external_model_scores"] = _sql(REVIEWS, f"SELECT doc_id, pos, {_EXTERNAL} AS prediction FROM reviews")
+ORACLES["linear_margin_predictions"] = _sql(TFIDF + """,
+sizes AS (SELECT count(*) FILTER (WHERE pos = 1) AS n_pos, count(*) FILTER (WHERE pos = 0) AS n_neg FROM split WHERE validation_set = 0),
+weights AS (
+  SELECT term, sum(CASE WHEN pos = 1 THEN tfidf / n_pos ELSE -tfidf / n_neg END) AS w
+  FROM tfidf CROSS JOIN sizes WHERE validation_set = 0 GROUP BY term)""", """
+SELECT s.doc_id, s.pos, s.validation_set, round(COALESCE(m.margin, 0), 6) AS margin FROM split s LEFT JOIN (
+  SELECT doc_id, sum(tfidf * w) AS margin FROM tfidf JOIN weights USING (term) GROUP BY doc_id) m USING (doc_id)""")
 ORACLES["model_comparison"] = _sql(_COMPARED, _measures("judged", "model", "model"))
 ORACLES["best_model"] = _sql(_COMPARED + ", runs AS (" + _measures("judged", "model", "model") + ")", """
 SELECT model, "TP", "FP", "TN", "FN", "f-score" FROM runs ORDER BY "f-score" DESC, model LIMIT 1""")

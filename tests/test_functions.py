@@ -104,11 +104,13 @@ def test_empty_lemma_is_dropped(spark):
 
 def test_joined_lemmas_equal_inline_lemmas(spark):
     lemmas = {"films": "film", "is": "be", "gone": "go"}
-    docs = spark.createDataFrame([(1, ["Films", "is", "Films", "x"]), (2, []), (3, ["gone"])], "k int, t array<string>")
-    table = spark.createDataFrame(list(lemmas.items()), "form string, lemma string")
-    joined = {r["k"]: r["t"] for r in N.lemmatize_joined(docs, "k", "t", table).collect()}
-    inline = {r["k"]: r["t"] for r in docs.select("k", N.lemmatize(F.col("t"), lemmas).alias("t")).collect()}
-    assert joined == inline == {1: ["film", "be", "film", "x"], 2: [], 3: ["go"]}
+    rows = [(1, ["Films", "is", "Films", "x"]), (2, []), (3, ["gone"]), (3, ["is"]), (3, ["is"]), (None, ["films"]), (None, None)]
+    docs = spark.createDataFrame(rows, "k int, t array<string>")
+    table = spark.createDataFrame([*lemmas.items(), ("films", "movie")], "form string, lemma string")
+    key = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    joined = key(N.lemmatize_with_table(docs, "t", table))
+    assert joined == key(docs.select("k", N.lemmatize(F.col("t"), lemmas).alias("t")))
+    assert (None, ["film"]) in joined and (None, None) in joined and len(joined) == len(rows)
 
 
 def test_joined_stop_words_keep_repeats_and_negations(spark):
@@ -150,9 +152,3 @@ def test_truncate_and_pad(spark):
 
 def test_timestamp_text(spark):
     assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d", spark.range(1).select(C.timestamp_text()).first()[0])
-
-
-def test_inline_lookup_refuses_large_dictionaries(spark, monkeypatch):
-    monkeypatch.setattr(N, "MAX_INLINE_ENTRIES", 2)
-    with pytest.raises(ValueError):
-        N.inline_lookup({"a": "1", "b": "2", "c": "3"})

@@ -83,26 +83,23 @@ def random_texts(n, seed, words=12, longest=40):
     return [" ".join(rng.choices(alphabet, weights, k=rng.randint(0, longest))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("staged", [False, True])
 @pytest.mark.parametrize("k,min_df,max_df,high,low", [
-    (5, 2, 0.95, 3, 1), (30, 2, 0.95, 3, 1), (7500, 2, 0.95, 3, 1), (20, 3, 0.5, 3, 1), (12, 1, 1.0, 2, 2), (9, 2, 0.9, 1, 1),
+    (5, 2, 0.95, 3, 1), (30, 2, 0.95, 3, 1), (7500, 2, 0.95, 3, 1), (20, 3, 0.5, 3, 1), (12, 1, 0.3, 3, 2), (12, 1, 1.0, 2, 2), (9, 2, 0.9, 1, 1),
 ])
-def test_vocabulary_equals_brute_force(spark, staged, k, min_df, max_df, high, low):
+def test_vocabulary_equals_brute_force(spark, k, min_df, max_df, high, low):
     texts = random_texts(40, k) + ["", "lone word here", "aa aa aa aa aa aa"]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
-    got = fit_vocabulary(df, "text", max_features=k, min_df=min_df, max_df=max_df, ngram_range=(low, high), staged=staged)
+    got = fit_vocabulary(df, "text", max_features=k, min_df=min_df, max_df=max_df, ngram_range=(low, high))
     assert (got.terms, got.df, got.cf) == brute_vocabulary(texts, k, min_df, max_df, high, low)
     assert got.n_docs == len(texts)
 
 
-def test_staged_counting_without_a_broadcast(spark, monkeypatch):
-    from corpusloom.operators import vocabulary
-
-    monkeypatch.setattr(vocabulary, "MAX_BROADCAST_TERMS", 3)
-    texts = random_texts(30, 7)
+@pytest.mark.parametrize("k", range(1, 12))
+def test_ties_at_the_last_place(spark, k):
+    texts = ["aa bb aa cc", "aa bb cc", "bb aa cc", "cc aa bb", "aa bb aa cc dd"]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
-    got = fit_vocabulary(df, "text", max_features=25, staged=True)
-    assert got.terms == brute_vocabulary(texts, 25, 2, 0.95)[0]
+    got = fit_vocabulary(df, "text", max_features=k, min_df=2, max_df=0.9)
+    assert (got.terms, got.df, got.cf) == brute_vocabulary(texts, k, 2, 0.9, 3, 1)
 
 
 def test_document_frequency_edges(spark):
@@ -205,12 +202,9 @@ def test_vocabulary_round_trip(spark, corpus, tmp_path):
     assert Vocabulary.load(spark, str(tmp_path / "v")) == vocab
 
 
-def test_vocabulary_size_is_checked(monkeypatch):
-    from corpusloom.operators import vocabulary
-
-    monkeypatch.setattr(vocabulary, "MAX_VOCABULARY", 1)
+def test_too_many_features_are_refused_before_any_work(spark):
     with pytest.raises(ValueError):
-        Vocabulary(["a", "b"], [1, 1], [1, 1], 2)
+        fit_vocabulary(spark.range(1).select(F.raise_error(F.lit("read"))), "text", max_features=10**7)
 
 
 # ---- Naive Bayes -----------------------------------------------------------------------------
