@@ -1,0 +1,267 @@
+"""Neighbours, URL verdicts, mixing and secrets against plain Python and SQL."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import itertools
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+
+from corpusloom.llm import mixing, neighbours, secret_scan, url_filter
+from corpusloom.llm.queries import ORACLES, QUERIES, URL_RULES
+from tests.llm import data
+from tests.oracle_compare import compare, connect
+
+TINY = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_its_sql(spark, name):
+    assert compare(spark, connect(TINY), name, TINY) is None
+
+
+def test_every_operator_has_one_query():
+    numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
+    assert numbers == list(range(1, 11))
+
+
+# ---- neighbours ------------------------------------------------------------------------------
+
+
+def test_chi_square_quantile():
+    assert math.isclose(neighbours.chi_square_quantile(0.95, 8), 15.507313, rel_tol=1e-6)  # published table
+    assert math.isclose(neighbours.chi_square_quantile(0.99, 2), -2 * math.log(0.01), rel_tol=1e-9)
+
+
+def plain_neighbours(rows: list[tuple], k: int) -> dict[int, list[tuple[float, int]]]:
+    good = [(i, np.array(v, float)) for i, v in dict(rows).items() if v and None not in v and np.isfinite(v).all() and np.any(v) and len(v) == 16]
+    out = {}
+    for i, v in good:
+        if i % 50 == 0:
+            found = [(-float((v * w).sum() / (np.sqrt((w * w).sum()) * np.sqrt((v * v).sum()))), j) for j, w in good if j != i]
+            out[i] = sorted((round(s, 12), j) for s, j in found)[:k]
+    return out
+
+
+def test_recall_and_scores(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((8, 16))
+    rows = [(i, [float(x) for x in (centres[i % 8] + 0.3 * rng.standard_normal(16) if i % 3 else rng.standard_normal(16))]) for i in range(1500)]
+    rows += [(2000 + i, rows[50][1]) for i in range(9)] + [rows[7]]  # copies of a vector, a row that repeats
+    rows += [(3000, None), (3050, [0.0] * 16), (3100, [1.0] * 15 + [float("nan")]), (3150, [1.0] * 15 + [None]), (3200, [1.0, 2.0]), (None, [1.0] * 16)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 as id", "2 as cell", "3 as q", "4 as v")
+    got = collections.defaultdict(list)
+    for r in neighbours.nearest(table, cell_rows=200).collect():
+        got[r["query_id"]].append((r["rank"], round(-r["score"], 12), r["vec_id"]))
+    want = plain_neighbours([r for r in rows if r[0] is not None], 5)
+    assert set(got) == set(want)
+    hits = 0
+    for i, found in got.items():
+        found.sort()
+        assert [f[0] for f in found] == [1, 2, 3, 4, 5]
+        assert found == sorted(found, key=lambda f: (f[1], f[2]))
+        hits += len({f[2] for f in found} & {j for _, j in want[i]})
+    assert hits >= 0.9 * 5 * len(want)
+    assert [f[2] for f in got[50]][:5] == [2000, 2001, 2002, 2003, 2004]
+
+
+def test_few_vectors(spark):
+    schema = "vec_id long, embedding array<float>"
+    assert neighbours.nearest(spark.createDataFrame([], schema)).collect() == []
+    rows = neighbours.nearest(spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (50, [0.0, 2.0])], schema)).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in rows) == [(0, 1, 1), (0, 2, 50), (50, 1, 1), (50, 2, 0)]
+
+
+# ---- URL verdicts ----------------------------------------------------------------------------
+
+
+def split_url(url: str | None) -> tuple[str, str]:
+    if not url or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    cut = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+    tail = rest[cut:]
+    end = min([tail.find(c) for c in "?#" if c in tail], default=len(tail))
+    return "".join(c.lower() if c.isascii() else c for c in rest[:cut]), tail[:end]
+
+
+def listed(host: str, path: str) -> str | None:
+    fits = []
+    for rule, _ in URL_RULES:
+        name, slash, rest = rule.partition("/")
+        if (host == name or host.endswith("." + name)) and path.startswith(slash + rest):
+            fits.append(rule)
+    return max(fits, key=len, default=None)
+
+
+def urls() -> list[str | None]:
+    rng = random.Random(2)
+    hosts = ["a.example.org", "b.example.org", "www.good.com", "m.casino-win.example.com", "free-bets.net", "blog.x.net"]
+    out = [f"https://{rng.choice(hosts)}/{rng.choice(['en', 'de', 'fr', 'es'])}/{rng.randrange(40)}{rng.choice(['', '/', '.html', '?a=1', '#t'])}" for _ in range(300)]
+    return out + [None, "", "no scheme/de/", "http://ORG", "http://org/", "http://x.ORG?q=/de/", "HTTP://É.Com/de/\nx", "a://b://c/d", "http://xcom/de/1", out[0]]
+
+
+def plain_verdicts(all_urls: list, support: float, confidence: float) -> list[str]:
+    """Every set of tokens counted, then pruned and matched one by one."""
+
+    def tokens(url):
+        host, path = split_url(url)
+        found = {"host=" + w for w in host.replace("-", ".").split(".") if w}
+        found |= {"path=" + w for w in path.split("/") if w}
+        if url and "://" in url and "?" in url.split("#")[0]:
+            found |= {"query=" + w for w in url.split("#")[0].split("?", 1)[1].split("&") if w}
+        return frozenset(re.sub("[0-9]+", "#", t) for t in found)
+
+    labelled = {}
+    for u in set(all_urls):
+        host, path = split_url(u)
+        if rule := listed(host, path):
+            labelled[(host, path, tokens(u))] = dict(URL_RULES)[rule]
+    counts, with_verdict = collections.Counter(), collections.Counter()
+    for (_, _, t), verdict in labelled.items():
+        for n in range(1, len(t) + 1):
+            for items in itertools.combinations(sorted(t), n):
+                counts[items] += 1
+                with_verdict[items, verdict] += 1
+    least = math.ceil(support * len(labelled))
+    rules = {(i, v): n / counts[i] for (i, v), n in with_verdict.items() if n >= least and n / counts[i] >= confidence}
+    kept = {k: c for k, c in rules.items() if not any(set(i) < set(k[0]) and v == k[1] and rules[i, v] >= c for i, v in rules)}
+    out = []
+    for u in all_urls:
+        host, path = split_url(u)
+        if rule := listed(host, path):
+            out.append(dict(URL_RULES)[rule])
+            continue
+        hits = [(c, len(i), with_verdict[i, v], i, v) for (i, v), c in kept.items() if set(i) <= tokens(u)]
+        out.append(max(hits)[-1] if hits else "allow")
+    return out
+
+
+def test_verdicts_equal_plain_mining(spark):
+    all_urls = urls()
+    pages = spark.createDataFrame([(i, u, "h", "x", "y") for i, u in enumerate(all_urls)], "page_id long, url string, host string, rule string, tokens string")
+    got = sorted(url_filter.judge_urls(pages, URL_RULES, support=0.02, confidence=0.8).collect(), key=lambda r: r["page_id"])
+    want = plain_verdicts(all_urls, 0.02, 0.8)
+    for r, u, verdict in zip(got, all_urls, want, strict=True):
+        host, path = split_url(u)
+        assert (r["host"], r["path"], r["rule"], r["verdict"]) == (host, path, listed(host, path), verdict), u
+    assert {r["verdict"] for r in got if r["rule"] is None} == {"allow", "block"}
+
+
+def test_no_urls_and_no_labels(spark):
+    schema = "page_id long, url string"
+    assert url_filter.judge_urls(spark.createDataFrame([], schema), URL_RULES).collect() == []
+    rows = url_filter.judge_urls(spark.createDataFrame([(1, "http://a.net/x"), (1, "http://a.net/x")], schema), URL_RULES).collect()
+    assert [(r["rule"], r["verdict"]) for r in rows] == [(None, "allow")] * 2
+
+
+# ---- mixing ----------------------------------------------------------------------------------
+
+
+def plain_targets(sizes: dict, weights=(5, 2, 1), repeats: int = 3) -> dict:
+    names = sorted(sizes, key=lambda s: (s is None, s))
+    weight = {s: weights[i % 3] for i, s in enumerate(names)}
+    target, fixed = {}, {}
+    while True:
+        free = [s for s in names if s not in fixed]
+        rest = sum(sizes.values()) - sum(fixed.values())
+        total = sum(weight[s] for s in free)
+        target = fixed | {s: rest * weight[s] / total for s in free}
+        over = [s for s in free if target[s] > repeats * sizes[s]]
+        if not over:
+            return target
+        fixed |= {s: repeats * sizes[s] for s in over}
+
+
+def test_mix_meets_its_targets(spark):
+    docs = data.documents(spark, data.rows() + [(400 + i, "w " * (i + 1), "en", "tiny") for i in range(3)])
+    got = mixing.mix_counts(docs).collect()
+    assert len(got) == docs.count()
+    sizes = collections.Counter()
+    for r in docs.collect():
+        sizes[r["source"]] += len(data.words(r["text"]))
+    want = plain_targets(dict(sizes))
+    by_size = {size: source for source, size in sizes.items()}
+    taken = collections.Counter()
+    for r in got:
+        source = by_size[r["source_size"]]
+        assert math.isclose(r["target"], want[source], rel_tol=1e-12)
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        taken[source] += r["taken"]
+    assert all(abs(taken[s] - want[s]) <= 1 for s in sizes)
+    order = lambda rows: sorted(map(str, rows))
+    assert order(got) == order(mixing.mix_counts(docs.repartition(7)).collect())
+
+
+def test_mixed_documents_hold_the_words_taken(spark):
+    docs = data.documents(spark)
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    rows = mixed.collect()
+    counts = collections.Counter()
+    for r in mixing.mix_counts(docs).collect():
+        counts[r["doc_id"]] += r["taken"]
+    got = collections.Counter()
+    for r in rows:
+        got[r["doc_id"]] += len(data.words(r["text"]))
+        assert r["n_chars"] == len(r["text"])
+    assert got == +counts
+    assert mixing.mixed_documents(data.empty(spark)).collect() == []
+    assert mixing.mix_counts(data.empty(spark)).collect() == []
+    blank = data.documents(spark, [(1, None, None, None), (2, "", "en", "s")])
+    assert [r["taken"] for r in mixing.mix_counts(blank).collect()] == [0, 0]
+
+
+# ---- secrets ---------------------------------------------------------------------------------
+
+
+def planted(n: int) -> list[tuple]:
+    rng = random.Random(6)
+    out = []
+    for i in range(n):
+        value = hashlib.sha1(str(i).encode()).hexdigest()
+        number = "".join(rng.choices("0123456789", k=16))
+        one, two = data.prose(rng, 30), data.prose(rng, 30)
+        out.append((500 + i, f'{one} token = "{value}" {two} {number} and https://a.example.com/{value[:20]}/x.html', "en", "s"))
+    return out
+
+
+def test_planted_secrets_are_found_and_masked(spark):
+    docs = data.documents(spark, data.rows() + planted(40) + [(600, 'password: "kJ8vQ2mZx9rT" x\u0001y', "en", "s")])
+    found = secret_scan.scan(docs).collect()
+    for i in range(40):
+        value = hashlib.sha1(str(i).encode()).hexdigest()
+        own = {r["value"]: r["secret"] for r in found if r["doc_id"] == 500 + i}
+        assert own.pop(value) is True and len(own) == 2 and not any(own.values())
+    assert all(0 <= r["score"] <= 1 for r in found)
+    clean = secret_scan.redact(docs)
+    assert clean.columns == docs.columns and clean.count() == docs.count()
+    old, new = ({r["doc_id"]: r for r in df.collect()} for df in (docs, clean))
+    for i, row in new.items():
+        if i is not None and 500 <= i < 540:
+            value = hashlib.sha1(str(i - 500).encode()).hexdigest()
+            assert row["text"] == old[i]["text"].replace(f'"{value}"', f'"{secret_scan.MASK}"') and row["n_chars"] == len(row["text"])
+        elif i != 600:
+            assert row == old[i]
+    assert "kJ8vQ2" not in new[600]["text"] and new[600]["text"].startswith('password: "<SECRET>"')
+
+
+def test_nothing_to_scan_and_nothing_to_learn(spark):
+    assert secret_scan.scan(data.empty(spark)).collect() == []
+    assert secret_scan.redact(data.empty(spark)).collect() == []
+    one = data.documents(spark, planted(1)[:1] + [(1, None, None, None)])
+    assert {r["secret"] for r in secret_scan.scan(one.limit(0)).collect()} == set()
+    assert secret_scan.redact(one).count() == 2
+
+
+def test_given_labels_teach_the_forest(spark):
+    docs = data.documents(spark, planted(20))
+    found = secret_scan.candidates(docs, "doc_id", "text")
+    labels = found.selectExpr("value", "before", "after", "case when length(value) = 16 then 1.0d else 0.0d end as label")
+    got = [(len(r["value"]), r["secret"]) for r in secret_scan.scan(docs, labels=labels).collect()]
+    assert len(got) == 60 and all(secret == (n == 16) for n, secret in got)
