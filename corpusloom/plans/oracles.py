@@ -502,10 +502,31 @@ ided AS (
   FROM clean c JOIN labels l ON c.doc_id = l.doc_id),""" + _split("ided", "doc_id", "pos", "held", "held_out", 20260228) + """,
 reviews AS (SELECT doc_id, text, pos FROM held WHERE held_out = 0),
 unseen AS (SELECT doc_id, text, pos FROM held WHERE held_out = 1),""" + _split("reviews", "doc_id", "pos", "split")
-ORACLES["end_to_end_run"] = _sql(
+_CONFUSED = """count(*) FILTER (WHERE pos = 1 AND prediction = 1) AS "TP", count(*) FILTER (WHERE pos = 0 AND prediction = 1) AS "FP",
+       count(*) FILTER (WHERE pos = 0 AND prediction = 0) AS "TN", count(*) FILTER (WHERE pos = 1 AND prediction = 0) AS "FN" """
+_RUN_CTES = (
     _clean_bow(_RUN) + _MNB + "," + _grams("unseen", "doc_id", "text", "unseen_tf")
-    + "," + _scores("split", "tf", "doc_id", "scored") + "," + _scores("unseen", "unseen_tf", "doc_id", "tested") + """,
-judged AS (
-  SELECT 'validation' AS subset, pos AS label, prediction FROM split JOIN scored USING (doc_id) WHERE validation_set = 1
-  UNION ALL SELECT 'test', pos, prediction FROM unseen JOIN tested USING (doc_id))""",
-    _measures("judged", "subset, 'MNB_BOW' AS model", "subset"))
+    + "," + _scores("split", "tf", "doc_id", "scored") + "," + _scores("unseen", "unseen_tf", "doc_id", "tested")
+    + "," + _SUMS.format(rows="split", v="tf", features="bow") + "," + _top("means", "pos_total", "neg_total", "score") + """,
+unseen_bow AS (SELECT doc_id, term FROM unseen_tf JOIN vocab USING (term)),
+validated AS (SELECT pos, prediction FROM split JOIN scored USING (doc_id) WHERE validation_set = 1),
+unseen_judged AS (SELECT pos, prediction FROM unseen JOIN tested USING (doc_id))""")
+_RUN_STEPS = {
+    "check_files": f"SELECT sum(violations) AS violations FROM ({ORACLES['file_structure_report']})",
+    "check_table": f"SELECT sum(violations) AS violations FROM ({ORACLES['review_table_report']})",
+    "check_hashes": f"SELECT match_true, match_false FROM ({ORACLES['hash_match_counts']})",
+    "convert": "SELECT count(*) AS rows FROM ided",
+    "split": "SELECT count(*) FILTER (WHERE validation_set = 0) AS train, count(*) FILTER (WHERE validation_set = 1) AS validation FROM split",
+    "clean": "SELECT count(*) AS rows, count(*) FILTER (WHERE text = '') AS empty FROM ided",
+    "clean_light": "SELECT count(*) AS rows FROM ided",
+    "bow": "SELECT (SELECT count(*) FROM vocab) AS terms, (SELECT count(*) FROM bow) + (SELECT count(*) FROM unseen_bow) AS cells",
+    "tfidf": "SELECT (SELECT count(DISTINCT doc_id) FROM bow) + (SELECT count(DISTINCT doc_id) FROM unseen_bow) AS unit_rows",
+    "train_mnb": f"SELECT {_CONFUSED} FROM validated",
+    "train_svm": "SELECT count(*) AS rows FROM validated",
+    "top_bow": "SELECT count(*) AS rows, sum(score) AS total FROM ranked",
+    "top_tfidf": "SELECT 2 * least(50, count(*)) AS rows FROM vocab",
+    "test": f"SELECT {_CONFUSED} FROM unseen_judged",
+}
+ORACLES["end_to_end_run"] = _sql(_RUN_CTES, " UNION ALL ".join(
+    f"SELECT '{step}' AS step, measure, CAST(value AS BIGINT) AS value FROM (UNPIVOT (SELECT CAST(COLUMNS(*) AS BIGINT) FROM ({sql})) "
+    "ON COLUMNS(*) INTO NAME measure VALUE value)" for step, sql in _RUN_STEPS.items()))

@@ -16,6 +16,12 @@ from corpusloom.plans import inputs
 from corpusloom.session import materialise
 from corpusloom.sources import labelled_files, tables
 
+#: What a step needs from earlier ones of the same run.
+NEEDS = {
+    "bow": ("clean",), "tfidf": ("bow",), "train_mnb": ("split", "bow"), "train_svm": ("split", "tfidf"),
+    "score_external": ("clean_light",), "top_bow": ("bow",), "top_tfidf": ("split", "tfidf"),
+}
+
 STEPS = (
     "check_files", "convert", "check_table", "check_hashes", "split", "clean", "clean_light",
     "bow", "tfidf", "train_mnb", "train_svm", "score_external", "top_bow", "top_tfidf", "test",
@@ -75,7 +81,8 @@ class ModelRun:
 
     def clean_light(self) -> None:
         for name, df in self.tables.items():
-            self.tables[name] = df.withColumn("Review_preprocessed_BERT", light_clean(F.col("Review")))
+            light = df.withColumn("Review_preprocessed_BERT", light_clean(F.col("Review")))
+            self.tables[name] = self._store(light, f"{name}_clean_light")
 
     def bow(self) -> None:
         s = self.settings
@@ -92,7 +99,7 @@ class ModelRun:
 
     def tfidf(self) -> None:
         for name, df in self.features.items():
-            self.features[name] = vectorize.tfidf_features(df, "bow", self.vocab)
+            self.features[name] = self._store(vectorize.tfidf_features(df, "bow", self.vocab), f"{name}_tfidf")
 
     def _validate(
         self, name: str, predict: Callable[[DataFrame], DataFrame], seconds: float, inputs: dict[str, DataFrame]
@@ -148,8 +155,11 @@ class ModelRun:
     def run(self, steps: Iterable[str]) -> dict[str, DataFrame]:
         """Run the named steps in their fixed order; the results are lazy tables."""
         wanted = set(steps)
-        for step in STEPS:
-            if step in wanted and hasattr(self, step):
+        for step in sorted(wanted & set(NEEDS)):
+            if missing := set(NEEDS[step]) - wanted:
+                raise ValueError(f"step {step} needs {sorted(missing)}")
+        for step in STEPS[STEPS.index("split"):]:
+            if step in wanted:
                 getattr(self, step)()
         rows = [df for name, df in self.results.items() if name.startswith("validation_")]
         if rows:
@@ -202,15 +212,32 @@ def run_on_files(
 TEST_SEED = 20260228
 
 
-def run_on_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """The run on the labelled documents of a data folder, a fifth of them held out for the test."""
-    rows = inputs.raw_reviews(spark, folder)
+def run_on_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The run on the labelled documents of a data folder, a fifth of them held out for the test.
+
+    One row of counts for each step from ``convert`` to ``test``. Checks of files have their own
+    reports, and ``score_external`` needs a model of the caller's.
+    """
+    rows = materialise(inputs.raw_reviews(spark, folder), "reviews")
     held_out = split.add_validation_split(rows, "Unique_ID", "POS", seed=TEST_SEED).withColumnRenamed("validation_set", "held_out")
     train, test = (held_out.where(F.col("held_out") == v).drop("held_out") for v in (0, 1))
-    run = ModelRun(train, test, "Unique_ID", Settings())
-    results = run.run(["split", "clean", "bow", "tfidf", "train_mnb", "test"])
-    columns = ["model", *metrics.COUNTS, *[F.round(c, 6).alias(c) for c in metrics.TEST_COLUMNS[6:]]]
-    return metrics.compare([
-        results["validation_metrics"].select(F.lit("validation").alias("subset"), *columns),
-        results["test_metrics"].select(F.lit("test").alias("subset"), *columns),
-    ])
+    run = ModelRun(train, test, "Unique_ID", Settings(svm_c=10.0, svm_max_iter=20))
+    results = run.run(["split", "clean", "clean_light", "bow", "tfidf", "train_mnb", "train_svm", "top_bow", "top_tfidf", "test"])
+    count = F.count(F.lit(1)).alias("rows")
+    both = {name: run.tables["train"].select(name).union(run.tables["test"].select(name)) for name in ("Review_preprocessed", "Review_preprocessed_BERT")}
+    features = run.features["train"].select("bow", "tfidf").union(run.features["test"].select("bow", "tfidf"))
+    size = F.size("bow.indices")
+    confusion = lambda name, model: results[name].where(F.col("model") == model).select(*metrics.COUNTS)
+    return {
+        "convert": rows.agg(count),
+        "split": run.tables["train"].agg(F.count_if(F.col("validation_set") == 0).alias("train"), F.count_if(F.col("validation_set") == 1).alias("validation")),
+        "clean": both["Review_preprocessed"].agg(count, F.count_if(F.col("Review_preprocessed") == "").alias("empty")),
+        "clean_light": both["Review_preprocessed_BERT"].agg(F.count("Review_preprocessed_BERT").alias("rows")),
+        "bow": features.agg(F.lit(len(run.vocab)).alias("terms"), F.sum(size).alias("cells")),
+        "tfidf": features.agg(F.count_if(F.aggregate("tfidf.values", F.lit(0.0), lambda acc, v: acc + v * v) > 0.999).alias("unit_rows")),
+        "train_mnb": confusion("validation_MNB_BOW", "MNB_BOW"),
+        "train_svm": confusion("validation_SVM_TFIDF", "SVM_TFIDF").select(sum(map(F.col, metrics.COUNTS)).alias("rows")),
+        "top_bow": results["top_bow_total"].agg(count, F.sum("bow_total_count").alias("total")),
+        "top_tfidf": results["top_tfidf"].agg(count),
+        "test": confusion("test_metrics", "MNB_BOW"),
+    }
