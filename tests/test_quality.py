@@ -126,3 +126,10 @@ def test_strict_hash_check_raises_on_a_missing_file(spark):
     rows = table(spark, [("1", "POS3", "9", "elsewhere")])
     with pytest.raises(Exception, match="source file missing for POS3"):
         integrity.hash_check(rows, sources(spark), split="train", strict=True).collect()
+
+
+def test_numbers_too_long_for_a_type_are_out_of_range(spark):
+    files = spark.createDataFrame([("/c/train/pos/99999999999999999999_5.txt",), ("/c/train/pos/3_99999999999.txt",)], "path string")
+    got = {(r["subset"], r["check"]): r["violations"] for r in quality.file_report(files).collect()}
+    assert got["train_pos", "id_out_of_range"] == 1 and got["train_pos", "score_out_of_range"] == 1
+    assert got["train_pos", "id_not_digits"] == 0
