@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.arrow_text import Words, add_columns, hash_bytes, mix, text_bytes, words_of
+from corpusloom.llm.arrow_text import Words, add_columns, coded, hash_bytes, mix, text_bytes, words_of
 from corpusloom.session import materialise
 
 SHINGLE = 5
@@ -136,13 +136,8 @@ def text_name(key: Column, body: Column) -> Column:
 
 
 def entries(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Per row: ``id``, ``copy`` (equal for equal texts, unique without words), ``n`` shingles, ``bands``, ``sketch``.
-
-    ``sketch`` has 16 bits of each place of the signature.
-    """
-    fields = [
-        T.StructField("n", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType()),
-    ]
+    """Per row: ``id``, ``copy`` (equal for equal texts, unique without words), ``n`` shingles, ``bands``."""
+    fields = [T.StructField("n", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))]
 
     def work(piece: pa.RecordBatch) -> list[pa.Array]:
         words = words_of(*text_bytes(piece.column(2)))
@@ -153,8 +148,7 @@ def entries(docs: DataFrame, key: str, text: str) -> DataFrame:
         some = n > 0
         offsets = np.concatenate([[0], np.cumsum(some * BANDS)]).astype(np.int32)
         bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[some].ravel()))
-        sketch = pa.array([row.tobytes() for row in (signature & _U(0xFFFF)).astype(np.uint16)], pa.binary())
-        return [pa.array(n), bands, sketch]
+        return [pa.array(n), bands]
 
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).alias("id"), text_name(F.col(key), body).alias("copy"), body.alias("__text"))
@@ -218,71 +212,102 @@ def components(edges: DataFrame) -> DataFrame:
 
 #: Rows of a bucket that are compared with as many others in one task.
 BLOCK = 512
-#: A pair is verified if its signatures agree in this share of places; similar pairs fall below it once in a thousand at 0.8 exactly.
-LIKELY = 0.7
+
+
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """``node`` and its ``shingles``: 32 bits of the hash of each shingle and repeat number, end to end."""
+
+    def work(piece: pa.RecordBatch) -> list[pa.Array]:
+        words = words_of(*text_bytes(piece.column(1)))
+        doc, value, count = multisets(words)
+        row = np.repeat(np.arange(len(doc)), count)
+        turn = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        name = (mix(value[row] + turn.astype(np.uint64)) >> _U(32)).astype(np.uint32)
+        ends = np.concatenate([[0], np.cumsum(np.bincount(doc[row], minlength=words.n_docs))]) * 4
+        raw = name.tobytes()
+        return [pa.array([raw[i:j] for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.binary())]
+
+    return add_columns(texts, "text", [T.StructField("shingles", T.BinaryType())], work, keep=["node"])
 
 
 def _numbers(column: str) -> Column:
     return F.sequence(F.lit(0).cast("long"), F.col(column).cast("long") - 1)
 
 
-def left_over_pairs(members: DataFrame, labels: DataFrame, sketches: DataFrame, first: int, last: int | None) -> DataFrame:
-    """Pairs of a bucket that are not yet in one component, and whose signatures agree.
-
-    Outside the bucket's largest component, every member is compared with all members, in blocks, by
-    signature only; of its agreeing partners, those from place ``first`` to before ``last`` in the order
-    of agreement in a block are returned. Pairs of one component are never made.
+def _links(outside: list[np.ndarray], members: list[np.ndarray], outside_root: np.ndarray, member_root: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs (outside, member) that are similar, enough of them to join what they join."""
+    owner = np.repeat(np.arange(len(members)), [len(x) for x in members])
+    name = np.concatenate(members) if members else np.zeros(0, np.uint32)
+    order = np.argsort(name, kind="stable")
+    name, owner = name[order], owner[order]
+    size = np.array([len(x) for x in members])
+    parent = np.arange(max(member_root.max(initial=0), outside_root.max(initial=0)) + 1)
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    found = []
+    for i, own in enumerate(outside):
+        low, high = np.searchsorted(name, own, "left"), np.searchsorted(name, own, "right")
+        n = high - low
+        at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        shared = np.bincount(owner[at], minlength=len(members))
+        for j in np.flatnonzero(shared >= (SIMILAR - 0.005) * (size + len(own) - shared)).tolist():
+            a, b = root(outside_root[i]), root(member_root[j])
+            if a != b:
+                parent[a] = b
+                found.append((i, j))
+    return found
+
+
+def left_over_pairs(members: DataFrame, labels: DataFrame, shingles: DataFrame) -> DataFrame:
+    """Similar pairs of a bucket that are not in one component yet.
+
+    Outside the bucket's largest component, every member is compared with all members, in blocks of rows.
+    The task counts shared shingles exactly and reports only pairs that join components, so there are
+    fewer of them in a block than components.
     """
-    rows = members.join(labels, "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("root"))
+    rows = members.join(labels, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
     groups = rows.groupBy("band", "root").agg(F.count("*").alias("rows"))
     of_band = groups.groupBy("band").agg(
         F.sum("rows").alias("size"), F.count("*").alias("groups"), F.max_by("root", F.struct("rows", "root")).alias("largest"),
         (F.sum("rows") - F.max("rows")).alias("outside"),
     ).filter(F.col("groups") > 1)
-    rows = rows.join(of_band, "band").join(sketches, "node")
-    rows = rows.withColumn("left_blocks", F.ceil(F.col("outside") / BLOCK).cast("int")).withColumn("right_blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    rows = rows.withColumn("spot", F.xxhash64("node", F.lit(7)))
-    put = ["band", "node", "n", "root", "sketch"]
+    rows = rows.join(of_band, "band").join(shingles, "node")
+    rows = rows.withColumn("left_blocks", F.ceil(F.col("outside") / BLOCK)).withColumn("right_blocks", F.ceil(F.col("size") / BLOCK))
+    spot = F.xxhash64("node", F.lit(7))
+    put = ["band", "node", "root", "shingles"]
     left = rows.filter(F.col("root") != F.col("largest")).select(
-        *put, F.lit(True).alias("outside"), F.pmod("spot", "left_blocks").alias("l"), F.explode(_numbers("right_blocks")).alias("r"))
+        *put, F.lit(True).alias("outside"), F.pmod(spot, F.col("left_blocks")).alias("l"), F.explode(_numbers("right_blocks")).alias("r"))
     right = rows.select(
-        *put, F.lit(False).alias("outside"), F.explode(_numbers("left_blocks")).alias("l"), F.pmod("spot", "right_blocks").alias("r"))
+        *put, F.lit(False).alias("outside"), F.explode(_numbers("left_blocks")).alias("l"), F.pmod(spot, F.col("right_blocks")).alias("r"))
 
     def compare(table: pa.Table) -> pa.Table:
         outside = table["outside"].to_numpy().astype(bool)
-        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint16).reshape(-1, PLACES)
-        root, node, n = (np.array(table[c].to_pylist(), object) for c in ("root", "node", "n"))
-        _, group = np.unique(np.array([x.hex() for x in root]), return_inverse=True)
-        others = np.flatnonzero(~outside)
-        a, b = [], []
-        for i in np.flatnonzero(outside):
-            share = (sketch[others] == sketch[i]).mean(1)
-            size = n[others].astype(float)
-            fits = (share >= LIKELY) & (np.minimum(size, n[i]) >= SIMILAR * np.maximum(size, n[i])) & (node[others] != node[i])
-            found = others[fits][np.argsort(-share[fits], kind="stable")][first:last]
-            found = found[group[found] != group[i]]
-            a += [node[i]] * len(found)
-            b += list(node[found])
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+        one, many = np.flatnonzero(outside), np.flatnonzero(~outside)
+        names = [np.frombuffer(x, np.uint32) for x in table["shingles"].to_pylist()]
+        root, _ = coded(table["root"].combine_chunks())
+        found = _links([names[i] for i in one], [names[i] for i in many], root[one], root[many])
+        node = table["node"]
+        return pa.table({"a": node.take(pa.array([one[i] for i, _ in found], pa.int64())), "b": node.take(pa.array([many[j] for _, j in found], pa.int64()))})
 
     pairs = left.union(right).groupBy("band", "l", "r").applyInArrow(compare, "a binary, b binary")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-#: Partners per member and block that the passes over left-over pairs take: all, in three goes.
-PAGES = ((0, 8), (8, 128), (128, None))
-
-
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, ``copy``, ``class_id`` (smallest key of its class), ``class_size`` of every row.
+    """``key``, ``copy``, ``root``, ``class_id`` (smallest key of its class), ``class_size`` of every row.
 
     A class is a connected set of texts of which linked ones have a weighted Jaccard similarity of at
     least 0.8 over their 5-word shingles; a shorter text is one shingle. Equal texts are one node, so a
     group of copies of any size is one row from there on. Texts in one bucket of a band are linked to
     the bucket's hub first; members that this leaves in different components are then compared with all
-    members by signature, and what agrees is verified, in pages that together leave no pair out.
+    members of the bucket, and what joins components is verified.
     Texts that are null, empty or without words are alone in their class. Rows that repeat share one.
-    ``copy`` names the text. An empty table gives an empty table; other columns are not read.
+    ``copy`` names the text, ``root`` the class. An empty table gives an empty table; other columns are not read.
     """
     rows = materialise(entries(docs, key, text), "near-entries")
     nodes = materialise(rows.filter(F.col("n") > 0).groupBy("copy").agg(F.first("n").alias("n"), F.first("bands").alias("bands")), "near-nodes")
@@ -294,17 +319,13 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     texts = docs.select(F.unhex(F.md5(body)).alias("copy"), body.alias("text")).join(wanted, "copy", "left_semi")
     texts = materialise(texts.groupBy("copy").agg(F.first("text").alias("text")).select(F.col("copy").alias("node"), "text"), "near-texts")
     labels = components(verified(star_pairs(members), texts))
-    sketches = rows.select(F.col("copy").alias("node"), "sketch").join(members.select("node").distinct(), "node", "left_semi")
-    sketches = materialise(sketches.groupBy("node").agg(F.first("sketch").alias("sketch")), "near-sketches")
-    for first, last in PAGES:
-        pairs = materialise(left_over_pairs(members, labels, sketches, first, last), "near-pairs")
-        if not pairs.isEmpty():
-            more = labels.select(F.col("node").alias("a"), F.col("root").alias("b")).union(verified(pairs, texts))
-            labels = components(more)
+    shingles = materialise(shingle_sets(texts), "near-shingles")
+    pairs = materialise(left_over_pairs(members, labels, shingles), "near-pairs")
+    labels = components(labels.select(F.col("node").alias("a"), F.col("root").alias("b")).union(verified(pairs, texts)))
     placed = rows.select("id", "copy").join(labels.select(F.col("node").alias("copy"), "root"), "copy", "left")
     placed = placed.withColumn("root", F.coalesce("root", "copy"))
     firsts = placed.groupBy("root").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
-    return placed.join(firsts, "root").select(F.col("id").alias(key), "copy", "class_id", "class_size")
+    return placed.join(firsts, "root").select(F.col("id").alias(key), "copy", "root", "class_id", "class_size")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -316,7 +337,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs``, one of each class: that of the smallest key, of equal keys that of the smallest text hash."""
     found = classes(docs, key, text)
-    chosen = found.filter(F.col(key).eqNullSafe(F.col("class_id"))).groupBy("class_id").agg(F.min("copy").alias("copy"))
+    chosen = found.filter(F.col(key).eqNullSafe(F.col("class_id"))).groupBy("root", "class_id").agg(F.min("copy").alias("copy"))
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(key).alias("id"), text_name(F.col(key), body).alias("copy"))
     right = chosen.select(F.col("class_id").alias("id_"), F.col("copy").alias("copy_"))
