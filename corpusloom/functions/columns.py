@@ -52,10 +52,6 @@ def is_digits(text: Column) -> Column:
     return text.rlike(r"^\p{Nd}+$")
 
 
-def is_one_of(value: Column, allowed: list) -> Column:
-    return value.isin(allowed)
-
-
 def yes_no(flag: Column) -> Column:
     """``TRUE`` or ``FALSE``."""
     return F.upper(flag.cast("string"))

@@ -83,6 +83,7 @@ def run_metadata(
     train_size: int, val_size: int, training_seconds: float,
 ) -> DataFrame:
     """One nested row about a training run, ready for the JSON sink."""
+    # The names of the published metadata.
     measures = F.map_from_arrays(
         F.array(*[F.lit(f"eval_{m}") for m in ("accuracy", "precision", "recall", "f1")]),
         F.array("accuracy", "precision", "recall", "f-score"),

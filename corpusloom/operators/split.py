@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+# Fixed value: the seed of the published split.
 SEED = 20260225
 VALIDATION_FRACTION = 0.20
 

@@ -68,7 +68,7 @@ def test_csv_round_trip(spark, tmp_path, quote_all):
     tables.write_csv(spark.createDataFrame(TRICKY, tables.RAW_SCHEMA), path, quote_all)
     assert sorted(map(tuple, tables.read_csv_typed(spark, path, tables.RAW_SCHEMA).collect())) == sorted(TRICKY)
     text = tables.read_csv_text(spark, path)
-    assert dict(text.dtypes) == {c: "string" for c in tables.REQUIRED_HEADER}
+    assert dict(text.dtypes) == {c: "string" for c in tables.FOUR_NAMES}
     assert sorted(r["Review"] for r in text.collect()) == sorted(r[3] for r in TRICKY)
 
 
@@ -79,7 +79,7 @@ def test_fully_quoted_csv_is_readable_elsewhere(spark, tmp_path):
     assert lines[0] == '"POS","Unique_ID","Score","Review"' or lines[0] == "POS,Unique_ID,Score,Review"
     with part.open(newline="", encoding="utf-8") as f:
         rows = list(csv.reader(f))
-    assert rows[0] == tables.REQUIRED_HEADER
+    assert rows[0] == list(tables.FOUR_NAMES)
     assert sorted(r[3] for r in rows[1:]) == sorted(r[3] for r in TRICKY)
 
 
@@ -99,9 +99,9 @@ def test_strict_csv_finds_short_and_long_rows(spark, tmp_path):
 def test_headers(spark, tmp_path):
     head = "POS,Unique_ID,Score,Review"
     assert tables.require_header(spark, write(tmp_path / "a.csv", head + ",validation_set\n1,a,2,b,0\n"))[-1] == "validation_set"
-    with pytest.raises(AssertionError, match="none of"):
+    with pytest.raises(AssertionError, match="expected"):
         tables.require_header(spark, write(tmp_path / "b.csv", "POS,Review\n1,x\n"))
-    with pytest.raises(AssertionError, match="not a .csv"):
+    with pytest.raises(AssertionError, match="end in .csv"):
         tables.require_header(spark, write(tmp_path / "c.txt", head))
     with pytest.raises(AssertionError, match="no header"):
         tables.require_header(spark, write(tmp_path / "d.csv", ""))
