@@ -128,7 +128,8 @@ def fit(
     for name in names:
         tasks += [(pair, {x: x for x in languages}) for pair in combinations([x for x in languages if family_of[x] == name], 2)]
     weights, intercepts = [], []
-    vectors = sample.select("lang", array_to_vector("features").alias("features"))
+    # Every iteration of a fit is a job over the bounded sample; in four partitions it has one stage.
+    vectors = sample.select("lang", array_to_vector("features").alias("features")).coalesce(4)
     for (a, b), group in tasks:
         one, other = ([x for x in languages if group[x] == side] for side in (a, b))
         rows = vectors.filter(F.col("lang").isin(one + other)).select("features", F.col("lang").isin(one).cast("double").alias("label"))
