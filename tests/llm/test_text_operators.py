@@ -223,7 +223,7 @@ def test_models_that_normalise_are_refused():
 
 def test_language_of_held_out_documents(spark):
     rng = random.Random(3)
-    rows = [(i, data.prose(rng, 60, lang), lang, "s") for i in range(480) for lang in [("en", "de", "fr", "es")[i % 4]]]
+    rows = [(i + 1000, data.prose(rng, 60, lang), lang, "s") for i in range(480) for lang in [("en", "de", "fr", "es")[i % 4]]]
     docs = data.documents(spark, rows + data.rows()[24:])
     got = language.identify(docs, per_language=100).collect()
     assert len(got) == docs.count()
