@@ -16,11 +16,15 @@ from pyspark.sql import functions as F
 from corpusloom.session import materialise
 
 _KEYS = r"(?:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth[_-]?key|bearer)"
-_GIVEN = rf"(?i:\b{_KEYS})[\"']?[ \t]{{0,3}}[=:][ \t]{{0,3}}[\"']?"
-_CHARS = r"A-Za-z0-9+/_=\-"
-#: A value that a key word is given, or a run of 16 or more such characters that holds a digit.
-CANDIDATE = rf"{_GIVEN}[^\s\"']{{8,}}|(?<![{_CHARS}])(?=[A-Za-z+/_=\-]*[0-9])[A-Za-z0-9+/_\-]{{16,}}={{0,2}}(?![{_CHARS}])"
-_SECRET_WORDS = r"(?i)(token|secret|passw|api[_-]?key|access|auth|bearer|credential|private)"
+#: The key word may stand anywhere in a name; the look-ahead only saves time.
+_GIVEN = rf"(?=[AaBbPpSsTt])(?i:{_KEYS})[A-Za-z0-9_\-]*[\"']?[ \t]{{0,3}}[=:][ \t]{{0,3}}[\"']?"
+_RUN = r"A-Za-z0-9+/_\-"
+#: A value that a name with a key word is given, or a run of 16 or more such characters that holds a digit and isn't such a name.
+CANDIDATE = (
+    rf"{_GIVEN}[^\s\"']{{8,}}"
+    rf"|(?<![{_RUN}])(?=[A-Za-z+/_\-]*[0-9])(?=[{_RUN}]{{16}})(?![{_RUN}]*?{_GIVEN}[^\s\"']{{8}})[{_RUN}]{{16,}}={{0,2}}(?![{_RUN}=])"
+)
+_SECRET_WORDS = r"(?i)(token|secret|passw|api[_-]?key|access|auth|bearer|credential|private|\b(key|sig(nature)?)[\"']?[ \t]*[=:])"
 _PLAIN_WORDS = r"(?i)(sha-?\d*|md5|checksum|commit|digest|uuid|isbn|invoice|order|phone|card|account|version)"
 #: Labelled findings that the forest is fitted on, at most, for each label.
 TRAINING_ROWS = 20_000
@@ -107,7 +111,7 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
         F.length("value").cast("double").alias("length"), count("[^0-9]").alias("digits"), count("[^A-Z]").alias("upper"), count("[A-Za-z0-9]").alias("symbols"),
         (F.size(F.array_distinct(F.split(v, ""))) / n).alias("distinct"), flag(v.rlike("^[0-9a-fA-F]+$")).alias("hex"),
         F.coalesce("transitions", F.lit(-10.0)).alias("transitions"), F.coalesce(F.col("covered") / n, F.lit(0.0)).alias("coverage"),
-        flag(F.col("before").rlike(r"(://|[/@.\\])[^\s]*$")).alias("path_before"), flag(v.rlike("/")).alias("path_inside"),
+        flag(F.col("before").rlike(r"(://|[/@.\\])[^\s=]*$")).alias("path_before"), flag(v.rlike("/")).alias("path_inside"),
         flag(F.col("after").rlike(r"^[@/.][A-Za-z0-9]")).alias("suffix_after"), flag(near.rlike(_SECRET_WORDS)).alias("secret_word"),
         flag(near.rlike(_PLAIN_WORDS)).alias("plain_word"), flag(F.col("before").rlike(r"[=:][ \t]*[\"']?$")).alias("given"),
         flag(F.col("before").rlike(r"[\"']$") & F.col("after").rlike(r"^[\"']")).alias("quoted"),
