@@ -215,15 +215,15 @@ BLOCK = 512
 
 
 def shingle_sets(texts: DataFrame) -> DataFrame:
-    """``node`` and its ``shingles``: 32 bits of the hash of each shingle and repeat number, end to end."""
+    """``node`` and its ``shingles``: the 64-bit hash of each shingle and repeat number, end to end."""
 
     def work(piece: pa.RecordBatch) -> list[pa.Array]:
         words = words_of(*text_bytes(piece.column(1)))
         doc, value, count = multisets(words)
         row = np.repeat(np.arange(len(doc)), count)
         turn = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-        name = (mix(value[row] + turn.astype(np.uint64)) >> _U(32)).astype(np.uint32)
-        ends = np.concatenate([[0], np.cumsum(np.bincount(doc[row], minlength=words.n_docs))]) * 4
+        name = mix(value[row] + turn.astype(np.uint64) * _U(0x9E3779B97F4A7C15))
+        ends = np.concatenate([[0], np.cumsum(np.bincount(doc[row], minlength=words.n_docs))]) * 8
         raw = name.tobytes()
         return [pa.array([raw[i:j] for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.binary())]
 
@@ -235,9 +235,9 @@ def _numbers(column: str) -> Column:
 
 
 def _links(outside: list[np.ndarray], members: list[np.ndarray], outside_root: np.ndarray, member_root: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs (outside, member) that are similar, enough of them to join what they join."""
+    """Pairs (outside, member) that are similar by the test of ``verified``, enough of them to join what they join."""
     owner = np.repeat(np.arange(len(members)), [len(x) for x in members])
-    name = np.concatenate(members) if members else np.zeros(0, np.uint32)
+    name = np.concatenate(members) if members else np.zeros(0, np.uint64)
     order = np.argsort(name, kind="stable")
     name, owner = name[order], owner[order]
     size = np.array([len(x) for x in members])
@@ -255,7 +255,7 @@ def _links(outside: list[np.ndarray], members: list[np.ndarray], outside_root: n
         n = high - low
         at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
         shared = np.bincount(owner[at], minlength=len(members))
-        for j in np.flatnonzero(shared >= (SIMILAR - 0.005) * (size + len(own) - shared)).tolist():
+        for j in np.flatnonzero(shared / np.maximum(size + len(own) - shared, 1) >= SIMILAR).tolist():
             a, b = root(outside_root[i]), root(member_root[j])
             if a != b:
                 parent[a] = b
@@ -288,7 +288,7 @@ def left_over_pairs(members: DataFrame, labels: DataFrame, shingles: DataFrame)
     def compare(table: pa.Table) -> pa.Table:
         outside = table["outside"].to_numpy().astype(bool)
         one, many = np.flatnonzero(outside), np.flatnonzero(~outside)
-        names = [np.frombuffer(x, np.uint32) for x in table["shingles"].to_pylist()]
+        names = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
         root, _ = coded(table["root"].combine_chunks())
         found = _links([names[i] for i in one], [names[i] for i in many], root[one], root[many])
         node = table["node"]

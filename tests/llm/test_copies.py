@@ -85,6 +85,29 @@ def test_classes_equal_plain_comparison(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want.values()))
 
 
+def test_pairs_just_below_the_limit_hide_no_link(spark):
+    base = [f"w{i}" for i in range(1000)]
+
+    def edited(mark: str, places: list[int]) -> str:
+        return " ".join(f"{mark}{i}" if i in places else w for i, w in enumerate(base))
+
+    far = [edited(f"f{k}x", [10 + k + 40 * i for i in range(22)] + [998]) for k in range(20)]
+    texts = [" ".join(base), *far, edited("n", [10 + 40 * i for i in range(16)])]
+    near = [similarity(shingles(texts[0]), shingles(t)) for t in texts[1:]]
+    assert all(0.795 <= x < 0.8 for x in near[:-1]) and near[-1] > 0.84
+    table = spark.createDataFrame([(bytes([k]), t) for k, t in enumerate(texts)], "node binary, text string").coalesce(1)
+    names = bagminhash.shingle_sets(table)
+    kind = np.uint64 if len(names.first()["shingles"]) == 8 * 996 else np.uint32
+    sets = [np.frombuffer(r["shingles"], kind) for r in names.orderBy("node").collect()]
+    roots = np.array([1] * (len(texts) - 1))
+    assert bagminhash._links(sets[:1], sets[1:], np.array([0]), roots) == [(0, len(texts) - 2)]
+    # The same through the tables: the text stands alone, the others are in one component already.
+    members = table.selectExpr("1L as band", "node")
+    labels = spark.createDataFrame([(bytes([k]), bytes([1])) for k in range(1, len(texts))], "node binary, root binary")
+    found = bagminhash.verified(bagminhash.left_over_pairs(members, labels, names), table).collect()
+    assert [(bytes(r["a"]), bytes(r["b"])) for r in found] == [(b"\0", bytes([len(texts) - 1]))]
+
+
 def test_rows_without_ids_and_empty_tables(spark):
     docs = data.documents(spark, [(None, "a b c d e f", "en", "s"), (None, None, "en", "s"), (None, "a b c d e f", "en", "s")])
     assert bagminhash.near_duplicates(docs).count() == 3
