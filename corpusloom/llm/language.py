@@ -19,11 +19,40 @@ from corpusloom.llm.arrow_text import Words, add_columns, mix, text_bytes, words
 from corpusloom.llm.perplexity import BITS, word_ngrams
 from corpusloom.session import materialise
 
-#: Family of a language; a language that is not listed is a family of its own.
-FAMILIES = {
-    "de": "germanic", "en": "germanic", "nl": "germanic", "sv": "germanic", "da": "germanic",
-    "es": "romance", "fr": "romance", "it": "romance", "pt": "romance", "ro": "romance",
+#: Languages of each family, by their two-letter or, without one, three-letter codes.
+_FAMILY_MEMBERS = {
+    "germanic": "de en nl sv da no nb nn is fo af fy lb yi sco nds",
+    "romance": "es fr it pt ro ca gl oc ast co sc rm wa an ht la scn vec",
+    "slavic": "ru uk be pl cs sk sl hr sr bs mk bg sh hsb dsb rue",
+    "baltic": "lt lv ltg",
+    "celtic": "ga gd gv cy br kw",
+    "hellenic": "el",
+    "armenian": "hy hyw",
+    "albanian": "sq",
+    "iranian": "fa ku ckb ps tg os",
+    "indic": "hi ur bn pa gu mr ne or as sd si sa ks mai bho gom dv",
+    "dravidian": "ta te kn ml tcy",
+    "uralic": "fi et hu se kv koi mhr udm",
+    "turkic": "tr az kk ky uz tk tt ba cv ug sah crh",
+    "mongolic": "mn bxr xal",
+    "caucasian": "ka xmf ab ce av lez",
+    "basque": "eu",
+    "semitic": "ar he mt am ti arz",
+    "cushitic": "so om aa",
+    "chadic": "ha",
+    "niger-congo": "sw zu xh st tn ts ss ve nr nso sn ny rw rn lg ln kg yo ig ak tw ee wo ff bm",
+    "austronesian": "id ms tl jv su ceb ilo mg mi sm to fj haw war pam min",
+    "austroasiatic": "vi km mnw",
+    "kra-dai": "th lo shn za",
+    "tibeto-burman": "my bo dz",
+    "sinitic": "zh yue wuu nan hak",
+    "japonic": "ja",
+    "koreanic": "ko",
+    "american": "qu ay gn nah nv iu kl",
+    "constructed": "eo io ia ie vo",
 }
+#: Family of a language; a language that is not listed is a family of its own.
+FAMILIES = {x: family for family, members in _FAMILY_MEMBERS.items() for x in members.split()}
 #: Features of a text: its 2- and 3-grams of byte classes, hashed.
 N_FEATURES = 2048
 UNKNOWN = "und"
@@ -93,35 +122,36 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def training_sample(docs: DataFrame, text: str, lang: str, per_language: int, max_languages: int) -> DataFrame:
-    """``lang`` and ``text`` of at most ``per_language`` distinct texts of each of the ``max_languages`` commonest languages.
+def training_sample(docs: DataFrame, text: str, lang: str, per_language: int) -> DataFrame:
+    """``lang`` and ``text`` of at most ``per_language`` distinct texts of each language.
 
     Texts are picked by the order of their hash, from narrow rows; copies count once.
     """
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter(F.col("lang").isNotNull() & has_letter(F.col("text")))
     rows = rows.withColumn("h", F.xxhash64("text"))
-    commonest = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
     distinct = rows.select("lang", "h").distinct()
     place = F.row_number().over(W.partitionBy("lang").orderBy("h"))
-    picked = distinct.withColumn("place", place).filter(F.col("place") <= per_language).join(commonest, "lang", "left_semi")
+    picked = distinct.withColumn("place", place).filter(F.col("place") <= per_language)
     picked = materialise(picked.select("lang", "h"), "language-sample")
     return rows.join(picked, ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.first("text").alias("text"))
 
 
 def fit(
-    docs: DataFrame, text: str = "text", lang: str = "lang", families: Mapping[str, str] = FAMILIES,
-    per_language: int = 800, max_languages: int = 64,
+    docs: DataFrame, text: str = "text", lang: str = "lang", families: Mapping[str, str] = FAMILIES, per_language: int = 800,
 ) -> LanguageModel:
-    """Separators fitted by Spark on a sample bounded by ``per_language`` and ``max_languages``."""
+    """Separators fitted by Spark on a sample of ``per_language`` texts of each language; every language that occurs is learned.
+
+    There is a separator for each pair of families and for each pair of languages of a family.
+    """
     fields = [T.StructField("features", T.ArrayType(T.DoubleType()))]
 
     def work(piece: pa.RecordBatch) -> list[pa.Array]:
         found = text_vectors(words_of(*text_bytes(piece.column(1))))
         return [pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * N_FEATURES), pa.array(found.ravel()))]
 
-    sample = training_sample(docs, text, lang, per_language, max_languages).select("lang", F.col("text").alias("__text"))
+    sample = training_sample(docs, text, lang, per_language).select("lang", F.col("text").alias("__text"))
     sample = materialise(add_columns(sample, "__text", fields, work, keep=["lang"]), "language-vectors")
-    languages = sorted(r.lang for r in sample.select("lang").distinct().collect())  # at most max_languages
+    languages = sorted(r.lang for r in sample.select("lang").distinct().collect())  # one row for each language
     family_of = {x: families.get(x, x) for x in languages}
     names = sorted(set(family_of.values()))
     tasks = [(pair, {x: family_of[x] for x in languages}) for pair in combinations(names, 2)]

@@ -240,6 +240,31 @@ def test_language_of_held_out_documents(spark):
     assert all(again[r["doc_id"]]["lang_pred"] == r["lang_pred"] for r in got if r["doc_id"] in truth)
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    fitted = []
+
+    class Separator:  # stands for the fit, which takes long for many pairs
+        intercept = 0.0
+
+        def __init__(self, **_):
+            pass
+
+        def fit(self, rows):
+            fitted.append(rows)
+            self.coefficients = type("Vector", (), {"toArray": lambda _: np.zeros(language.N_FEATURES)})()
+            return self
+
+    monkeypatch.setattr(language, "LinearSVC", Separator)
+    known = sorted(language.FAMILIES)[:90] + ["x-rare"]
+    # The last languages are the rarest.
+    rows = [(i, f"text {i} {x}", x, "s") for k, x in enumerate(known) for i in range(1000 * k, 1000 * k + (2 if k < 64 else 1))]
+    model = language.fit(data.documents(spark, rows))
+    assert model.languages == sorted(known)
+    families = collections.Counter(model.families.values())
+    pairs = math.comb(len(families), 2) + sum(math.comb(n, 2) for n in families.values())
+    assert len(model.pairs) == len(fitted) == pairs < math.comb(len(known), 2) / 3
+
+
 def test_nothing_to_learn(spark):
     assert language.identify(data.empty(spark)).collect() == []
     docs = data.documents(spark).withColumn("lang", F.lit(None).cast("string"))
