@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bagminhash, language, mixing, neighbours, perplexity, pieces, secret_scan, suffix_dedup, token_counts, url_filter
+from corpusloom.llm import (
+    bagminhash, chat, hard_negatives, language, mixing, neighbours, perplexity, pieces, repair, secret_scan, suffix_dedup,
+    token_counts, url_filter,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -65,6 +68,22 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_table(spark, folder, "documents"), length=200).drop("spans")
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    repaired = repair.repair(repair.damage(_table(spark, folder, "conversations")))
+    return repaired.withColumnRenamed("conv", "conv_id")
+
+
+def op12_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    conv, text = chat.PLANTED
+    planted = spark.createDataFrame([(conv, 0, "user", text), (conv, 1, "assistant", text)], rows.schema)
+    return chat.read_back(chat.format_turns(rows.union(planted)))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine(_table(spark, folder, "embeddings"), label_rule=hard_negatives.moved_labels())
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scan": op2_secret_scan,
@@ -76,8 +95,14 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_bagminhash": op9_bagminhash,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_chat_format": op12_chat_format,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
     "op8_mixing": mixing.ORACLE,
+    "op11_conversation_repair": repair.ORACLE,
+    "op12_chat_format": chat.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }
