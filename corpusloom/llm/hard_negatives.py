@@ -56,6 +56,8 @@ class SortedLists:
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the ``k`` highest scores, ties to the smaller id."""
+    if scores.dtype == object:
+        return np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k], np.int64)
     return np.lexsort((ids, -scores))[:k]
 
 
@@ -109,7 +111,7 @@ def _matrix(column: pa.ChunkedArray, length: int) -> list[list[int]]:
 def _vectors(rows: pa.Table, anchors: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Whole components of both sides, shorter vectors filled with 0, in a type that holds every score exactly."""
     columns = [rows["v"].combine_chunks(), anchors["v"].combine_chunks()]
-    length = max([c.value_lengths().to_numpy(zero_copy_only=False).max(initial=0) for c in columns] + [1])
+    length = max([int(c.value_lengths().to_numpy(zero_copy_only=False).max(initial=0)) for c in columns] + [1])
     if all(not len(c) or (c.value_lengths().to_numpy(zero_copy_only=False) == length).all() for c in columns):
         both = [c.flatten().to_numpy(zero_copy_only=False).reshape(len(c), length) for c in columns]
     else:
