@@ -275,9 +275,12 @@ def test_hard_negatives_equal_plain_python(spark, monkeypatch, block, anchors):
 
 
 def test_hard_negatives_of_large_components(spark):
-    rows = [(i * 50, [1e9 * (i + 1), -3e8 * i], i % 2) for i in range(40)]
-    got = hard_negatives.mine(embeddings(spark, rows), label_rule=hard_negatives.moved_labels()).collect()
-    assert got and max(r.positive_score for r in got) == (1 << 63) - 1
+    """Bounds beyond 64 bits, scores within; and scores beyond, which are cut off."""
+    rows = [(100, [0.0, 1.0], 3), (200, [0.0, -2.0], 3)] + [(i, [2.0**50, i / 8], i % 10) for i in range(1, 90)]
+    got = hard_negatives.mine(embeddings(spark, rows), label_rule=hard_negatives.moved_labels())
+    assert sorted(map(tuple, got.collect())) == plain_negatives(rows) != []
+    rows = [(100 * i, [2.0**40], 1) for i in range(4)]
+    assert hard_negatives.mine(embeddings(spark, rows)).collect() == []
 
 
 def test_hard_negatives_of_empty_tables(spark):
