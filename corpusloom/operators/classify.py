@@ -1,4 +1,4 @@
-"""Classifiers: multinomial Naive Bayes, linear SVM, and a head on given vectors."""
+"""Classifiers: multinomial Naive Bayes, linear scores, and a head on given vectors. The SVM is fitted in ``svm``."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import math
 import time
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +15,6 @@ from corpusloom.functions.columns import argmax
 from corpusloom.operators.vectorize import constant_array, long_features
 
 ALPHA = 1.0
-SVM_C = 0.1
-SVM_MAX_ITER = 1000
-SVM_TOLERANCE = 1e-4
 HEAD_WEIGHT_DECAY = 0.01
 
 
@@ -106,39 +103,8 @@ def fit_naive_bayes(train: DataFrame, features: str, label: str, n_features: int
     return NaiveBayes(classes, [math.log(docs[c] / all_docs) for c in classes], log_prob, alpha)
 
 
-def balanced_weights(train: DataFrame, label: str, column: str = "weight") -> DataFrame:
-    """Row weights that give both classes the same total weight."""
-    sizes = {r[label]: r["count"] for r in train.groupBy(label).count().collect()}
-    total = sum(sizes.values())
-    weight = F.lit(1.0)
-    for value, size in sizes.items():
-        weight = F.when(F.col(label) == value, total / (len(sizes) * size)).otherwise(weight)
-    return train.withColumn(column, weight)
-
-
-def fit_linear_svm(
-    vectors: DataFrame, label: str = "pos", features: str = "features", c: float = SVM_C,
-    max_iter: int = SVM_MAX_ITER, class_weight: str | None = None,
-) -> LinearSVCModel:
-    """Linear SVM; ``c`` is the inverse regularization per training row."""
-    n_rows = vectors.count()
-    svm = LinearSVC(
-        labelCol=label, featuresCol=features, predictionCol="prediction", maxIter=max_iter,
-        regParam=1.0 / (c * n_rows), standardization=False, tol=SVM_TOLERANCE,
-    )
-    if class_weight == "balanced":
-        vectors = balanced_weights(vectors, label)
-        svm = svm.setWeightCol("weight")
-    return svm.fit(vectors)
-
-
-def predict_linear_svm(model: LinearSVCModel, docs: DataFrame, features: str, column: str = "prediction") -> DataFrame:
-    """Class 1 where the weighted sum of the sparse row plus the intercept is positive."""
-    return predict_linear(model.coefficients.toArray().tolist(), model.intercept, docs, features, column)
-
-
 def predict_linear(coefficients: list[float], intercept: float, docs: DataFrame, features: str, column: str = "prediction") -> DataFrame:
-    """The same from the weights themselves, with the ``margin``."""
+    """Class 1 where the ``margin``, the weighted sum of the sparse row plus the intercept, is positive."""
     margin = weighted_sum(features, [float(w) for w in coefficients]) + F.lit(float(intercept))
     return docs.withColumn("margin", margin).withColumn(column, F.when(F.col("margin") > 0, 1).otherwise(0))
 

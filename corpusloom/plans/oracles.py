@@ -113,6 +113,42 @@ def _sql(ctes: str, query: str) -> str:
     return f"WITH {ctes.strip()}\n{query.strip()}"
 
 
+def _svm(c: float, cost: str) -> str:
+    """The minimum of the dual of the squared hinge SVM, by accelerated projected gradients over ``split`` and ``tfidf``."""
+    return f"""
+svm_rows AS MATERIALIZED (
+  SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS i, CASE WHEN pos = 1 THEN 1 ELSE -1 END AS y, CAST({cost} AS DOUBLE) AS cost
+  FROM split WHERE validation_set = 0),
+svm_pairs AS (
+  SELECT a.i, b.i AS j, sum(s.tfidf * t.tfidf) AS k
+  FROM tfidf s JOIN tfidf t USING (term) JOIN svm_rows a ON a.doc_id = s.doc_id JOIN svm_rows b ON b.doc_id = t.doc_id GROUP BY a.i, b.i),
+svm_lines AS (
+  SELECT a.i, any_value(1 / (2 * {c} * a.cost)) AS d, list(CAST(a.y * b.y * (1 + COALESCE(k, 0)) + CASE WHEN a.i = b.i THEN 1 / (2 * {c} * a.cost) ELSE 0 END AS DOUBLE) ORDER BY b.i) AS q
+  FROM svm_rows a CROSS JOIN svm_rows b LEFT JOIN svm_pairs p ON p.i = a.i AND p.j = b.i GROUP BY a.i),
+svm_matrix AS MATERIALIZED (
+  SELECT list(q ORDER BY i) AS m, max(list_sum(list_transform(q, lambda v: abs(v)))) AS big, min(d) AS small FROM svm_lines),
+svm_steps AS (
+  SELECT 0 AS step, list_transform(m, lambda r: CAST(0 AS DOUBLE)) AS a, list_transform(m, lambda r: CAST(0 AS DOUBLE)) AS z FROM svm_matrix
+  UNION ALL
+  SELECT step + 1, new, list_transform(list_zip(new, a), lambda p: p[1] + momentum * (p[1] - p[2]))
+  FROM (
+    SELECT step, a, (sqrt(big / small) - 1) / (sqrt(big / small) + 1) AS momentum,
+           list_transform(list_zip(m, z), lambda p: greatest(0, p[2] - (list_dot_product(p[1], z) - 1) / big)) AS new
+    FROM svm_steps, svm_matrix WHERE step < 28 * sqrt(big / small))),
+svm_dual AS MATERIALIZED (
+  SELECT doc_id, y, cost, a[i] AS a FROM svm_rows CROSS JOIN (SELECT a FROM svm_steps ORDER BY step DESC LIMIT 1)),
+svm_weights AS MATERIALIZED (SELECT term, sum(a * y * tfidf) AS w FROM svm_dual JOIN tfidf USING (doc_id) GROUP BY term),
+svm_intercept AS (SELECT sum(a * y) AS b FROM svm_dual)"""
+
+
+def _svm_margins(rows: str, tfidf: str) -> str:
+    return f"""SELECT s.*, b + COALESCE(f, 0) AS margin, CAST(CASE WHEN b + COALESCE(f, 0) > 0 THEN 1 ELSE 0 END AS INTEGER) AS prediction
+FROM {rows} s CROSS JOIN svm_intercept LEFT JOIN (SELECT doc_id, sum(tfidf * w) AS f FROM {tfidf} JOIN svm_weights USING (term) GROUP BY doc_id) USING (doc_id)"""
+
+
+_BALANCED = "count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY pos))"
+
+
 def _top(source: str, pos: str, neg: str, order: str = "round(score, 12)") -> str:
     return f"""
 ranked AS (
@@ -485,6 +521,14 @@ weights AS (
   FROM tfidf CROSS JOIN sizes WHERE validation_set = 0 GROUP BY term)""", """
 SELECT s.doc_id, s.pos, s.validation_set, round(COALESCE(m.margin, 0), 6) AS margin FROM split s LEFT JOIN (
   SELECT doc_id, sum(tfidf * w) AS margin FROM tfidf JOIN weights USING (term) GROUP BY doc_id) m USING (doc_id)""")
+ORACLES["linear_svm_predictions"] = _sql("RECURSIVE " + TFIDF.strip() + "," + _svm(10, _BALANCED), f"""
+SELECT doc_id, pos, validation_set, prediction, round(margin, 3) AS margin FROM ({_svm_margins("split", "tfidf")})""")
+ORACLES["linear_svm_weights"] = _sql("RECURSIVE " + TFIDF.strip() + "," + _svm(10, _BALANCED), f"""
+SELECT v.term, round(COALESCE(w, 0), 4) AS weight FROM vocab v LEFT JOIN svm_weights USING (term)
+UNION ALL SELECT '# intercept', round(b, 4) FROM svm_intercept
+UNION ALL SELECT '# objective', round((SELECT sum(w * w) FROM svm_weights) / 2 + (SELECT b * b FROM svm_intercept) / 2
+    + (SELECT 10 * sum(cost * greatest(0, 1 - y * margin) ** 2) FROM ({_svm_margins("split", "tfidf")}) JOIN svm_dual USING (doc_id)), 4)
+UNION ALL SELECT '# gradient', 0.0""")
 ORACLES["model_comparison"] = _sql(_COMPARED, _measures("judged", "model", "model"))
 ORACLES["best_model"] = _sql(_COMPARED + ", runs AS (" + _measures("judged", "model", "model") + ")", """
 SELECT model, "TP", "FP", "TN", "FN", "f-score" FROM runs ORDER BY "f-score" DESC, model LIMIT 1""")
@@ -505,12 +549,16 @@ unseen AS (SELECT doc_id, text, pos FROM held WHERE held_out = 1),""" + _split("
 _CONFUSED = """count(*) FILTER (WHERE pos = 1 AND prediction = 1) AS "TP", count(*) FILTER (WHERE pos = 0 AND prediction = 1) AS "FP",
        count(*) FILTER (WHERE pos = 0 AND prediction = 0) AS "TN", count(*) FILTER (WHERE pos = 1 AND prediction = 0) AS "FN" """
 _RUN_CTES = (
-    _clean_bow(_RUN) + _MNB + "," + _grams("unseen", "doc_id", "text", "unseen_tf")
+    "RECURSIVE " + _clean_bow(_RUN).strip() + _MNB + "," + _grams("unseen", "doc_id", "text", "unseen_tf")
     + "," + _scores("split", "tf", "doc_id", "scored") + "," + _scores("unseen", "unseen_tf", "doc_id", "tested")
     + "," + _SUMS.format(rows="split", v="tf", features="bow") + "," + _top("means", "pos_total", "neg_total", "score") + """,
 unseen_bow AS (SELECT doc_id, term FROM unseen_tf JOIN vocab USING (term)),
 validated AS (SELECT pos, prediction FROM split JOIN scored USING (doc_id) WHERE validation_set = 1),
-unseen_judged AS (SELECT pos, prediction FROM unseen JOIN tested USING (doc_id))""")
+unseen_judged AS (SELECT pos, prediction FROM unseen JOIN tested USING (doc_id)),
+weighted AS (SELECT *, (1 + ln(CAST(tf AS DOUBLE))) * idf AS w FROM bow),
+tfidf AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS tfidf FROM weighted),
+unseen_weighted AS (SELECT doc_id, term, (1 + ln(CAST(tf AS DOUBLE))) * idf AS w FROM unseen_tf JOIN vocab USING (term)),
+unseen_tfidf AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS tfidf FROM unseen_weighted),""" + _svm(10, "1.0"))
 _RUN_STEPS = {
     "check_files": f"SELECT sum(violations) AS violations FROM ({ORACLES['file_structure_report']})",
     "check_table": f"SELECT sum(violations) AS violations FROM ({ORACLES['review_table_report']})",
@@ -522,10 +570,11 @@ _RUN_STEPS = {
     "bow": "SELECT (SELECT count(*) FROM vocab) AS terms, (SELECT count(*) FROM bow) + (SELECT count(*) FROM unseen_bow) AS cells",
     "tfidf": "SELECT (SELECT count(DISTINCT doc_id) FROM bow) + (SELECT count(DISTINCT doc_id) FROM unseen_bow) AS unit_rows",
     "train_mnb": f"SELECT {_CONFUSED} FROM validated",
-    "train_svm": "SELECT count(*) AS rows FROM validated",
+    "train_svm": f"SELECT {_CONFUSED} FROM ({_svm_margins('split', 'tfidf')}) WHERE validation_set = 1",
     "top_bow": "SELECT count(*) AS rows, sum(score) AS total FROM ranked",
     "top_tfidf": "SELECT 2 * least(50, count(*)) AS rows FROM vocab",
     "test": f"SELECT {_CONFUSED} FROM unseen_judged",
+    "test_svm": f"SELECT {_CONFUSED} FROM ({_svm_margins('unseen', 'unseen_tfidf')})",
 }
 ORACLES["end_to_end_run"] = _sql(_RUN_CTES, " UNION ALL ".join(
     f"SELECT '{step}' AS step, measure, CAST(value AS BIGINT) AS value FROM (UNPIVOT (SELECT CAST(COLUMNS(*) AS BIGINT) FROM ({sql})) "

@@ -12,7 +12,7 @@ from corpusloom.functions import columns as C
 from corpusloom.functions import text as X
 from corpusloom.functions import tokens as N
 from corpusloom.functions.wordlists import LEMMAS
-from corpusloom.operators import classify, integrity, metrics, quality, ranking, split, vectorize
+from corpusloom.operators import classify, integrity, metrics, quality, ranking, split, svm, vectorize
 from corpusloom.operators.vocabulary import Vocabulary, fit_vocabulary, term_statistics
 from corpusloom.plans import inputs, runner
 from corpusloom.session import fresh_path, materialise
@@ -564,14 +564,29 @@ def best_model(spark, folder):
     return metrics.best_run(_compared(spark, folder)).select("model", *metrics.COUNTS, r6("f-score"))
 
 
+def _svm(spark: SparkSession, folder: str) -> tuple[DataFrame, Vocabulary, svm.LinearSVM]:
+    """TF-IDF rows, and the SVM with balanced classes fitted on the training rows, closely enough to compare digits."""
+    docs, vocab = _fitted(spark, folder)
+    weighted = materialise(vectorize.tfidf_features(docs, "bow", vocab).drop("bow"), "tfidf")
+    model = svm.fit_squared_hinge(split.train_rows(weighted), "pos", "tfidf", len(vocab), SVM_C, "balanced", tolerance=1e-8)
+    return weighted, vocab, model
+
+
 @registered
 def linear_svm_predictions(spark, folder):
-    """Linear SVM on TF-IDF with balanced classes, fitted on the training rows (M7, M8)."""
-    docs, vocab = _fitted(spark, folder)
-    weighted = vectorize.tfidf_features(docs, "bow", vocab)
-    stored = vectorize.as_vectors(split.train_rows(weighted), "tfidf", len(vocab), ["doc_id", "pos"])
-    model = classify.fit_linear_svm(stored, c=SVM_C, max_iter=100, class_weight="balanced")
-    return classify.predict_linear_svm(model, weighted, "tfidf").select("doc_id", "pos", "validation_set", "prediction")
+    """Linear SVM with squared hinge loss on TF-IDF: prediction and margin of every row (M7, M8)."""
+    weighted, _, model = _svm(spark, folder)
+    scored = model.predict(weighted, "tfidf")
+    return scored.select("doc_id", "pos", "validation_set", "prediction", F.round("margin", 3).alias("margin"))
+
+
+@registered
+def linear_svm_weights(spark, folder):
+    """The fitted weights by term, the intercept and the objective, and whether the gradient vanishes there (M7)."""
+    _, vocab, model = _svm(spark, folder)
+    weights = vectorize.with_terms(model.table(spark), vocab).select("term", F.round("weight", 4).alias("weight"))
+    rest = [("# intercept", round(model.intercept, 4)), ("# objective", round(model.objective, 4)), ("# gradient", round(model.gradient_norm, 4))]
+    return weights.union(spark.createDataFrame(rest, "term string, weight double"))
 
 
 @registered

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import light_clean
 from corpusloom.functions.tokens import feature_tokens, preprocess_text
-from corpusloom.operators import classify, integrity, metrics, quality, ranking, scoring, split, vectorize
+from corpusloom.operators import classify, integrity, metrics, quality, ranking, scoring, split, svm, vectorize
 from corpusloom.operators.vocabulary import Vocabulary, fit_vocabulary
 from corpusloom.plans import inputs
 from corpusloom.session import materialise
@@ -42,8 +42,8 @@ class Settings:
     max_df: float = 0.95
     ngram_range: tuple[int, int] = (1, 3)
     alpha: float = classify.ALPHA
-    svm_c: float = classify.SVM_C
-    svm_max_iter: int = classify.SVM_MAX_ITER
+    svm_c: float = svm.SVM_C
+    svm_tolerance: float = svm.TOLERANCE
     top_k: int = ranking.TOP_K
     external_model: Callable[[], scoring.Model] | None = None
 
@@ -120,16 +120,14 @@ class ModelRun:
     def train_svm(self) -> None:
         s = self.settings
         train = split.train_rows(self.features["train"])
-        path = f"{self.out}/tfidf_vectors" if self.out else None
-        vectors = vectorize.as_vectors(train, "tfidf", len(self.vocab), [self.key, "POS"], path)
+        if self.out:
+            vectorize.as_vectors(train, "tfidf", len(self.vocab), [self.key, "POS"], f"{self.out}/tfidf_vectors")
         model, seconds = classify.timed(
-            classify.fit_linear_svm, vectors, "POS", c=s.svm_c, max_iter=s.svm_max_iter
+            svm.fit_squared_hinge, train, "POS", "tfidf", len(self.vocab), s.svm_c, tolerance=s.svm_tolerance
         )
         if self.out:
-            model.write().save(f"{self.out}/svm_model")
-        self._validate(
-            "SVM_TFIDF", lambda df: classify.predict_linear_svm(model, df, "tfidf"), seconds, self.features
-        )
+            model.save(self.spark, f"{self.out}/svm_model")
+        self._validate("SVM_TFIDF", lambda df: model.predict(df, "tfidf"), seconds, self.features)
 
     def score_external(self) -> None:
         load = self.settings.external_model
@@ -222,7 +220,7 @@ def run_on_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     rows = materialise(inputs.raw_reviews(spark, folder), "reviews")
     held_out = split.add_validation_split(rows, "Unique_ID", "POS", seed=TEST_SEED).withColumnRenamed("validation_set", "held_out")
     train, test = (held_out.where(F.col("held_out") == v).drop("held_out") for v in (0, 1))
-    run = ModelRun(train, test, "Unique_ID", Settings(svm_c=10.0, svm_max_iter=20))
+    run = ModelRun(train, test, "Unique_ID", Settings(svm_c=10.0, svm_tolerance=1e-8))
     results = run.run(["split", "clean", "clean_light", "bow", "tfidf", "train_mnb", "train_svm", "top_bow", "top_tfidf", "test"])
     count = F.count(F.lit(1)).alias("rows")
     both = {name: run.tables["train"].select(name).union(run.tables["test"].select(name)) for name in ("Review_preprocessed", "Review_preprocessed_BERT")}
@@ -237,8 +235,9 @@ def run_on_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "bow": features.agg(F.lit(len(run.vocab)).alias("terms"), F.sum(size).alias("cells")),
         "tfidf": features.agg(F.count_if(F.aggregate("tfidf.values", F.lit(0.0), lambda acc, v: acc + v * v) > 0.999).alias("unit_rows")),
         "train_mnb": confusion("validation_MNB_BOW", "MNB_BOW"),
-        "train_svm": confusion("validation_SVM_TFIDF", "SVM_TFIDF").select(sum(map(F.col, metrics.COUNTS)).alias("rows")),
+        "train_svm": confusion("validation_SVM_TFIDF", "SVM_TFIDF"),
         "top_bow": results["top_bow_total"].agg(count, F.sum("bow_total_count").alias("total")),
         "top_tfidf": results["top_tfidf"].agg(count),
         "test": confusion("test_metrics", "MNB_BOW"),
+        "test_svm": confusion("test_metrics", "SVM_TFIDF"),
     }

@@ -251,19 +251,6 @@ def test_naive_bayes_edges(spark, tmp_path):
 # ---- linear models ---------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("weights", [None, "balanced"])
-def test_linear_svm_separates_and_both_predictions_agree(spark, weights):
-    rows = [(i, "good film" if i % 2 else "bad film", i % 2) for i in range(40)]
-    df = spark.createDataFrame(rows, "id int, text string, pos int")
-    vocab = fit_vocabulary(df, "text", max_df=1.0)
-    docs = vectorize.tfidf_features(vectorize.bow_features(df, "text", vocab), "bow", vocab)
-    vectors = vectorize.as_vectors(docs, "tfidf", len(vocab), ["id", "pos"])
-    model = classify.fit_linear_svm(vectors, class_weight=weights)
-    ours = {r["id"]: r["prediction"] for r in classify.predict_linear_svm(model, docs, "tfidf").collect()}
-    theirs = {r["id"]: int(r["prediction"]) for r in model.transform(vectors).collect()}
-    assert ours == theirs == {i: i % 2 for i in range(40)}
-
-
 def test_vector_head(spark):
     rng = random.Random(1)
     rows = [(i, [rng.gauss(2 if i % 2 else -2, 1.0), rng.gauss(0, 1)], i % 2) for i in range(100)]
