@@ -9,8 +9,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.tokens import ngrams, ngrams_of, tokens_of
-from corpusloom.session import materialise
+from corpusloom.functions.columns import let
+from corpusloom.functions.tokens import ngrams, tokens_of
 
 MAX_FEATURES = 7500
 MIN_DF = 2
@@ -20,6 +20,9 @@ NGRAM_RANGE = (1, 3)
 # The vocabulary travels with every task; a request for more features is refused before any work.
 LARGEST_MAX_FEATURES = 1_000_000
 
+#: Cells of the sketch of n-gram counts: a bit of each travels with the second pass, 128 KiB.
+CELLS = 1 << 20
+
 _SCHEMA = "term string, idx int, df long, cf long, idf double"
 
 
@@ -100,43 +103,90 @@ def term_statistics(docs: DataFrame, text: str, ngram_range: tuple[int, int] = N
     return _count(_occurrences(docs, ngrams(tokens_of(docs, text), *ngram_range)))
 
 
-def _best(stats: DataFrame, n_docs: int, max_features: int, min_df: int, max_df: float) -> list:
-    kept = stats.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(float(max_df)) * F.lit(float(n_docs))))
-    top = kept.orderBy(F.desc("cf"), "term").limit(max_features)
+def _hashes(tokens: Column, low: int, high: int) -> Column:
+    """A hash of each run of ``low`` to ``high`` tokens, shorter runs first, made from hashes of tokens: no run is built."""
+
+    def extend(one: Column, runs: Column, n: int, done: tuple[Column, ...]) -> Column:
+        done = (*done, runs) if n >= low else done
+        if n == high:
+            return F.concat(*done)
+        count = F.greatest(F.size(one) - n, F.lit(0))
+        longer = F.zip_with(F.slice(runs, F.lit(1), count), F.slice(one, F.lit(n + 1), count), lambda a, b: F.xxhash64(a, b))
+        return let(longer, lambda r: extend(one, r, n + 1, done))
+
+    return let(F.transform(tokens, lambda t: F.xxhash64(t)), lambda one: extend(one, one, 1, ()))
+
+
+def _cell(hashed: Column) -> Column:
+    return F.pmod(hashed, F.lit(CELLS)).cast("int")
+
+
+def _fullest_cells(docs: DataFrame, text: str, ngram_range: tuple[int, int], n: int) -> tuple[list[int], int]:
+    """The cells with at least ``least`` n-gram occurrences, fewer than ``n``, and ``least``.
+
+    Every occurrence is counted in the cell of its hash, so an n-gram that occurs ``least`` times or more
+    is in one of these cells. Counts of cells add up like any, and are as many however large the corpus.
+    """
+    cells = docs.select(F.explode(_hashes(tokens_of(docs, text), *ngram_range)).alias("h")).groupBy(_cell(F.col("h")).alias("cell")).count()
     # Collecting a limit merges the best rows of every partition on the driver; with an exchange
     # on top a task merges them, and the driver gets the final rows only.
-    return top.repartition(1).collect()
+    fullest = cells.orderBy(F.desc("count"), "cell").limit(n).repartition(1).collect()
+    # Of cells as full as the last one some may be missing.
+    least = min(r["count"] for r in fullest) + 1 if len(fullest) == n else 1
+    return [r["cell"] for r in fullest if r["count"] >= least], least
+
+
+def _grams_in(docs: DataFrame, text: str, ngram_range: tuple[int, int], cells: list[int]) -> Column:
+    """The n-grams of a row whose cells are among ``cells``; only these are built."""
+    words = [0] * (CELLS // 64)
+    for cell in cells:
+        words[cell >> 6] |= 1 << (cell & 63)
+    signed = [w - (1 << 64) if w >> 63 else w for w in words]
+    table = F.from_json(F.lit(json.dumps(signed)), "array<bigint>")
+    low, high = ngram_range
+
+    def listed(hashed: Column) -> Column:
+        return F.getbit(table[F.shiftright(_cell(hashed), 6)], _cell(hashed) % 64) == 1
+
+    def build(tokens: Column, hashes: Column) -> Column:
+        runs = lambda places, n: F.transform(places, lambda i: F.concat_ws(" ", F.slice(tokens, i + 1, F.lit(n))))
+        size, before, found = F.size(tokens), F.lit(0), []
+        for n in range(low, high + 1):
+            count = F.greatest(size - (n - 1), F.lit(0))
+            places = F.filter(
+                F.transform(F.slice(hashes, before + 1, count), lambda h, i: F.when(listed(h), i)), lambda i: i.isNotNull()
+            )
+            found.append(runs(places, n))
+            before = before + count
+        return F.concat(*found)
+
+    return let(tokens_of(docs, text), lambda t: let(_hashes(t, low, high), lambda h: build(t, h)))
+
+
+def _best(stats: DataFrame, n_docs: int, max_features: int, min_df: int, max_df: float) -> list:
+    kept = stats.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(float(max_df)) * F.lit(float(n_docs))))
+    return kept.orderBy(F.desc("cf"), "term").limit(max_features).repartition(1).collect()
 
 
-def _count_by_length(
+def _frequent(
     docs: DataFrame, text: str, ngram_range: tuple[int, int],
     n_docs: int, max_features: int, min_df: int, max_df: float,
 ) -> list:
-    """The best terms, counted one length at a time; n-grams that cannot be among them are skipped.
-
-    A run of n tokens is never more frequent than its head, the run of its first n - 1, and sorts
-    after it. So it can only be among the best if its head is, or if its head occurs in too many
-    documents to be a term. Heads that were counted are at hand as the best rows so far, ``max_features``
-    at most, and the terms above ``max_df``, of which a document of average length bounds the number.
-    Nearly all rare 2- and 3-grams, most of the counting and the shuffle, are dropped by the task that
-    reads them, and the outcome is exact, ties included.
+    """The best terms by exact counts of those n-grams only that a sketch cannot rule out.
+
+    One pass counts all n-grams by cell of their hash; a second builds and counts those of the fullest
+    cells, so neither rare n-grams nor their text are ever shuffled. The outcome is exact, ties included: what
+    was left out occurs less than ``least`` times, which must be less than the last of the best; else more
+    cells are looked at, all of them in the end.
     """
-    low, high = ngram_range
-    best: list = []
-    heads: DataFrame | None = None
-    for n in range(low, high + 1):
-        rows = _occurrences(docs, ngrams_of(tokens_of(docs, text), n))
-        if heads is not None:
-            rows = rows.join(F.broadcast(heads), F.substring_index("term", " ", n - 1) == F.col("head"), "left_semi")
-        stats = _count(rows)
-        if n < high:
-            stats = materialise(stats, f"ngrams-{n}")  # read twice below
-        best = sorted(best + _best(stats, n_docs, max_features, min_df, max_df), key=lambda r: (-r["cf"], r["term"]))[:max_features]
-        if n < high:
-            common = stats.where(F.col("df") > F.lit(float(max_df)) * F.lit(float(n_docs))).select("term").collect()
-            names = [(r["term"],) for r in best if r["term"].count(" ") == n - 1] + [(r["term"],) for r in common]
-            heads = docs.sparkSession.createDataFrame(names, "head string")
-    return best
+    n = 2 * max_features + 1024
+    while True:
+        cells, least = _fullest_cells(docs, text, ngram_range, n)
+        stats = _count(_occurrences(docs, _grams_in(docs, text, ngram_range, cells)))
+        best = _best(stats, n_docs, max_features, min_df, max_df)
+        if least == 1 or (len(best) == max_features and min(r["cf"] for r in best) >= least):
+            return best
+        n *= 4
 
 
 def fit_vocabulary(
@@ -159,7 +209,7 @@ def fit_vocabulary(
     n_docs = train.count()
     if n_docs == 0:
         raise ValueError("no training rows to fit the vocabulary on")
-    best = _count_by_length(train, text, ngram_range, n_docs, max_features, min_df, max_df)
+    best = _frequent(train, text, ngram_range, n_docs, max_features, min_df, max_df)
     best = sorted(best, key=lambda r: r["term"])
     params = {
         "ngram_range": list(ngram_range), "min_df": min_df, "max_df": max_df, "max_features": max_features,

@@ -102,6 +102,21 @@ def test_ties_at_the_last_place(spark, k):
     assert (got.terms, got.df, got.cf) == brute_vocabulary(texts, k, 2, 0.9, 3, 1)
 
 
+@pytest.mark.parametrize("cells", [256, 4096, 1 << 20])
+def test_vocabulary_is_exact_however_full_the_cells(spark, monkeypatch, cells):
+    """Many n-grams of one document only, more frequent than the terms that may be kept, so the sketch is asked again."""
+    from corpusloom.operators import vocabulary
+
+    monkeypatch.setattr(vocabulary, "CELLS", cells)
+    asked, count = [], vocabulary._fullest_cells
+    monkeypatch.setattr(vocabulary, "_fullest_cells", lambda *a: asked.append(count(*a)) or asked[-1])
+    texts = random_texts(60, 3, longest=60) + [" ".join(f"rare{i % 700}" for i in range(4200))]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = fit_vocabulary(df, "text", max_features=40)
+    assert (got.terms, got.df, got.cf) == brute_vocabulary(texts, 40, 2, 0.95)
+    assert len(asked) == {256: 1, 4096: 2, 1 << 20: 2}[cells], [least for _, least in asked]
+
+
 def test_document_frequency_edges(spark):
     # df of exactly 0.95 * N stays, one more goes; df 2 stays, 1 goes; ties at the cap by name.
     texts = [f"often{'' if i else ' never1'} {'most' if i < 19 else 'rest'} w{i // 2:02d}" for i in range(20)]
