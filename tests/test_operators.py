@@ -110,7 +110,7 @@ def test_vocabulary_is_exact_however_full_the_cells(spark, monkeypatch, cells):
     monkeypatch.setattr(vocabulary, "CELLS", cells)
     asked, count = [], vocabulary._fullest_cells
     monkeypatch.setattr(vocabulary, "_fullest_cells", lambda *a: asked.append(count(*a)) or asked[-1])
-    texts = random_texts(60, 3, longest=60) + [" ".join(f"rare{i % 400}" for i in range(24_000))]
+    texts = random_texts(60, 3, longest=60) + [" ".join(f"rare{i % 600}" for i in range(24_000))]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     got = fit_vocabulary(df, "text", max_features=40)
     assert (got.terms, got.df, got.cf) == brute_vocabulary(texts, 40, 2, 0.95)
