@@ -110,11 +110,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def add_columns(
-    df: DataFrame, text: str, fields: list[T.StructField], work: Callable[[pa.RecordBatch], list[pa.Array]], keep: list[str] | None = None
+    df: DataFrame, text: str, fields: list[T.StructField], work: Callable[[pa.RecordBatch], list[pa.Array]], keep: list[str] | None = None,
+    most: int = SLICE_BYTES,
 ) -> DataFrame:
     """``df`` (or its columns ``keep``) with ``fields`` computed slice by slice in one pass, without a shuffle.
 
-    A new field replaces a column of its name.
+    A new field replaces a column of its name. Slices have ``most`` bytes of text.
     """
     names = [f.name for f in fields]
     kept = [c for c in (df.columns if keep is None else keep) if c not in names]
@@ -122,7 +123,7 @@ def add_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, text):
+            for piece in slices(batch, text, most):
                 new = work(piece)
                 yield pa.RecordBatch.from_arrays([piece.column(piece.schema.get_field_index(c)) for c in kept] + new, kept + names)
 

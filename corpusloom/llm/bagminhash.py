@@ -130,9 +130,9 @@ def similarity(a: Words, b: Words) -> np.ndarray:
 
 
 def text_name(key: Column, body: Column) -> Column:
-    """MD5 of the text; of a text without words, one that belongs to its key."""
-    alone = F.concat(F.lit("no words "), F.coalesce(key.cast("string"), F.lit("")))
-    return F.unhex(F.md5(F.when(body.rlike(r"[^\x20\x09-\x0D]"), body).otherwise(alone)))
+    """MD5 of the text; of a text without words a longer name, which no text has, that belongs to its key."""
+    alone = F.concat(F.unhex(F.md5(F.coalesce(key.cast("string"), F.lit("")))), F.unhex(F.lit("00")))
+    return F.when(body.rlike(r"[^\x20\x09-\x0D]"), F.unhex(F.md5(body))).otherwise(alone)
 
 
 def entries(docs: DataFrame, key: str, text: str) -> DataFrame:

@@ -100,7 +100,8 @@ class Tree:
             new = self.order[self.starts[leaf] : self.ends[leaf]]
             rows, scores = np.append(rows, new), np.append(scores, units[new] @ query)
             if len(rows) >= 4 * k or len(new) < LEAF:
-                best = np.argsort(-scores, kind="stable")[: 2 * k]
+                # Rows that tie with the k-th stay, whatever their number: their ids decide later.
+                best = scores >= np.partition(scores, -min(k, len(scores)))[-min(k, len(scores))] - 1e-12
                 rows, scores = rows[best], scores[best]
             if len(rows) >= k:
                 bound = min(bound, max(0.0, 2 - 2 * np.partition(scores, -k)[-k]) + 1e-12)

@@ -122,6 +122,11 @@ class DoubleArray:
         return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
 
 
+#: Bytes of text that are worked on at once, and of distinct segments within them (ids, in decoding).
+SLICE_BYTES = 1 << 20
+PART_BYTES = 1 << 18
+
+
 @dataclass
 class PieceModel:
     """Pieces, their scores and kinds, and the trie of those that text can match."""
@@ -228,12 +233,24 @@ class PieceModel:
         doc = np.searchsorted(ends, first, "right") - 1
         segments = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(np.append(first, len(body)).astype(np.int64)), pa.py_buffer(body)])
         code, distinct = coded(segments)
-        ids, count = self.segment_ids(distinct)
+        ids, count = self._in_parts(distinct)
         begin = np.cumsum(count) - count
         times = count[code]
-        at = np.repeat(begin[code] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        at = np.repeat(begin[code] - (np.cumsum(times) - times), times)
+        at += np.arange(len(at))
         return ids[at].astype(np.int32), np.bincount(doc, times, minlength=n).astype(np.int64)
 
+    def _in_parts(self, segments: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``segment_ids`` of ``PART_BYTES`` at a time, since a byte takes over a hundred of working memory."""
+        _, offsets = text_bytes(segments)
+        found, start = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
+        while start < len(segments):
+            stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + PART_BYTES, "right")) - 1)
+            ids, count = self.segment_ids(segments.slice(start, stop - start))
+            found.append((ids.astype(np.int32), count))
+            start = stop
+        return tuple(np.concatenate(x) for x in zip(*found))
+
     def _prepared(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes with a space before each text that has any, and marks in a text as spaces."""
         whole = data.tobytes()
@@ -246,13 +263,18 @@ class PieceModel:
         some = np.diff(offsets) > 0
         return np.insert(data, offsets[:-1][some], _SPACE), offsets + np.concatenate([[0], np.cumsum(some)])
 
+    def _shown(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        size = sizes[ids]
+        at = np.repeat(self.surface_ends[:-1][ids] - (np.cumsum(size) - size), size)
+        at += np.arange(len(at))
+        return self.surface[at]
+
     def decode(self, ids: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of the texts of id lists that lie end to end, and their offsets."""
-        size = np.diff(self.surface_ends)[ids]
-        row = np.repeat(np.arange(len(ids)), size)
-        step = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-        body = self.surface[self.surface_ends[ids[row]] + step]
-        ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(count)])]
+        sizes = np.diff(self.surface_ends)
+        parts = [self._shown(ids[i : i + PART_BYTES], sizes) for i in range(0, len(ids), PART_BYTES)]
+        body = np.concatenate([np.zeros(0, np.uint8), *parts])
+        ends = np.concatenate([[0], np.cumsum(sizes[ids])])[np.concatenate([[0], np.cumsum(count)])]
         if self.prefix and len(body):
             lead = ends[:-1][np.diff(ends) > 0]
             drop = lead[body[lead] == _SPACE]
@@ -340,7 +362,7 @@ def encode_documents(docs: DataFrame, model: PieceModel, text: str = "text", kee
         ]
 
     rows = docs.select(*[F.col(c) for c in shown], F.col(text).alias("__text"))
-    return add_columns(rows, "__text", fields, work, keep=shown)
+    return add_columns(rows, "__text", fields, work, keep=shown, most=SLICE_BYTES)
 
 
 def decode_documents(rows: DataFrame, model: PieceModel, pieces: str = "pieces", text: str = "text") -> DataFrame:
