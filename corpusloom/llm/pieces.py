@@ -123,7 +123,7 @@ class DoubleArray:
 
 
 #: Bytes of text that are worked on at once, and of distinct segments within them (ids, in decoding).
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 2 << 20
 PART_BYTES = 1 << 18
 
 
