@@ -34,3 +34,13 @@ LEMMAS = {
     "lives": "life", "wives": "wife", "feet": "foot", "mice": "mouse",
     "better": "good", "best": "good", "worse": "bad", "worst": "bad",
 }
+
+# English inflections as (ending, what replaces it, whether a doubled consonant goes as well), in the
+# order in which they are tried.
+DETACHMENTS = (
+    ("sses", "ss", False), ("ies", "y", False), ("ies", "ie", False), ("ves", "f", False), ("ves", "fe", False),
+    ("s", "", False), ("es", "", False),
+    ("ied", "y", False), ("ed", "", True), ("ed", "e", False), ("ed", "", False),
+    ("ying", "ie", False), ("ing", "", True), ("ing", "e", False), ("ing", "", False),
+    ("iest", "y", False), ("ier", "y", False),
+)

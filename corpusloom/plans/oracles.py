@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.functions.wordlists import LEMMAS, NEGATIONS
+from corpusloom.functions.wordlists import DETACHMENTS, LEMMAS, NEGATIONS
 from corpusloom.plans.stopwords import SPARK_ENGLISH
 
 ORACLES: dict[str, str] = {}
@@ -232,6 +232,28 @@ ORACLES["lemmas"] = _sql(_LEMMAS, """
 SELECT d.doc_id, COALESCE(l.lemmas, '') AS lemmas FROM documents d LEFT JOIN (
   SELECT doc_id, string_agg(lemma, ' ' ORDER BY i) AS lemmas FROM lemmas GROUP BY doc_id) l USING (doc_id)""")
 ORACLES["lemmas_from_table"] = ORACLES["lemmas"]
+_DETACHED = ",\n".join(
+    f"  ({n}, CASE WHEN ends_with(form, '{ending}') AND length(form) > {len(ending) + doubled}" + (
+        f" AND form[-{len(ending) + 1}] = form[-{len(ending) + 2}] AND form[-{len(ending) + 1}] NOT IN ('a', 'e', 'i', 'o', 'u')" if doubled else ""
+    ) + (" AND form[-2] NOT IN ('s', 'u', 'i')" if ending == "s" else "")
+    + f" THEN form[:length(form) - {len(ending) + doubled}] || '{put}' END)"
+    for n, (ending, put, doubled) in enumerate(DETACHMENTS, 1))
+_BY_RULE = _WORDS + ", " + _LEMMA_MAP + f""",
+tokens AS (SELECT doc_id, unnest(w) AS form, unnest(range(len(w))) AS i FROM words),
+forms AS (SELECT form, count(*) AS n FROM tokens WHERE form <> '' GROUP BY form),
+ways AS (
+  SELECT form, rule, lemma FROM (SELECT form FROM forms WHERE regexp_full_match(form, '\\p{{L}}+') AND form NOT IN (SELECT form FROM lemma_map)),
+  LATERAL (VALUES {_DETACHED}) AS v(rule, lemma)),
+attested AS (
+  SELECT form, rule, lemma FROM ways WHERE length(lemma) >= 3 AND lemma IN (SELECT form FROM forms WHERE n >= 2)
+  QUALIFY row_number() OVER (PARTITION BY form ORDER BY rule) = 1),
+lemma_rules AS (
+  SELECT form, lemma, rule FROM attested
+  UNION ALL SELECT form, lemma, 0 FROM forms JOIN lemma_map USING (form) WHERE form <> lemma)"""
+ORACLES["lemma_rules"] = _sql(_BY_RULE, "SELECT form, lemma, CAST(rule AS INTEGER) AS rule FROM lemma_rules")
+ORACLES["lemmas_by_rules"] = _sql(_BY_RULE, """
+SELECT d.doc_id, COALESCE(l.lemmas, '') AS lemmas FROM documents d LEFT JOIN (
+  SELECT doc_id, string_agg(COALESCE(lemma, form), ' ' ORDER BY i) AS lemmas FROM tokens LEFT JOIN lemma_rules USING (form) GROUP BY doc_id) l USING (doc_id)""")
 ORACLES["preprocessed_text"] = _sql(_CLEAN, "SELECT doc_id, text AS text_preprocessed FROM clean")
 ORACLES["empty_after_cleaning"] = _sql(_CLEAN, """
 SELECT count(*) FILTER (WHERE length(text) = 0) AS empty_count, count(*) AS row_count FROM clean""")
@@ -529,6 +551,35 @@ UNION ALL SELECT '# intercept', round(b, 4) FROM svm_intercept
 UNION ALL SELECT '# objective', round((SELECT sum(w * w) FROM svm_weights) / 2 + (SELECT b * b FROM svm_intercept) / 2
     + (SELECT 10 * sum(cost * greatest(0, 1 - y * margin) ** 2) FROM ({_svm_margins("split", "tfidf")}) JOIN svm_dual USING (doc_id)), 4)
 UNION ALL SELECT '# gradient', 0.0""")
+_GRID = BOW + """,
+folded AS (SELECT doc_id, pos, CAST(CAST('0x' || md5('20260301|' || doc_id)[:8] AS BIGINT) % 5 AS INTEGER) AS fold FROM split WHERE validation_set = 0),
+settings AS (SELECT alpha, prior FROM (VALUES (0.01::DOUBLE), (0.1), (1), (10)) a(alpha), (VALUES ('counted'), ('equal')) p(prior)),
+folds AS (SELECT CAST(range AS INTEGER) AS fold FROM range(5)),
+learned AS (SELECT f.fold, d.doc_id, d.pos FROM folds f JOIN folded d ON d.fold <> f.fold),
+sizes AS (SELECT fold, pos, count(*) AS n, sum(count(*)) OVER (PARTITION BY fold) AS total FROM learned GROUP BY fold, pos),
+seen AS (SELECT fold, l.pos, term, sum(tf) AS n FROM learned l JOIN bow USING (doc_id) GROUP BY ALL),
+model AS (
+  SELECT s.fold, s.pos, v.term, alpha, ln(COALESCE(n.n, 0) + alpha) - ln(sum(COALESCE(n.n, 0) + alpha) OVER (PARTITION BY s.fold, s.pos, alpha)) AS logp
+  FROM sizes s CROSS JOIN vocab v CROSS JOIN (SELECT DISTINCT alpha FROM settings)
+  LEFT JOIN seen n ON n.fold = s.fold AND n.pos = s.pos AND n.term = v.term),
+summed AS (
+  SELECT d.doc_id, m.pos, alpha, sum(tf * logp) AS s FROM folded d JOIN bow b USING (doc_id) JOIN model m ON m.fold = d.fold AND m.term = b.term
+  GROUP BY ALL),
+scored AS (
+  SELECT d.doc_id, d.pos AS label, d.fold, t.alpha, t.prior, z.pos,
+         COALESCE(s, 0) + CASE WHEN prior = 'counted' THEN ln(z.n / CAST(z.total AS DOUBLE)) ELSE 0 END AS score
+  FROM folded d CROSS JOIN settings t JOIN sizes z ON z.fold = d.fold LEFT JOIN summed s ON s.doc_id = d.doc_id AND s.pos = z.pos AND s.alpha = t.alpha),
+judged AS (
+  SELECT doc_id, label, fold, alpha, prior,
+         CASE WHEN max(score) FILTER (pos = 1) > COALESCE(max(score) FILTER (pos = 0), '-infinity'::DOUBLE) THEN 1 ELSE 0 END AS prediction
+  FROM scored GROUP BY ALL)"""
+ORACLES["naive_bayes_grid"] = _sql(_GRID, _measures("judged", "alpha, prior, fold", "alpha, prior, fold"))
+ORACLES["naive_bayes_best_setting"] = _sql(_GRID, f"""
+SELECT alpha, prior, round(avg(f), 6) AS "f-score" FROM (
+  SELECT alpha, prior, CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / CAST(2 * tp + fp + fn AS DOUBLE) ELSE 0 END AS f FROM (
+    SELECT alpha, prior, fold, count(*) FILTER (label = 1 AND prediction = 1) AS tp, count(*) FILTER (label = 0 AND prediction = 1) AS fp,
+           count(*) FILTER (label = 1 AND prediction = 0) AS fn FROM judged GROUP BY ALL))
+GROUP BY alpha, prior ORDER BY round(avg(f), 12) DESC, alpha DESC, prior LIMIT 1""")
 ORACLES["model_comparison"] = _sql(_COMPARED, _measures("judged", "model", "model"))
 ORACLES["best_model"] = _sql(_COMPARED + ", runs AS (" + _measures("judged", "model", "model") + ")", """
 SELECT model, "TP", "FP", "TN", "FN", "f-score" FROM runs ORDER BY "f-score" DESC, model LIMIT 1""")

@@ -12,7 +12,8 @@ from corpusloom.functions import columns as C
 from corpusloom.functions import text as X
 from corpusloom.functions import tokens as N
 from corpusloom.functions.wordlists import LEMMAS
-from corpusloom.operators import classify, integrity, metrics, quality, ranking, split, svm, vectorize
+from corpusloom.operators import classify, integrity, metrics, quality, ranking, selection, split, svm, vectorize
+from corpusloom.operators import lemmas as rules
 from corpusloom.operators.vocabulary import Vocabulary, fit_vocabulary, term_statistics
 from corpusloom.plans import inputs, runner
 from corpusloom.session import fresh_path, materialise
@@ -165,6 +166,23 @@ def lemmas_from_table(spark, folder):
     return N.lemmatize_with_table(docs, "t", table).select("doc_id", F.array_join("t", " ").alias("lemmas"))
 
 
+def _words(spark: SparkSession, folder: str) -> DataFrame:
+    return materialise(inputs.documents(spark, folder).select("doc_id", N.words_and_symbols(X.heavy_clean(F.col("text"))).alias("t")), "words")
+
+
+@registered
+def lemma_rules(spark, folder):
+    """Form, lemma and rule of every inflected form of the documents."""
+    return rules.lemma_table(_words(spark, folder), "t")
+
+
+@registered
+def lemmas_by_rules(spark, folder):
+    """The documents' words as lemmas by those rules."""
+    found = rules.lemmatize_by_rules(_words(spark, folder), "t")
+    return found.select("doc_id", F.array_join("t", " ").alias("lemmas"))
+
+
 @registered
 def preprocessed_text(spark, folder):
     """Clean, tokenize, lemmatize, drop stop words but keep negations, join."""
@@ -564,6 +582,22 @@ def best_model(spark, folder):
     return metrics.best_run(_compared(spark, folder)).select("model", *metrics.COUNTS, r6("f-score"))
 
 
+@registered
+def naive_bayes_grid(spark, folder):
+    """Every smoothing and prior on every fold of the training rows."""
+    docs, vocab = _fitted(spark, folder)
+    scores = selection.grid_scores(split.train_rows(docs), "bow", "pos", "doc_id", len(vocab))
+    return scores.select("alpha", "prior", "fold", *metrics.COUNTS, *[r6(c) for c in metrics.TEST_COLUMNS[6:]])
+
+
+@registered
+def naive_bayes_best_setting(spark, folder):
+    """The setting with the best mean F-score over the folds."""
+    docs, vocab = _fitted(spark, folder)
+    scores = selection.grid_scores(split.train_rows(docs), "bow", "pos", "doc_id", len(vocab))
+    return selection.best_setting(scores).select("alpha", "prior", r6("f-score"))
+
+
 def _svm(spark: SparkSession, folder: str) -> tuple[DataFrame, Vocabulary, svm.LinearSVM]:
     """TF-IDF rows, and the SVM with balanced classes fitted on the training rows, closely enough to compare digits."""
     docs, vocab = _fitted(spark, folder)
