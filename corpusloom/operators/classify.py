@@ -1,4 +1,4 @@
-"""Classifiers: multinomial Naive Bayes, linear scores, and a head on given vectors. The SVM is fitted in ``svm``."""
+"""Classifiers: multinomial Naive Bayes and linear scores. ``svm`` and ``head`` fit linear weights."""
 
 from __future__ import annotations
 
@@ -6,8 +6,6 @@ import math
 import time
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +13,6 @@ from corpusloom.functions.columns import argmax
 from corpusloom.operators.vectorize import constant_array, long_features
 
 ALPHA = 1.0
-HEAD_WEIGHT_DECAY = 0.01
 
 
 def weighted_sum(features: str, weights: list[float]) -> Column:
@@ -109,18 +106,6 @@ def predict_linear(coefficients: list[float], intercept: float, docs: DataFrame,
     return docs.withColumn("margin", margin).withColumn(column, F.when(F.col("margin") > 0, 1).otherwise(0))
 
 
-def fit_vector_head(train: DataFrame, vector: str, label: str, weight_decay: float = HEAD_WEIGHT_DECAY, max_iter: int = 100):
-    """Logistic classification head on an array column of given text vectors."""
-    rows = train.select(F.col(label).cast("double").alias("label"), array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
-    return LogisticRegression(regParam=weight_decay, maxIter=max_iter).fit(rows)
-
-
-def predict_vector_head(model, df: DataFrame, vector: str, column: str = "prediction") -> DataFrame:
-    rows = df.withColumn("_v", array_to_vector(F.col(vector).cast("array<double>")))
-    model = model.copy().setFeaturesCol("_v").setPredictionCol("_p").setRawPredictionCol("_r").setProbabilityCol("_q")
-    return model.transform(rows).withColumn(column, F.col("_p").cast("int")).drop("_v", "_p", "_r", "_q")
-
-
 def timed(fit, *args, **kwargs):
     """``(result, seconds)`` of a training call."""
     start = time.perf_counter()

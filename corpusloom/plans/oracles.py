@@ -276,6 +276,16 @@ ORACLES["padded_batches"] = _sql(_ALL_TOKENS, """
 SELECT doc_id, doc_id // 32 AS batch, max(len(t)) OVER (PARTITION BY doc_id // 32) AS width,
        max(len(t)) OVER (PARTITION BY doc_id // 32) - len(t) AS n_pad FROM toks""")
 
+_LENGTHS = _ALL_TOKENS + """,
+lengths AS (SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens FROM toks),
+batched AS (SELECT *, (row_number() OVER (ORDER BY n_tokens, md5(CAST(doc_id AS VARCHAR)), doc_id) - 1) // 32 AS batch FROM lengths)"""
+ORACLES["length_batches"] = _sql(_LENGTHS, """
+SELECT doc_id, n_tokens, batch, max(n_tokens) OVER (PARTITION BY batch) AS width FROM batched""")
+_PADDING = """
+SELECT '{name}' AS batched_by, count(*) AS batches, CAST(sum(t) AS BIGINT) AS tokens, CAST(sum(n * w) AS BIGINT) AS padded, round(1 - sum(t) / CAST(sum(n * w) AS DOUBLE), 6) AS waste
+FROM (SELECT count(*) AS n, sum(n_tokens) AS t, max(n_tokens) AS w FROM batched GROUP BY {batch})"""
+ORACLES["length_batch_waste"] = _sql(_LENGTHS, _PADDING.format(name="length", batch="batch") + " UNION ALL " + _PADDING.format(name="id", batch="doc_id // 32"))
+
 # ---- hashes and small functions --------------------------------------------------------------
 
 ORACLES["text_hashes"] = "SELECT doc_id, sha256(text) AS sha256, md5(text) AS md5 FROM documents"
@@ -426,6 +436,8 @@ ORACLES["tfidf_of_new_texts"] = _sql(VOCAB + "," + _grams("benchmark", "item_id"
 w AS (SELECT item_id, term, (1 + ln(CAST(tf AS DOUBLE))) * idf AS w FROM new_tf JOIN vocab USING (term))""", """
 SELECT item_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY item_id)), 6) AS tfidf FROM w""")
 
+ORACLES["saved_tfidf_of_new_texts"] = ORACLES["tfidf_of_new_texts"]
+
 # ---- rankings --------------------------------------------------------------------------------
 
 _SUMS = """
@@ -535,6 +547,7 @@ FROM split JOIN scored USING (doc_id)""")
 ORACLES["naive_bayes_new_texts"] = _sql(
     MNB + "," + _grams("benchmark", "item_id", "text", "new_tf") + "," + _scores("benchmark", "new_tf", "item_id", "scored"),
     "SELECT item_id, prediction FROM scored")
+ORACLES["saved_naive_bayes_new_texts"] = ORACLES["naive_bayes_new_texts"]
 ORACLES["naive_bayes_validation_metrics"] = _sql(_MNB_VALIDATION, _measures("judged", "'MNB_BOW' AS model"))
 ORACLES["linear_margin_predictions"] = _sql(TFIDF + """,
 sizes AS (SELECT count(*) FILTER (WHERE pos = 1) AS n_pos, count(*) FILTER (WHERE pos = 0) AS n_neg FROM split WHERE validation_set = 0),
@@ -581,6 +594,29 @@ SELECT alpha, prior, round(avg(f), 6) AS "f-score" FROM (
            count(*) FILTER (label = 1 AND prediction = 0) AS fn FROM judged GROUP BY ALL))
 GROUP BY alpha, prior ORDER BY round(avg(f), 12) DESC, alpha DESC, prior LIMIT 1""")
 ORACLES["model_comparison"] = _sql(_COMPARED, _measures("judged", "model", "model"))
+ORACLES["naive_bayes_run_rows"] = _sql(_COMPARED, f"""
+SELECT CASE model WHEN 'MNB_BOW' THEN 'first' ELSE 'second' END AS run, * REPLACE ('MNB_BOW' AS model) FROM ({_measures("judged", "model", "model")})""")
+_HEADED = _split("heads", "vec_id", "pos", "headed")
+ORACLES["vector_head_predictions"] = f"""WITH RECURSIVE
+heads AS (SELECT vec_id, CAST(label < 5 AS INTEGER) AS pos, list_append(list_transform(embedding, lambda x: CAST(x AS DOUBLE)), CAST(1 AS DOUBLE)) AS v FROM embeddings),
+{_HEADED},
+data AS MATERIALIZED (SELECT list(v ORDER BY vec_id) AS x, list(CAST(pos AS DOUBLE) ORDER BY vec_id) AS y, count(*) AS n FROM headed WHERE validation_set = 0),
+across AS MATERIALIZED (
+  SELECT list(c ORDER BY i) AS xt, sum(list_dot_product(c, c)) / any_value(len(c)) / 4 + 0.01 AS big
+  FROM (SELECT i, list(x[i] ORDER BY r) AS c FROM (SELECT unnest(x) AS x, unnest(range(n)) AS r FROM data), range(1, (SELECT len(x[1]) FROM data) + 1) t(i) GROUP BY i)),
+steps AS (
+  SELECT 0 AS step, list_transform(xt, lambda c: CAST(0 AS DOUBLE)) AS w, list_transform(xt, lambda c: CAST(0 AS DOUBLE)) AS z FROM across
+  UNION ALL
+  SELECT step + 1, new, list_transform(list_zip(new, w), lambda p: p[1] + (sqrt(big / 0.01) - 1) / (sqrt(big / 0.01) + 1) * (p[1] - p[2]))
+  FROM (
+    SELECT step, w, big, list_transform(list_zip(z, xt, range(1, len(z) + 1)), lambda p:
+             p[1] - (list_dot_product(p[2], rest) / n + CASE WHEN p[3] < len(z) THEN 0.01 * p[1] ELSE 0 END) / big) AS new
+    FROM (
+      SELECT step, w, z, list_transform(list_zip(x, y), lambda p: 1 / (1 + exp(-list_dot_product(p[1], z))) - p[2]) AS rest, n
+      FROM steps, data WHERE step < 30 * (SELECT sqrt(big / 0.01) FROM across)), across)),
+last AS MATERIALIZED (SELECT w FROM steps ORDER BY step DESC LIMIT 1)
+SELECT vec_id, pos, validation_set, round(p, 4) AS probability, CAST(CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS INTEGER) AS prediction
+FROM (SELECT vec_id, pos, validation_set, 1 / (1 + exp(-list_dot_product(v, w))) AS p FROM headed, last)"""
 ORACLES["best_model"] = _sql(_COMPARED + ", runs AS (" + _measures("judged", "model", "model") + ")", """
 SELECT model, "TP", "FP", "TN", "FN", "f-score" FROM runs ORDER BY "f-score" DESC, model LIMIT 1""")
 ORACLES["run_metadata"] = _sql(_MNB_VALIDATION, """

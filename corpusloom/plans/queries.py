@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +13,9 @@ from corpusloom.functions import columns as C
 from corpusloom.functions import text as X
 from corpusloom.functions import tokens as N
 from corpusloom.functions.wordlists import LEMMAS
-from corpusloom.operators import classify, integrity, metrics, quality, ranking, selection, split, svm, vectorize
+from corpusloom.operators import batches, classify, head, integrity, metrics, quality, ranking, selection, split, svm, vectorize
 from corpusloom.operators import lemmas as rules
+from corpusloom.operators import stages
 from corpusloom.operators.vocabulary import Vocabulary, fit_vocabulary, term_statistics
 from corpusloom.plans import inputs, runner
 from corpusloom.session import fresh_path, materialise
@@ -239,6 +241,22 @@ def padded_batches(spark, folder):
     )
 
 
+@registered
+def length_batches(spark, folder):
+    """Batches of 32 documents of nearly equal length, and their padding."""
+    docs = inputs.documents(spark, folder).select("doc_id", F.size(N.feature_tokens(F.col("text"))).alias("n_tokens"))
+    return batches.batch_by_length(docs, "n_tokens", "doc_id", 32)
+
+
+@registered
+def length_batch_waste(spark, folder):
+    """What padding costs with and without batches of equal length."""
+    docs = inputs.documents(spark, folder).select("doc_id", F.size(N.feature_tokens(F.col("text"))).alias("n_tokens"))
+    by_length = batches.padding(batches.batch_by_length(docs, "n_tokens", "doc_id", 32), "n_tokens", "batch")
+    by_id = batches.padding(docs.withColumn("batch", F.expr("doc_id div 32")), "n_tokens", "batch")
+    return by_length.select(F.lit("length").alias("batched_by"), "*").union(by_id.select(F.lit("id").alias("batched_by"), "*"))
+
+
 # ---- hashes and small functions --------------------------------------------------------------
 
 
@@ -464,6 +482,31 @@ def tfidf_of_new_texts(spark, folder):
     return vectorize.with_terms(long, vocab).select("item_id", "term", r6("tfidf"))
 
 
+def _reloaded(spark: SparkSession, folder: str, *later: Estimator) -> PipelineModel:
+    """A pipeline of the vocabulary and ``later`` stages, fitted on the training rows, saved and loaded again."""
+    train = split.train_rows(_split_tokens(spark, folder)).withColumnRenamed("tokens", "text")
+    path = fresh_path(spark, "pipeline")
+    Pipeline(stages=[stages.NgramVocabulary(inputCol="text", outputCol="bow"), *later]).fit(train).save(path)
+    return PipelineModel.load(path)
+
+
+@registered
+def saved_tfidf_of_new_texts(spark, folder):
+    """TF-IDF of unlabelled texts by a pipeline that was saved and loaded."""
+    model = _reloaded(spark, folder, stages.TfIdf())
+    new = model.transform(inputs.spread(inputs.table(spark, folder, "benchmark"), "item_id"))
+    long = vectorize.long_features(new, "tfidf", ["item_id"], "tfidf")
+    return vectorize.with_terms(long, model.stages[0].fitted).select("item_id", "term", r6("tfidf"))
+
+
+@registered
+def saved_naive_bayes_new_texts(spark, folder):
+    """Predicted class of unlabelled texts by a pipeline that was saved and loaded."""
+    model = _reloaded(spark, folder, stages.MultinomialNB())
+    new = inputs.spread(inputs.table(spark, folder, "benchmark"), "item_id")
+    return model.transform(new).select("item_id", "prediction")
+
+
 # ---- rankings --------------------------------------------------------------------------------
 
 
@@ -642,23 +685,23 @@ def vector_head_predictions(spark, folder):
     """Classification head on given text vectors."""
     rows = inputs.table(spark, folder, "embeddings").withColumn("pos", (F.col("label") < 5).cast("int"))
     rows = split.add_validation_split(rows, "vec_id", "pos")
-    model = classify.fit_vector_head(split.train_rows(rows), "embedding", "pos")
-    return classify.predict_vector_head(model, rows, "embedding").select("vec_id", "pos", "validation_set", "prediction")
+    model = head.fit_vector_head(split.train_rows(rows), "embedding", "pos")
+    return model.predict(rows, "embedding").select("vec_id", "pos", "validation_set", "prediction", F.round("probability", 4).alias("probability"))
 
 
 @registered
-def naive_bayes_run_row(spark, folder):
-    """The row a training run adds to the results table, with time stamp and seconds."""
+def naive_bayes_run_rows(spark, folder):
+    """Results table of two runs, one of them repeated, read back without its clock columns."""
     docs, vocab = _fitted(spark, folder)
-    train = split.train_rows(docs)
-    model, seconds = classify.timed(classify.fit_naive_bayes, train, "bow", "pos", len(vocab))
-    scored = model.predict(split.validation_rows(docs), "bow")
-    row = metrics.evaluate(scored, "MNB_BOW", training_seconds=seconds)
-    path = fresh_path(spark, "validation_metrics")
-    tables.append_run(row, path)
+    train, path = split.train_rows(docs), fresh_path(spark, "validation_metrics")
+    for run, alpha in (("first", 1.0), ("second", 0.1), ("first", 1.0)):
+        model, seconds = classify.timed(classify.fit_naive_bayes, train, "bow", "pos", len(vocab), alpha)
+        scored = model.predict(split.validation_rows(docs), "bow")
+        tables.append_run(metrics.evaluate(scored, "MNB_BOW", training_seconds=seconds), path, run)
     schema = "timestamp string, model string, TP long, FP long, TN long, FN long, accuracy double, " \
              "precision double, recall double, `f-score` double, training_time_seconds double"
-    return tables.read_csv_typed(spark, path, schema)
+    runs = tables.read_runs(spark, path, schema)
+    return runs.select("run", "model", *metrics.COUNTS, *[r6(c) for c in metrics.TEST_COLUMNS[6:]])
 
 
 @registered

@@ -45,6 +45,7 @@ class Settings:
     svm_c: float = svm.SVM_C
     svm_tolerance: float = svm.TOLERANCE
     top_k: int = ranking.TOP_K
+    run: str = "run"
     external_model: Callable[[], scoring.Model] | None = None
 
 
@@ -203,7 +204,7 @@ def run_on_files(
         if name in results:
             tables.write_csv(results[name].coalesce(1), f"{out}/{name}.csv")
     if "validation_metrics" in results:
-        tables.append_run(results["validation_metrics"].coalesce(1), f"{out}/validation_metrics.csv")
+        tables.append_run(results["validation_metrics"].coalesce(1), f"{out}/validation_metrics", s.run)
     return results
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,9 +83,29 @@ def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType | str) -
     return df.fillna("", subset=texts) if texts else df
 
 
-def append_run(row: DataFrame, path: str) -> None:
-    """Add result rows to a results table; what is there is neither read nor rewritten."""
-    write_csv(row, path, mode="append")
+def append_run(row: DataFrame, path: str, run: str) -> None:
+    """Put the result rows of a run into a results table; the same run again replaces its rows.
+
+    A run has a folder of its own, so other runs are neither read nor rewritten, and it counts from when Spark
+    puts its marker there, at the end. ``run`` is a name of letters, digits, ``.``, ``-`` and ``_``.
+    """
+    if not re.fullmatch(r"[\w.-]+", run):
+        raise ValueError(f"{run!r} cannot name a run")
+    write_csv(row, f"{path}/run={run}", mode="overwrite")
+
+
+def read_runs(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Rows of all finished runs, with the column ``run`` first; runs are as many as their folders."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/run=*/_SUCCESS")
+    found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where) or []
+    folders = sorted(f.getPath().getParent().toString() for f in found)
+    typed = spark.createDataFrame([], schema).schema
+    names = ["run", *typed.names]
+    if not folders:
+        return spark.createDataFrame([], T.StructType([T.StructField("run", T.StringType()), *typed.fields]))
+    options = {**CSV_OPTIONS, "mode": "FAILFAST", "basePath": path}
+    wide = T.StructType([*typed.fields, T.StructField("run", T.StringType())])
+    return spark.read.options(**options).schema(wide).csv(folders).select(*names)
 
 
 def write_json(row: DataFrame, path: str) -> None:
