@@ -106,4 +106,4 @@ def fit_vector_head(
             tried = at(w + step)
         w, steps = w + step, steps + 1
         loss, gradient, hessian = tried
-    return VectorHead(w[:-1].tolist(), float(w[-1]), loss, float(np.sqrt(gradient @ gradient)), steps)
+    return VectorHead(w[:-1].tolist(), float(w[-1]), float(loss), float(np.sqrt(gradient @ gradient)), steps)

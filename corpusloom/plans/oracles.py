@@ -182,6 +182,10 @@ ORDER BY substring("Unique_ID", 1, 3), CAST(substring("Unique_ID", 4) AS BIGINT)
 ORACLES["csv_round_trip"] = _sql(REVIEWS + "," + RAW, """
 SELECT "POS", "Unique_ID", "Score", "Review", false AS bad_row FROM raw""")
 
+ORACLES["csv_bad_rows"] = """
+SELECT 'D' || doc_id AS "Unique_ID", CAST(doc_id % 2 AS INTEGER) AS "POS", n_chars % 7 IN (0, 1) AS bad_row,
+       CASE WHEN n_chars % 7 NOT IN (0, 1) THEN CAST(n_chars % 10 AS INTEGER) END AS "Score",
+       CASE WHEN n_chars % 7 NOT IN (0, 1) THEN md5(text) END AS review_md5 FROM documents"""
 ORACLES["csv_minimal_round_trip"] = _sql(SPLIT, "SELECT doc_id, pos, text, validation_set FROM split")
 
 # ---- cleaning --------------------------------------------------------------------------------
@@ -290,10 +294,12 @@ ORACLES["length_batch_waste"] = _sql(_LENGTHS, _PADDING.format(name="length", ba
 
 ORACLES["text_hashes"] = "SELECT doc_id, sha256(text) AS sha256, md5(text) AS md5 FROM documents"
 
-ORACLES["scalar_rules"] = _sql(REVIEWS + "," + LISTING, r"""
-SELECT path, 'TRUE' AS number_is_digits, 'FALSE' AS rest_is_digits, CAST(0 AS INTEGER) AS rest_number, doc_id AS number,
-       length(path) AS path_length, path LIKE '%.txt' AS is_txt, CAST(doc_id AS VARCHAR) AS stripped
-FROM listing""")
+ORACLES["scalar_rules"] = """
+SELECT doc_id, CASE WHEN regexp_full_match(COALESCE(t, ''), '[0-9]+') THEN 'TRUE' ELSE 'FALSE' END AS is_digits,
+       COALESCE(TRY_CAST(NULLIF(trim(t), '') AS INTEGER), -1) AS whole, CAST(COALESCE(length(t), 0) AS INTEGER) AS length,
+       trim(COALESCE(t, ' none ')) AS stripped, CASE WHEN t IS NULL THEN 'TRUE' ELSE 'FALSE' END AS missing, n_chars % 2 = 1 AS odd
+FROM (SELECT doc_id, n_chars, CASE doc_id % 6 WHEN 0 THEN 'x' || doc_id WHEN 1 THEN ' ' || doc_id || ' ' WHEN 2 THEN ''
+                              WHEN 3 THEN doc_id || '000000000' WHEN 4 THEN CAST(doc_id AS VARCHAR) END AS t FROM documents)"""
 
 ORACLES["embedding_argmax"] = """
 SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS best FROM embeddings"""

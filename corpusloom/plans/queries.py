@@ -108,6 +108,28 @@ def csv_minimal_round_trip(spark, folder):
     return tables.read_csv_typed(spark, path, "doc_id long, pos int, text string, validation_set int")
 
 
+@registered
+def csv_bad_rows(spark, folder):
+    """All documents as quoted CSV lines, some with too few or too many fields, read strictly."""
+    docs = inputs.documents(spark, folder)
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    start = F.concat((F.col("doc_id") % 2).cast("string"), F.lit(",D"), "doc_id")
+    whole = F.concat(start, F.lit(","), (F.col("n_chars") % 10).cast("string"), F.lit(","), quoted)
+    line = F.when(F.col("n_chars") % 7 == 0, start).when(F.col("n_chars") % 7 == 1, F.concat(whole, F.lit(",more"))).otherwise(whole)
+    parts = 8
+    rows = docs.select((F.col("doc_id") % parts).alias("part"), F.lit(1).alias("place"), line.alias("value"))
+    first = spark.range(parts).select(F.col("id").alias("part"), F.lit(0).alias("place"), F.lit(",".join(tables.FOUR_NAMES)).alias("value"))
+    path = fresh_path(spark, "lines")
+    named = rows.union(first).withColumn("part", F.concat("part", F.lit(".csv")))
+    named.repartition("part").sortWithinPartitions("part", "place").select("part", "value").write.partitionBy("part").text(path)
+    strict = tables.read_csv_strict(spark, f"{path}/part=*.csv")
+    bad = F.col(tables.BAD_ROW).isNotNull()
+    return strict.select(
+        "Unique_ID", F.col("POS").cast("int").alias("POS"), bad.alias("bad_row"), F.when(~bad, F.col("Score").cast("int")).alias("Score"),
+        F.when(~bad, F.md5(F.coalesce("Review", F.lit("")))).alias("review_md5"),
+    )
+
+
 # ---- cleaning --------------------------------------------------------------------------------
 
 
@@ -270,16 +292,15 @@ def text_hashes(spark, folder):
 
 @registered
 def scalar_rules(spark, folder):
-    """Digit test, casts, length, suffix, strip, null filling, flags as text."""
-    rows = inputs.file_listing(spark, folder)
-    stem = F.regexp_extract("path", r"([^/]+)$", 1)
-    number = F.regexp_extract(stem, r"^([^_]+)_", 1)
-    rest = F.regexp_extract(stem, r"_([^_]+)$", 1)
+    """Digit test, casts, length, strip, null filling, flags as text, over names of all documents, good and bad."""
+    kind = F.col("doc_id") % 6
+    number = F.when(kind == 0, F.concat(F.lit("x"), "doc_id")).when(kind == 1, F.concat(F.lit(" "), "doc_id", F.lit(" ")))
+    number = number.when(kind == 2, "").when(kind == 3, F.concat("doc_id", F.lit("000000000"))).when(kind == 4, F.col("doc_id").cast("string"))
+    rows = inputs.documents(spark, folder).select("doc_id", number.alias("t"), F.col("n_chars"))
     return rows.select(
-        "path", C.yes_no(C.is_digits(number)).alias("number_is_digits"), C.yes_no(C.is_digits(rest)).alias("rest_is_digits"),
-        F.coalesce(rest.try_cast("int"), F.lit(0)).alias("rest_number"), number.cast("long").alias("number"),
-        F.length("path").cast("long").alias("path_length"), F.lower("path").endswith(".txt").alias("is_txt"),
-        F.trim(F.concat(F.lit("  "), number, F.lit(" "))).alias("stripped"),
+        "doc_id", C.yes_no(C.is_digits(F.coalesce("t", F.lit("")))).alias("is_digits"), F.coalesce(F.col("t").try_cast("int"), F.lit(-1)).alias("whole"),
+        F.coalesce(F.length("t"), F.lit(0)).alias("length"), F.trim(F.coalesce("t", F.lit(" none "))).alias("stripped"),
+        C.yes_no(F.col("t").isNull()).alias("missing"), (F.col("n_chars") % 2).cast("boolean").alias("odd"),
     )
 
 

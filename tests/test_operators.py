@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import classify, metrics, ranking, scoring, split, vectorize
+from corpusloom.operators import classify, head, metrics, ranking, scoring, split, vectorize
 from corpusloom.operators.vocabulary import Vocabulary, fit_vocabulary, term_statistics
 
 # ---- split -----------------------------------------------------------------------------------
@@ -270,8 +270,8 @@ def test_vector_head(spark):
     rng = random.Random(1)
     rows = [(i, [rng.gauss(2 if i % 2 else -2, 1.0), rng.gauss(0, 1)], i % 2) for i in range(100)]
     df = spark.createDataFrame(rows, "id int, v array<float>, y int")
-    model = classify.fit_vector_head(df, "v", "y")
-    right = classify.predict_vector_head(model, df, "v").where("prediction = y").count()
+    model = head.fit_vector_head(df, "v", "y")
+    right = model.predict(df, "v").where("prediction = y").count()
     assert right >= 95
 
 

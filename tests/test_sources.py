@@ -115,14 +115,19 @@ def test_typed_csv_rejects_bad_values(spark, tmp_path):
         tables.read_csv_typed(spark, path, tables.RAW_SCHEMA).collect()
 
 
-def test_append_run(spark, tmp_path):
-    path = str(tmp_path / "validation_metrics.csv")
+def test_runs_are_kept_once(spark, tmp_path):
+    path = str(tmp_path / "validation_metrics")
     df = spark.createDataFrame([(1, 1), (0, 0)], "pos int, prediction int")
-    for model in ("A", "B"):
-        tables.append_run(metrics.evaluate(df, model, training_seconds=0.5), path)
-    rows = tables.read_csv_text(spark, path)
-    assert rows.columns == metrics.VALIDATION_COLUMNS
-    assert sorted(r["model"] for r in rows.collect()) == ["A", "B"]
+    schema = ", ".join(f"`{c}` {'string' if c in ('timestamp', 'model') else 'double'}" for c in metrics.VALIDATION_COLUMNS)
+    assert tables.read_runs(spark, path, schema).columns == ["run", *metrics.VALIDATION_COLUMNS]
+    for run, model in (("one", "A"), ("two", "B"), ("one", "C")):
+        tables.append_run(metrics.evaluate(df, model, training_seconds=0.5), path, run)
+    (tmp_path / "validation_metrics" / "run=three").mkdir()  # a run that did not end
+    rows = tables.read_runs(spark, path, schema)
+    assert rows.columns == ["run", *metrics.VALIDATION_COLUMNS]
+    assert sorted((r["run"], r["model"], r["TP"]) for r in rows.collect()) == [("one", "C", 1.0), ("two", "B", 1.0)]
+    with pytest.raises(ValueError):
+        tables.append_run(df, path, "a/b")
 
 
 def test_run_metadata_json(spark, tmp_path):
