@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import light_clean
-from corpusloom.functions.tokens import feature_tokens, preprocess_text
+from corpusloom.functions.tokens import feature_tokens, preprocess_text, truncate_tokens
 from corpusloom.operators import classify, integrity, metrics, quality, ranking, scoring, split, svm, vectorize
 from corpusloom.operators.vocabulary import Vocabulary, fit_vocabulary
 from corpusloom.plans import inputs
@@ -28,6 +28,17 @@ STEPS = (
 )
 
 
+@dataclass(frozen=True)
+class TfIdfSettings:
+    """Vocabulary and weighting of the TF-IDF features; the defaults are the fixed values of the published run."""
+
+    max_features: int = 7500
+    min_df: int = 2
+    max_df: float = 0.95
+    ngram_range: tuple[int, int] = (1, 3)
+    sublinear: bool = True
+
+
 @dataclass(frozen=True)
 class Settings:
     """Parameters of a run; the defaults are the fixed values of the published one."""
@@ -41,31 +52,40 @@ class Settings:
     min_df: int = 2
     max_df: float = 0.95
     ngram_range: tuple[int, int] = (1, 3)
+    tfidf: TfIdfSettings = TfIdfSettings()
     alpha: float = classify.ALPHA
     svm_c: float = svm.SVM_C
     svm_tolerance: float = svm.TOLERANCE
     top_k: int = ranking.TOP_K
     run: str = "run"
     external_model: Callable[[], scoring.Model] | None = None
+    external_max_words: int = 500
 
 
 class ModelRun:
     """Training and testing on two tables with the columns key, ``POS`` and ``Review``.
 
-    ``tables`` hold the texts, ``features`` the key, label, split and sparse rows made from them.
+    ``tables`` hold the texts. Each step stores the key, label and split beside what it makes, and nothing else:
+    ``cleaned`` and ``light`` the cleaned texts, ``features`` the counts, ``weights`` the TF-IDF rows.
     """
 
     def __init__(self, train: DataFrame, test: DataFrame | None, key: str, settings: Settings, out: str | None = None):
         self.spark: SparkSession = train.sparkSession
         self.tables = {"train": train} | ({"test": test} if test is not None else {})
         self.key, self.settings, self.out = key, settings, out
+        self.cleaned: dict[str, DataFrame] = {}
+        self.light: dict[str, DataFrame] = {}
         self.features: dict[str, DataFrame] = {}
+        self.weights: dict[str, DataFrame] = {}
         self.results: dict[str, DataFrame] = {}
         self.vocab: Vocabulary | None = None
+        self.tfidf_vocab: Vocabulary | None = None
         self.models: dict[str, Callable[[str], DataFrame]] = {}
 
-    def _store(self, df: DataFrame, name: str) -> DataFrame:
-        return materialise(df, name, f"{self.out}/{name}" if self.out else None)
+    def _store(self, df: DataFrame, name: str, *made: Column | str) -> DataFrame:
+        """Key, label, split and the columns ``made`` of ``df``, written once."""
+        kept = [c for c in (self.key, "POS", "validation_set") if c in df.columns]
+        return materialise(df.select(*kept, *made), name, f"{self.out}/{name}" if self.out else None)
 
     def split(self) -> None:
         s = self.settings
@@ -74,33 +94,38 @@ class ModelRun:
         self.results["split_report"] = quality.split_report(rows, fraction=s.fraction, label="POS")
 
     def clean(self) -> None:
-        """Both tables are read many times from here on, so the cleaned text is written once."""
         for name, df in self.tables.items():
-            cleaned = df.withColumn("Review_preprocessed", preprocess_text(F.col("Review")))
-            cleaned = cleaned.withColumn("tokens", feature_tokens(F.col("Review_preprocessed")))
-            self.tables[name] = self._store(cleaned, f"{name}_clean")
+            text = df.withColumn("Review_preprocessed", preprocess_text(F.col("Review")))
+            self.cleaned[name] = self._store(text, f"{name}_clean", "Review_preprocessed", feature_tokens(F.col("Review_preprocessed")).alias("tokens"))
 
     def clean_light(self) -> None:
         for name, df in self.tables.items():
-            light = df.withColumn("Review_preprocessed_BERT", light_clean(F.col("Review")))
-            self.tables[name] = self._store(light, f"{name}_clean_light")
+            self.light[name] = self._store(df, f"{name}_clean_light", light_clean(F.col("Review")).alias("Review_preprocessed_BERT"))
 
-    def bow(self) -> None:
-        s = self.settings
-        self.vocab = fit_vocabulary(
-            split.train_rows(self.tables["train"]), "tokens", max_features=s.max_features,
+    def _vocabulary(self, name: str, s: Settings | TfIdfSettings) -> Vocabulary:
+        vocab = fit_vocabulary(
+            split.train_rows(self.cleaned["train"]), "tokens", max_features=s.max_features,
             min_df=s.min_df, max_df=s.max_df, ngram_range=s.ngram_range,
         ).require_features()
         if self.out:
-            self.vocab.save(self.spark, f"{self.out}/vocabulary")
-        for name, df in self.tables.items():
-            columns = [c for c in (self.key, "POS", "validation_set", "tokens") if c in df.columns]
-            counted = vectorize.bow_features(df.select(*columns), "tokens", self.vocab).drop("tokens")
-            self.features[name] = self._store(counted, f"{name}_bow")
+            vocab.save(self.spark, f"{self.out}/{name}")
+        return vocab
+
+    def bow(self) -> None:
+        self.vocab = self._vocabulary("vocabulary", self.settings)
+        for name, df in self.cleaned.items():
+            self.features[name] = self._store(vectorize.bow_features(df, "tokens", self.vocab), f"{name}_bow", "bow")
 
     def tfidf(self) -> None:
-        for name, df in self.features.items():
-            self.features[name] = self._store(vectorize.tfidf_features(df, "bow", self.vocab), f"{name}_tfidf")
+        """Weights from the counts at hand where both vocabularies have the same settings, else from counts of their own."""
+        s, own = self.settings, self.settings.tfidf
+        bounds = lambda x: (x.max_features, x.min_df, x.max_df, x.ngram_range)
+        same = bounds(s) == bounds(own)
+        self.tfidf_vocab = self.vocab if same else self._vocabulary("tfidf_vocabulary", own)
+        for name, df in self.cleaned.items():
+            counted = self.features[name] if same else vectorize.bow_features(df, "tokens", self.tfidf_vocab)
+            weighted = vectorize.tfidf_features(counted, "bow", self.tfidf_vocab, sublinear=own.sublinear)
+            self.weights[name] = self._store(weighted, f"{name}_tfidf", "tfidf")
 
     def _validate(
         self, name: str, predict: Callable[[DataFrame], DataFrame], seconds: float, inputs: dict[str, DataFrame]
@@ -120,22 +145,24 @@ class ModelRun:
 
     def train_svm(self) -> None:
         s = self.settings
-        train = split.train_rows(self.features["train"])
+        train = split.train_rows(self.weights["train"])
         if self.out:
-            vectorize.as_vectors(train, "tfidf", len(self.vocab), [self.key, "POS"], f"{self.out}/tfidf_vectors")
+            vectorize.as_vectors(train, "tfidf", len(self.tfidf_vocab), [self.key, "POS"], f"{self.out}/tfidf_vectors")
         model, seconds = classify.timed(
-            svm.fit_squared_hinge, train, "POS", "tfidf", len(self.vocab), s.svm_c, tolerance=s.svm_tolerance
+            svm.fit_squared_hinge, train, "POS", "tfidf", len(self.tfidf_vocab), s.svm_c, tolerance=s.svm_tolerance
         )
         if self.out:
             model.save(self.spark, f"{self.out}/svm_model")
-        self._validate("SVM_TFIDF", lambda df: model.predict(df, "tfidf"), seconds, self.features)
+        self._validate("SVM_TFIDF", lambda df: model.predict(df, "tfidf"), seconds, self.weights)
 
     def score_external(self) -> None:
-        load = self.settings.external_model
-        if load is not None:
-            self._validate(
-                "EXTERNAL", lambda df: scoring.score_batches(df, "Review_preprocessed_BERT", load), 0.0, self.tables
-            )
+        """The model gets the first ``external_max_words`` words of each text."""
+        load, most = self.settings.external_model, self.settings.external_max_words
+        if load is None:
+            return
+        words = truncate_tokens(F.split("Review_preprocessed_BERT", " "), most)
+        cut = {name: df.withColumn("Review_preprocessed_BERT", F.array_join(words, " ")) for name, df in self.light.items()}
+        self._validate("EXTERNAL", lambda df: scoring.score_batches(df, "Review_preprocessed_BERT", load), 0.0, cut)
 
     def top_bow(self) -> None:
         rows, k = self.features["train"], self.settings.top_k
@@ -143,9 +170,9 @@ class ModelRun:
         self.results["top_bow_distinctive"] = ranking.top_bow_distinctive(rows, "bow", "POS", self.vocab, k)
 
     def top_tfidf(self) -> None:
-        rows, k = self.features["train"], self.settings.top_k
-        self.results["top_tfidf"] = ranking.top_tfidf(rows, "tfidf", "POS", self.vocab, k)
-        self.results["top_tfidf_distinctive"] = ranking.top_tfidf_distinctive(rows, "tfidf", "POS", self.vocab, k)
+        rows, k = self.weights["train"], self.settings.top_k
+        self.results["top_tfidf"] = ranking.top_tfidf(rows, "tfidf", "POS", self.tfidf_vocab, k)
+        self.results["top_tfidf_distinctive"] = ranking.top_tfidf_distinctive(rows, "tfidf", "POS", self.tfidf_vocab, k)
 
     def test(self) -> None:
         rows = [metrics.evaluate(predict("test"), name, "POS") for name, predict in self.models.items()]
@@ -224,17 +251,16 @@ def run_on_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     run = ModelRun(train, test, "Unique_ID", Settings(svm_c=10.0, svm_tolerance=1e-8))
     results = run.run(["split", "clean", "clean_light", "bow", "tfidf", "train_mnb", "train_svm", "top_bow", "top_tfidf", "test"])
     count = F.count(F.lit(1)).alias("rows")
-    both = {name: run.tables["train"].select(name).union(run.tables["test"].select(name)) for name in ("Review_preprocessed", "Review_preprocessed_BERT")}
-    features = run.features["train"].select("bow", "tfidf").union(run.features["test"].select("bow", "tfidf"))
+    both = lambda stored, name: stored["train"].select(name).union(stored["test"].select(name))
     size = F.size("bow.indices")
     confusion = lambda name, model: results[name].where(F.col("model") == model).select(*metrics.COUNTS)
     return {
         "convert": rows.agg(count),
         "split": run.tables["train"].agg(F.count_if(F.col("validation_set") == 0).alias("train"), F.count_if(F.col("validation_set") == 1).alias("validation")),
-        "clean": both["Review_preprocessed"].agg(count, F.count_if(F.col("Review_preprocessed") == "").alias("empty")),
-        "clean_light": both["Review_preprocessed_BERT"].agg(F.count("Review_preprocessed_BERT").alias("rows")),
-        "bow": features.agg(F.lit(len(run.vocab)).alias("terms"), F.sum(size).alias("cells")),
-        "tfidf": features.agg(F.count_if(F.aggregate("tfidf.values", F.lit(0.0), lambda acc, v: acc + v * v) > 0.999).alias("unit_rows")),
+        "clean": both(run.cleaned, "Review_preprocessed").agg(count, F.count_if(F.col("Review_preprocessed") == "").alias("empty")),
+        "clean_light": both(run.light, "Review_preprocessed_BERT").agg(F.count("Review_preprocessed_BERT").alias("rows")),
+        "bow": both(run.features, "bow").agg(F.lit(len(run.vocab)).alias("terms"), F.sum(size).alias("cells")),
+        "tfidf": both(run.weights, "tfidf").agg(F.count_if(F.aggregate("tfidf.values", F.lit(0.0), lambda acc, v: acc + v * v) > 0.999).alias("unit_rows")),
         "train_mnb": confusion("validation_MNB_BOW", "MNB_BOW"),
         "train_svm": confusion("validation_SVM_TFIDF", "SVM_TFIDF"),
         "top_bow": results["top_bow_total"].agg(count, F.sum("bow_total_count").alias("total")),

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import classify, split, vectorize
+from corpusloom.operators import classify, metrics, split, vectorize
 from corpusloom.operators.vocabulary import Vocabulary, fit_vocabulary
 from corpusloom.operators.quality import QualityError
 from corpusloom.plans import runner
@@ -41,8 +41,8 @@ def tree(tmp_path):
 
 def test_run_on_files(spark, tree):
     settings = runner.Settings(
-        expected_files=20, expected_rows=40, expected_per_class=20, max_features=200, svm_max_iter=50, top_k=5,
-        external_model=load_standin,
+        expected_files=20, expected_rows=40, expected_per_class=20, max_features=200, top_k=5,
+        external_model=load_standin, tfidf=runner.TfIdfSettings(max_features=150, ngram_range=(1, 2), sublinear=False),
     )
     out = str(tree / "out")
     results = runner.run_on_files(spark, str(tree / "corpus"), out, settings=settings)
@@ -51,8 +51,9 @@ def test_run_on_files(spark, tree):
     test = {r["model"]: r for r in results["test_metrics"].collect()}
     assert set(test) == {"MNB_BOW", "SVM_TFIDF", "EXTERNAL"}
     assert all(r["TP"] + r["FP"] + r["TN"] + r["FN"] == 40 and r["accuracy"] >= 0.95 for r in test.values())
-    validation = tables.read_csv_text(spark, f"{out}/validation_metrics.csv").collect()
-    assert len(validation) == 3 and all(r["training_time_seconds"] for r in validation)
+    schema = ", ".join(f"`{c}` string" for c in metrics.VALIDATION_COLUMNS)
+    validation = tables.read_runs(spark, f"{out}/validation_metrics", schema).collect()
+    assert len(validation) == 3 and all(r["training_time_seconds"] and r["run"] == "run" for r in validation)
     top = {r["ngram"] for r in results["top_bow_distinctive"].where("class = 'POS'").collect()}
     assert top & set(GOOD) and not top & set(BAD)
     assert tables.read_csv_text(spark, f"{out}/top_tfidf.csv").count() == 10
@@ -65,6 +66,22 @@ def test_run_on_files(spark, tree):
     assert scored.where("prediction = POS").count() == round(test["MNB_BOW"]["accuracy"] * 40)
 
 
+def test_external_models_get_cut_texts_and_tfidf_its_own_terms(spark):
+    rows = [(f"POS{i}", 1, "good " * 9 + "bad") for i in range(10)] + [(f"NEG{i}", 0, "bad bad good") for i in range(10)]
+    df = spark.createDataFrame(rows, "Unique_ID string, POS int, Review string")
+
+    def load():
+        return lambda texts: [[0.0, 1.0] if len(t.split()) == 4 else [1.0, 0.0] for t in texts]
+
+    settings = runner.Settings(external_model=load, external_max_words=4, tfidf=runner.TfIdfSettings(max_features=1, max_df=1.0), max_df=1.0)
+    run = runner.ModelRun(df, None, "Unique_ID", settings)
+    run.run(["split", "clean", "clean_light", "bow", "tfidf", "score_external"])
+    scored = run.models["EXTERNAL"]("train").select("POS", "prediction").distinct().collect()
+    assert sorted(map(tuple, scored)) == [(0, 0), (1, 1)]
+    assert len(run.vocab) > 1 and run.tfidf_vocab.terms == ["good"]
+    assert run.weights["train"].columns == ["Unique_ID", "POS", "validation_set", "tfidf"]
+
+
 def test_steps_are_switchable_and_checked(spark, tree):
     root, out = str(tree / "corpus"), str(tree / "out")
     assert set(runner.run_on_files(spark, root, out, ["convert"])) == set()
