@@ -179,6 +179,9 @@ ORACLES["reviews_sorted_by_id"] = _sql(REVIEWS + "," + RAW, """
 SELECT "POS", "Unique_ID", "Score" FROM raw
 ORDER BY substring("Unique_ID", 1, 3), CAST(substring("Unique_ID", 4) AS BIGINT)""")
 
+ORACLES["labelled_files_round_trip"] = _sql(REVIEWS, """
+SELECT CASE WHEN lang = 'en' THEN 'train' ELSE 'test' END AS split, pos AS "POS", (CASE WHEN pos = 1 THEN 'POS' ELSE 'NEG' END) || doc_id AS "Unique_ID",
+       CAST(n_chars % 11 AS INTEGER) AS "Score", text AS "Review" FROM reviews""")
 ORACLES["csv_round_trip"] = _sql(REVIEWS + "," + RAW, """
 SELECT "POS", "Unique_ID", "Score", "Review", false AS bad_row FROM raw""")
 

@@ -19,7 +19,7 @@ from corpusloom.operators import stages
 from corpusloom.operators.vocabulary import Vocabulary, fit_vocabulary, term_statistics
 from corpusloom.plans import inputs, runner
 from corpusloom.session import fresh_path, materialise
-from corpusloom.sources import labelled_files, tables
+from corpusloom.sources import folders, labelled_files, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -88,6 +88,17 @@ def reviews_sorted_by_id(spark, folder):
     return labelled_files.sort_by_id(inputs.raw_reviews(spark, folder)).select("POS", "Unique_ID", "Score")
 
 
+@registered
+def labelled_files_round_trip(spark, folder):
+    """The labelled documents written as files in folders, listed and read back."""
+    rows = inputs.reviews(spark, folder)
+    name = F.concat(F.when(F.col("lang") == "en", "train").otherwise("test"), F.lit("/"), C.folder_of_label(F.col("pos")), F.lit("/"),
+                    F.col("doc_id"), F.lit("_"), F.col("n_chars") % 11, F.lit(".txt"))
+    root = fresh_path(spark, "corpus")
+    folders.write_texts(rows.withColumn("name", name), "name", "text", root)
+    return labelled_files.read_labelled_text(spark, root)
+
+
 @registered
 def csv_round_trip(spark, folder):
     """The raw table written as fully quoted CSV and read back."""

@@ -10,16 +10,24 @@ from pyspark.sql import functions as F
 from corpusloom.functions.columns import composite_id, label_of_folder, prefix_of_label
 from corpusloom.functions.text import decode_bytes
 from corpusloom.operators.quality import parse_path
+from corpusloom.sources import folders
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """``(path, length)`` of every file below ``root``; contents are not read."""
-    return _binary(spark, root).select("path", "length")
+    return folders.list_below(spark, root) if folders.reachable(root) else _binary(spark, root).select("path", "length")
 
 
 def read_bytes(spark: SparkSession, path: str) -> DataFrame:
     """``(path, content)`` of a file or of all files below a folder."""
-    return _binary(spark, path).select("path", "content")
+    return _contents(spark, path).select("path", "content")
+
+
+def _contents(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
+    """``(path, length, content)``: listed and read by tasks, or by Spark in a store that only Spark can open."""
+    if folders.reachable(root):
+        return folders.with_contents(folders.list_below(spark, root, pattern or "*"))
+    return _binary(spark, root, pattern)
 
 
 def _binary(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
@@ -43,7 +51,7 @@ def _binary(spark: SparkSession, root: str, pattern: str | None = None) -> DataF
 
 def read_text_files(spark: SparkSession, root: str) -> DataFrame:
     """``(path, split, folder, number_text, number, score, text)`` of all ``*.txt`` files."""
-    files = _binary(spark, root, "*.txt")
+    files = _contents(spark, root, "*.txt")
     part = parse_path(F.col("path"))
     return files.select(
         "path", part["split"].alias("split"), part["folder"].alias("folder"),

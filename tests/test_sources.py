@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import integrity, metrics
-from corpusloom.sources import labelled_files, tables
+from corpusloom.sources import folders, labelled_files, tables
 
 TEXTS = {
     "train/pos/0_9.txt": "Good<br />film".encode(), "train/pos/10_8.txt": b"fine\r\nlines\rhere", "train/pos/2_7.txt": b"ok \xff",
@@ -43,6 +43,33 @@ def test_read_labelled_text(spark, tree):
     }
 
 
+def test_files_are_listed_by_tasks(spark, tree, monkeypatch):
+    monkeypatch.setattr(labelled_files, "_binary", None)
+    files = {r["path"].split("/corpus/")[1]: r["length"] for r in labelled_files.list_files(spark, "file:" + tree).collect()}
+    assert files == {k: len(v) for k, v in TEXTS.items()} | {"train/unsup/5_0.txt": 10, "train/pos/notes.md": 12}
+    assert folders.list_below(spark, tree, "*.md").count() == 1 and folders.list_below(spark, tree, "?_?.txt").count() == 5
+    one = labelled_files.read_bytes(spark, f"{tree}/train/pos/0_9.txt").collect()
+    assert [bytes(r["content"]) for r in one] == [TEXTS["train/pos/0_9.txt"]]
+    with pytest.raises(Exception, match="FileNotFound"):
+        folders.list_below(spark, tree + "/none").count()
+
+
+def test_stores_that_only_spark_opens(spark, tree, monkeypatch):
+    want = sorted(map(str, labelled_files.read_labelled_text(spark, tree).collect()))
+    assert not folders.reachable("viewfs://somewhere/x")
+    monkeypatch.setattr(folders, "reachable", lambda root: False)
+    assert sorted(map(str, labelled_files.read_labelled_text(spark, tree).collect())) == want
+    assert labelled_files.list_files(spark, tree).count() == 8
+
+
+def test_written_texts(spark, tmp_path):
+    rows = spark.createDataFrame([("a/x.txt", "é"), ("a/b/y.txt", None), ("z.txt", "1\r\n2")], "n string, t string").repartition(2)
+    for _ in range(2):
+        sizes = {r["path"]: r["length"] for r in folders.write_texts(rows, "n", "t", str(tmp_path / "w")).collect()}
+    assert sizes == {"a/x.txt": 2, "a/b/y.txt": 0, "z.txt": 4}
+    assert (tmp_path / "w/z.txt").read_bytes() == b"1\r\n2" and folders.list_below(spark, str(tmp_path / "w")).count() == 3
+
+
 def test_sort_by_id(spark, tree):
     rows = labelled_files.sort_by_id(labelled_files.read_labelled_text(spark, tree).where("split = 'train'")).collect()
     assert [r["Unique_ID"] for r in rows] == ["NEG0", "POS0", "POS2", "POS10"]
