@@ -135,6 +135,10 @@ def text_name(key: Column, body: Column) -> Column:
     return F.when(body.rlike(r"[^\x20\x09-\x0D]"), F.unhex(F.md5(body))).otherwise(alone)
 
 
+#: Bytes of text that are worked on at once.
+SLICE_BYTES = 2 << 20
+
+
 def entries(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Per row: ``id``, ``copy`` (equal for equal texts, unique without words), ``n`` shingles, ``bands``."""
     fields = [T.StructField("n", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))]
@@ -152,7 +156,7 @@ def entries(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).alias("id"), text_name(F.col(key), body).alias("copy"), body.alias("__text"))
-    return add_columns(rows, "__text", fields, work, keep=["id", "copy"])
+    return add_columns(rows, "__text", fields, work, keep=["id", "copy"], most=SLICE_BYTES)
 
 
 def star_pairs(members: DataFrame) -> DataFrame:
@@ -180,7 +184,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     rows = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
     rows = rows.join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a").select("a", "b", "a_text", "b_text")
-    scored = add_columns(rows, "a_text", [T.StructField("similar", T.DoubleType())], work, keep=["a", "b"])
+    scored = add_columns(rows, "a_text", [T.StructField("similar", T.DoubleType())], work, keep=["a", "b"], most=SLICE_BYTES)
     return scored.filter(F.col("similar") >= SIMILAR).select("a", "b")
 
 
@@ -227,7 +231,7 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
         raw = name.tobytes()
         return [pa.array([raw[i:j] for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.binary())]
 
-    return add_columns(texts, "text", [T.StructField("shingles", T.BinaryType())], work, keep=["node"])
+    return add_columns(texts, "text", [T.StructField("shingles", T.BinaryType())], work, keep=["node"], most=SLICE_BYTES)
 
 
 def _numbers(column: str) -> Column:
