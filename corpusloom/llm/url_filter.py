@@ -52,19 +52,36 @@ def url_tokens(host: Column, path: Column, url: Column) -> Column:
     return F.array_sort(F.array_distinct(F.concat(named("host=", words), named("path=", segments), named("query=", query))))
 
 
-def mine_rules(labelled: DataFrame, support: float = 0.002, confidence: float = 0.9) -> DataFrame:
-    """Association rules ``items -> verdict`` from rows of (``tokens``, ``verdict``) with FP-growth.
+def token_classes(labelled: DataFrame, support: float) -> DataFrame:
+    """``token``, ``item``: the tokens of at least ``support`` of the rows, and the first of those in the very same rows.
+
+    Tokens that always come together, such as the segments of one long path, say the same, and every subset of
+    them is a frequent set of its own; as one item they are mined once. Rows are compared by their number and two sums
+    of 64-bit hashes.
+    """
+    row = [F.xxhash64("tokens", "verdict", F.lit(n)).cast("decimal(38,0)").alias(f"h{n}") for n in (1, 2)]
+    seen = labelled.select(*row, F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"), F.sum("h1").alias("h1"), F.sum("h2").alias("h2"))
+    seen = seen.filter(F.col("n") >= support * labelled.count())
+    firsts = seen.groupBy("n", "h1", "h2").agg(F.min("token").alias("item"))
+    return seen.join(firsts, ["n", "h1", "h2"]).select("token", "item")
+
+
+def mine_rules(labelled: DataFrame, classes: DataFrame, support: float = 0.002, confidence: float = 0.9) -> DataFrame:
+    """Association rules ``items -> verdict`` from rows of (``tokens``, ``verdict``) with FP-growth over token classes.
 
     Kept are rules of at least ``support`` of the rows and ``confidence``; of these, a rule goes if one
     with fewer of the same items says the same at no lower confidence. Columns: ``items``, ``verdict``,
     ``rule_confidence``, ``rule_support``, ``key`` (the item with the smallest support of all, the
-    rule's posting list in the inverted index). No labelled rows give no rules.
+    rule's posting list in the inverted index). An item stands for any token of its class. No labelled rows give no rules.
     """
     spark = labelled.sparkSession
     empty = spark.createDataFrame([], "items array<string>, verdict string, rule_confidence double, rule_support double, key string")
     if labelled.isEmpty():
         return empty
-    baskets = labelled.select(F.array_append("tokens", F.concat(F.lit(_LABEL), "verdict")).alias("items"))
+    rows = materialise(labelled.select(F.monotonically_increasing_id().alias("id"), "tokens", "verdict"), "url-baskets")
+    found = rows.select("id", F.explode("tokens").alias("token")).join(classes, "token").groupBy("id").agg(F.collect_set("item").alias("found"))
+    said = F.array(F.concat(F.lit(_LABEL), "verdict"))
+    baskets = rows.join(found, "id", "left").select(F.concat(F.coalesce("found", F.array().cast("array<string>")), said).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
     single = model.freqItemsets.filter(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
     said = F.col("consequent")[0]
@@ -90,15 +107,19 @@ def mine_rules(labelled: DataFrame, support: float = 0.002, confidence: float =
     return found.join(redundant, ["items", "verdict"], "left_anti").select(*empty.columns)
 
 
-def match_rules(tokens: DataFrame, rules: DataFrame) -> DataFrame:
+def match_rules(tokens: DataFrame, classes: DataFrame, rules: DataFrame) -> DataFrame:
     """``tokens`` (distinct token sets) with the ``verdict``, ``items`` and ``rule_confidence`` of their best rule.
 
-    A set meets only rules whose key is one of its tokens. Best is the highest confidence, then more
-    items, more support, then the items themselves. Sets that no rule fits are left out.
+    A set has an item if it holds a token of its class, the last of which by name is shown. A set meets only rules whose
+    key is one of its items. Best is the highest confidence, then more items, more support, then the tokens shown. Sets
+    that no rule fits are left out.
     """
+    held = tokens.select("tokens", F.explode("tokens").alias("token")).join(classes, "token").groupBy("tokens", "item").agg(F.max("token").alias("token"))
+    own = held.groupBy("tokens").agg(F.map_from_entries(F.collect_list(F.struct("item", "token"))).alias("own"))
     hits = (
-        tokens.select("tokens", F.explode("tokens").alias("key")).join(rules, "key")
-        .filter(F.size(F.array_except("items", "tokens")) == 0)
+        own.select("tokens", "own", F.explode(F.map_keys("own")).alias("key")).join(rules, "key")
+        .filter(F.forall("items", lambda i: F.map_contains_key("own", i)))
+        .withColumn("items", F.array_sort(F.transform("items", lambda i: F.element_at("own", i))))
     )
     best = F.struct("rule_confidence", F.size("items"), "rule_support", "items", "verdict")
     return hits.groupBy("tokens").agg(F.max_by(F.struct("verdict", "items", "rule_confidence"), best).alias("best")).select("tokens", "best.*")
@@ -129,9 +150,11 @@ def judge_urls(
         labelled = labels.select("url", "verdict").distinct().select(
             url_tokens(host_of(address), path_of(address), address).alias("tokens"), "verdict"
         )
-    mined = materialise(mine_rules(labelled.select("tokens", "verdict"), support, confidence), "url-rules")
+    labelled = materialise(labelled.select("tokens", "verdict"), "url-labelled")
+    classes = materialise(token_classes(labelled, support), "url-classes")
+    mined = materialise(mine_rules(labelled, classes, support, confidence), "url-rules")
     sets = rows.filter(F.col("rule").isNull()).select("tokens").distinct()
-    said = match_rules(sets, mined).select("tokens", F.col("verdict").alias("said"), F.col("items").alias("mined"))
+    said = match_rules(sets, classes, mined).select("tokens", F.col("verdict").alias("said"), F.col("items").alias("mined"))
     out = rows.join(said, "tokens", "left")
     free = F.col("rule").isNull()
     return out.select(

@@ -9,7 +9,10 @@ import numpy as np
 import public_tokenizers
 
 from corpusloom.llm import bagminhash, neighbours, pieces
+from corpusloom.llm import url_filter
+from corpusloom.llm.queries import URL_RULES
 from tests.llm.data import documents, prose
+from tests.llm.test_tables import plain_verdicts, urls
 
 
 def test_texts_that_look_like_names_of_blank_ones(spark):
@@ -31,6 +34,26 @@ def test_collinear_vectors_tie_by_id(spark):
     assert [v for _, v in sorted(got[20])] == [0, 1, 2, 3, 4]
 
 
+def test_long_shared_paths_do_not_multiply(spark):
+    import time
+
+    schema = "page_id long, url string"
+    for n, support, limit in ((5, 0.02, None), (40, 0.002, 60)):
+        # A dictionary word per segment, since digits count as one token.
+        words = ["".join("abcdefghij"[int(c)] for c in f"{i:03d}") for i in range(n)]
+        site = [f"http://site.example.com/de/{'/'.join(words)}/end{'abc'[i]}" for i in range(3)]
+        partly = [f"http://other.net/{words[1]}/x", f"http://other.net/{words[-1]}/{words[0]}"]
+        all_urls = urls()[:250] + site + site[:1] + partly
+        start = time.perf_counter()
+        rows = url_filter.judge_urls(spark.createDataFrame(list(enumerate(all_urls)), schema), URL_RULES, support=support, confidence=0.8).collect()
+        got = [r.verdict for r in sorted(rows, key=lambda r: r.page_id)]
+        if limit is None:
+            assert got == plain_verdicts(all_urls, support, 0.8)
+        else:
+            assert time.perf_counter() - start < limit
+            assert got[-2:] == ["block", "block"]  # any token of the site's path says the same
+
+
 def test_a_long_text_takes_bounded_memory(spark):
     model = pieces.read_model(spark, str(public_tokenizers.path("piece_bpe_32k.model")))
     rng = random.Random(2)
