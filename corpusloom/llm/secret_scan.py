@@ -6,6 +6,8 @@ the text before and after it at hand without any positions; only texts with a ca
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -13,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from corpusloom.functions.columns import let
 from corpusloom.session import materialise
 
 _KEYS = r"(?:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth[_-]?key|bearer)"
@@ -29,6 +32,10 @@ _PLAIN_WORDS = r"(?i)(sha-?\d*|md5|checksum|commit|digest|uuid|isbn|invoice|orde
 #: Labelled findings that the forest is fitted on, at most, for each label.
 TRAINING_ROWS = 20_000
 MASK = "<SECRET>"
+#: Characters of a value that are looked at together.
+PART = 1000
+#: Log probability of neighbouring characters that no word of the dictionary has.
+RARE = -10.0
 FEATURES = (
     "length", "digits", "upper", "symbols", "distinct", "hex", "transitions", "coverage",
     "path_before", "path_inside", "suffix_after", "secret_word", "plain_word", "given", "quoted",
@@ -71,18 +78,74 @@ def dictionary(docs: DataFrame, text: str, share: float = 1e-6) -> DataFrame:
     return counts.crossJoin(F.broadcast(total)).filter(F.col("n") >= F.col("total") * share).select("word", "n")  # one row of totals
 
 
-def _pairs(value: Column) -> Column:
-    """Neighbouring characters in lower case, digits as 0."""
-    plain = F.regexp_replace(F.lower(value), "[0-9]", "0")
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(value) - 1, F.lit(1))), lambda i: F.substr(plain, i, F.lit(2)))
+def _pairs(word: Column) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.length(word) - 1), lambda i: F.substr(word, i, F.lit(2)))
+
+
+def _small(text: Column) -> Column:
+    """ASCII letters in lower case; the length stays."""
+    return F.translate(text, ascii_uppercase, ascii_lowercase)
+
+
+def _parts(values: DataFrame) -> DataFrame:
+    """``vid``, ``k``, ``part``, ``follow`` of values: parts of ``PART`` characters and up to 11 characters after each.
 
+    What is done to a part takes bounded time and memory, so a value costs in proportion to its length.
+    Parts are dealt out, since few rows may hold very long values.
+    """
+    cut = let(
+        F.regexp_extract_all("value", F.lit(f"(?s).{{1,{PART}}}"), F.lit(0)),
+        lambda parts: F.transform(
+            parts, lambda part, k: F.struct(k.alias("k"), part.alias("part"), F.left(F.coalesce(F.get(parts, k + 1), F.lit("")), F.lit(11)).alias("follow"))
+        ),
+    )
+    n = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return values.select("vid", F.explode(cut).alias("p")).select("vid", "p.*").repartition(n, "vid", "k")
 
-def _pieces(value: Column) -> Column:
-    """All stretches of 3 to 12 letters, with their first position."""
-    low = F.lower(value)
-    starts = F.sequence(F.lit(1), F.greatest(F.length(value) - 2, F.lit(1)))
-    every = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(3), F.lit(12)), lambda n: F.struct(i.alias("at"), F.substr(low, i, n).alias("word")))))
-    return F.filter(F.array_distinct(every), lambda x: x["word"].rlike("^[a-z]{3,12}$"))
+
+def _transition_table(words: DataFrame) -> DataFrame:
+    """One row with ``log_p``: 26 * 26 log probabilities of a letter after another, by the words' letters."""
+    pairs = words.select(F.explode(_pairs(F.col("word"))).alias("pair"), "n").groupBy("pair").agg(F.sum("n").alias("n"))
+    code = lambda c: F.ascii(c) - 97
+    cell = code(F.left("pair", F.lit(1))) * 26 + code(F.right("pair", F.lit(1)))
+    counts = pairs.agg(F.map_from_entries(F.collect_list(F.struct(cell, "n"))).alias("n"))
+    all_counts = F.transform(F.sequence(F.lit(0), F.lit(26 * 26 - 1)), lambda i: F.coalesce(F.element_at("n", i), F.lit(0)))
+    counts = counts.select(all_counts.alias("n")).select("n", F.transform(F.sequence(F.lit(0), F.lit(25)), lambda i: F.aggregate(F.slice("n", i * 26 + 1, 26), F.lit(0).cast("long"), lambda x, y: x + y)).alias("all"))
+    log_p = F.transform("n", lambda n, i: F.when(n > 0, F.log((n + 1) / (F.get("all", F.floor(i / 26).cast("int")) + 64))).otherwise(RARE))
+    return counts.select(log_p.alias("log_p"))
+
+
+def _transitions(parts: DataFrame, words: DataFrame) -> DataFrame:
+    """``vid``, ``transitions``: the mean over a value's neighbouring characters, ``RARE`` where they aren't letters."""
+    codes = F.transform(F.split(_small(F.concat("part", F.left("follow", F.lit(1)))), ""), lambda c: F.ascii(c) - 97)
+
+    def total(codes: Column) -> Column:
+        def log_p(i: Column) -> Column:
+            a, b = F.get(codes, i), F.get(codes, i + 1)
+            return F.when(a.between(0, 25) & b.between(0, 25), F.get("log_p", a * 26 + b)).otherwise(RARE)
+
+        steps = F.sequence(F.lit(0), F.size(codes) - 2)
+        some = F.size(codes) >= 2
+        return F.struct(
+            F.when(some, F.aggregate(steps, F.lit(0.0), lambda x, i: x + log_p(i))).otherwise(0.0).alias("sum"), (F.size(codes) - 1).alias("n"))
+
+    # One row of 26 * 26 numbers.
+    sums = parts.crossJoin(F.broadcast(_transition_table(words))).select("vid", let(codes, total).alias("t"))
+    return sums.groupBy("vid").agg(F.try_divide(F.sum("t.sum"), F.sum("t.n")).alias("transitions"))
+
+
+def _covered(parts: DataFrame, words: DataFrame) -> DataFrame:
+    """``vid``, ``covered``: characters of a value inside words of the dictionary, found as stretches of 3 to 12 letters."""
+    body = _small(F.concat("part", "follow"))
+    lead = lambda body, i: F.regexp_extract(F.substr(body, i, F.lit(12)), "^[a-z]+", 0)
+    starts = let(body, lambda body: F.transform(
+        F.sequence(F.lit(1), F.length("part")), lambda i: F.struct((F.col("k") * PART + i).alias("at"), lead(body, i).alias("run"))))
+    runs = parts.select("vid", F.explode(starts).alias("s")).select("vid", "s.*").filter(F.length("run") >= 3)
+    each = F.explode(F.transform(F.sequence(F.lit(3), F.length("run")), lambda n: F.left("run", n)))
+    met = runs.select("vid", "at", each.alias("word")).join(words.select("word"), "word")
+    spots = met.groupBy("vid", "at").agg(F.max(F.length("word")).alias("n"))  # shorter words lie inside the longest
+    spots = spots.select("vid", F.explode(F.sequence("at", F.col("at") + F.col("n") - 1)).alias("spot")).distinct()
+    return spots.groupBy("vid").agg(F.count("*").alias("covered"))
 
 
 def features(found: DataFrame, words: DataFrame) -> DataFrame:
@@ -90,18 +153,11 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
 
     ``transitions``: mean log probability of a character after the one before, by the words' letters.
     ``coverage``: share of characters inside words of the dictionary. Both are worked out once for each
-    distinct value, by joins on character pairs and on words.
+    distinct value, in parts of bounded length; rows travel with a number instead of the value.
     """
-    values = found.select("value").distinct()
-    pairs = words.select(F.explode(_pairs(F.col("word"))).alias("pair"), "n").groupBy("pair").agg(F.sum("n").alias("n"))
-    first = pairs.groupBy(F.left("pair", F.lit(1)).alias("first")).agg(F.sum("n").alias("all"))
-    logs = pairs.join(first, F.left("pair", F.lit(1)) == F.col("first")).select("pair", F.log((F.col("n") + 1) / (F.col("all") + 64)).alias("log_p"))
-    steps = values.select("value", F.explode(_pairs(F.col("value"))).alias("pair")).join(logs, "pair", "left")
-    steps = steps.groupBy("value").agg(F.avg(F.coalesce("log_p", F.lit(-10.0))).alias("transitions"))
-    spots = values.select("value", F.explode(_pieces(F.col("value"))).alias("p")).select("value", "p.*").join(words.select("word"), "word")
-    spots = spots.select("value", F.explode(F.sequence(F.col("at"), F.col("at") + F.length("word") - 1)).alias("spot")).distinct()
-    covered = spots.groupBy("value").agg(F.count("*").alias("covered"))
-    known = steps.join(covered, "value", "left")
+    values = materialise(found.select("value").distinct().withColumn("vid", F.monotonically_increasing_id()), "secret-values")
+    parts = materialise(_parts(values), "secret-parts")
+    known = values.join(_transitions(parts, words), "vid", "left").join(_covered(parts, words), "vid", "left").drop("vid")
     v, n = F.col("value"), F.greatest(F.length("value"), F.lit(1))
     count = lambda pattern: F.length(F.regexp_replace(v, pattern, "")) / n  # noqa: E731  share of characters that are left
     flag = lambda test: test.cast("double")
@@ -110,7 +166,7 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
         *found.columns,
         F.length("value").cast("double").alias("length"), count("[^0-9]").alias("digits"), count("[^A-Z]").alias("upper"), count("[A-Za-z0-9]").alias("symbols"),
         (F.size(F.array_distinct(F.split(v, ""))) / n).alias("distinct"), flag(v.rlike("^[0-9a-fA-F]+$")).alias("hex"),
-        F.coalesce("transitions", F.lit(-10.0)).alias("transitions"), F.coalesce(F.col("covered") / n, F.lit(0.0)).alias("coverage"),
+        F.coalesce("transitions", F.lit(RARE)).alias("transitions"), F.coalesce(F.col("covered") / n, F.lit(0.0)).alias("coverage"),
         flag(F.col("before").rlike(r"(://|[/@.\\])[^\s=]*$")).alias("path_before"), flag(v.rlike("/")).alias("path_inside"),
         flag(F.col("after").rlike(r"^[@/.][A-Za-z0-9]")).alias("suffix_after"), flag(near.rlike(_SECRET_WORDS)).alias("secret_word"),
         flag(near.rlike(_PLAIN_WORDS)).alias("plain_word"), flag(F.col("before").rlike(r"[=:][ \t]*[\"']?$")).alias("given"),
@@ -144,7 +200,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", labels: DataF
     ``after``, ``label`` 0 or 1), or from the candidates themselves where ``label_findings`` is certain.
     Without both labels there is nothing to learn, and the score is the label, or 0. Texts that are
     null, empty or without candidates give no rows; rows equal in key and text are reported once;
-    texts are read whole; other columns are not read.
+    texts are read whole, and a value costs in proportion to its length; other columns are not read.
     """
     found = materialise(candidates(docs, key, text).distinct(), "secret-candidates")
     words = materialise(dictionary(docs, text), "secret-dictionary")
