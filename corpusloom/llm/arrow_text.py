@@ -21,6 +21,11 @@ _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
+def white_bytes(data: np.ndarray) -> np.ndarray:
+    """Whether each byte is white space."""
+    return _WHITE[data]
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts, end to end, and the ``n + 1`` offsets; null counts as empty."""
     texts = column.fill_null("" if not pa.types.is_binary(column.type) else b"").cast(pa.large_binary())

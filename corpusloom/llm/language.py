@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.arrow_text import Words, add_columns, mix, text_bytes, words_of
-from corpusloom.llm.perplexity import BITS, word_ngrams
 from corpusloom.session import materialise
 
 #: Languages of each family, by their two-letter or, without one, three-letter codes.
@@ -56,6 +55,47 @@ FAMILIES = {x: family for family, members in _FAMILY_MEMBERS.items() for x in me
 #: Features of a text: its 2- and 3-grams of byte classes, hashed.
 N_FEATURES = 2048
 UNKNOWN = "und"
+#: Classes in an n-gram of a word, and bits of a class.
+ORDER, BITS = 4, 6
+
+
+def _byte_classes() -> np.ndarray:
+    """0 is the edge of a word, 1-26 letters, 27 digits, 28-31 other ASCII, 32-63 bytes beyond ASCII."""
+    table = np.zeros(256, np.int64)
+    for b in range(256):
+        if b >= 128:
+            table[b] = 32 + (b & 31)
+        elif chr(b).isalpha():
+            table[b] = ord(chr(b).lower()) - 96
+        elif chr(b).isdigit():
+            table[b] = 27
+        else:
+            table[b] = 28 + b % 4
+    return table
+
+
+CLASS = _byte_classes()
+
+
+def word_ngrams(distinct: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the 4-grams of every distinct word, edges included, and the index of each one's word.
+
+    A word of n bytes has n + 1: one for every byte and one for its end, each with 3 classes before it.
+    """
+    data, offsets = text_bytes(distinct)
+    n = len(distinct)
+    at = np.arange(len(data)) + np.repeat(np.arange(1, n + 1) * (ORDER - 1), np.diff(offsets)) + np.repeat(np.arange(n), np.diff(offsets))
+    line = np.zeros(len(data) + n * ORDER + ORDER, np.int64)
+    line[at] = CLASS[data]
+    ends = offsets[1:] + np.arange(1, n + 1) * (ORDER - 1) + np.arange(n)
+    real = np.zeros(len(line), bool)
+    real[at] = True
+    real[ends] = True
+    places = np.flatnonzero(real)
+    code = np.zeros(len(places), np.int64)
+    for back in range(ORDER - 1, -1, -1):
+        code = code << BITS | line[places - back]
+    return code, np.repeat(np.arange(n), np.diff(offsets) + 1)
 
 
 def word_features(words: Words) -> tuple[np.ndarray, np.ndarray]:

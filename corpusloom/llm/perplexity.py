@@ -1,150 +1,161 @@
-"""Quality rules: rule counts of a text, and the perplexity of its words under a Kneser-Ney model.
+"""Quality rules: rule counts of a text, and the perplexity of its bytes under a Kneser-Ney model.
 
-The model is a modified Kneser-Ney model of order 4 over the bytes of words. Bytes fall into 64
-classes, so there are at most 64**4 n-grams whatever the corpus, and its arrays of codes and log
-probabilities stay below 16 bytes for each: a proven bound for sending it to every task.
+The model is a modified Kneser-Ney model over the bytes of words joined by single spaces, so its n-grams
+reach over the edges of words. Spark counts the n-grams of all texts and works out discounts, back-off
+weights and probabilities by grouping and joining; the model is a table with a row per n-gram of the
+corpus and grows with it. An n-gram's code is its bytes in one number, so equal codes are equal n-grams.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.arrow_text import Words, add_columns, coded, runs, slices, sums_between, text_bytes, words_of
+from corpusloom.llm.arrow_text import Words, add_columns, coded, runs, slices, sums_between, text_bytes, white_bytes, words_of
 from corpusloom.session import materialise
 
-ORDER = 4
-BITS = 6
+#: Bytes in an n-gram.
+ORDER = 5
 #: Symbols that count as noise.
 SYMBOLS = b"#*$%&|<>"
+#: A model of up to so many n-grams (16 bytes each) is sent to tasks as sorted arrays; a larger one is joined with the texts' n-grams.
+SENT_ROWS = 4_000_000
+#: Places of a text that are looked at together, and n-grams a task holds before it passes their counts on.
+PART, HELD = 2 << 20, 2 << 20
+_SLICE = 2 << 20
+
+
+def stream(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all texts with one space after each, end to end, and the number of bytes of each text."""
+    keep = ~white_bytes(data)
+    last = keep.copy()
+    last[:-1] &= ~keep[1:]
+    ends = offsets[1:][np.diff(offsets) > 0] - 1
+    last[ends] = keep[ends]
+    times = keep.astype(np.int8) + last
+    out = np.repeat(data, times)
+    out[np.cumsum(times, dtype=np.int64)[last] - 1] = 0x20
+    return out, sums_between(times, offsets)
+
+
+def grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Codes of the n-grams of all texts, one for each byte of ``stream`` with those before it, and each one's text.
+
+    Zeros stand before a text. Long texts come in parts of ``PART`` places.
+    """
+    body, length = stream(data, offsets)
+    lead = ORDER - 1
+    line = np.zeros(len(body) + lead * (len(length) + 1), np.uint8)
+    ends = np.cumsum(length)
+    for start in range(0, len(body), PART):
+        place = np.arange(start, min(start + PART, len(body)))
+        line[place + (np.searchsorted(ends, place, "right") + 1) * lead] = body[place]
+    for start in range(0, len(body), PART):
+        place = np.arange(start, min(start + PART, len(body)))
+        doc = np.searchsorted(ends, place, "right")
+        at = place + (doc + 1) * lead
+        code = np.zeros(len(at), np.int64)
+        for back in range(lead, -1, -1):
+            code = code << 8 | line[at - back]
+        yield code, doc
+
+
+def text_grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, code and count of the distinct n-grams of each text."""
+    found = []
+    for code, doc in grams(data, offsets):
+        order = np.lexsort((code, doc))
+        code, doc = code[order], doc[order]
+        first = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (doc[1:] != doc[:-1])))
+        found.append((doc[first], code[first], np.diff(np.append(first, len(code)))))
+    if not found:
+        return (np.zeros(0, np.int64),) * 3
+    doc, code, n = map(np.concatenate, zip(*found))
+    if len(found) > 1:  # a text may go on in the next part
+        order = np.lexsort((code, doc))
+        code, doc, n = code[order], doc[order], n[order]
+        first = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (doc[1:] != doc[:-1])))
+        doc, code, n = doc[first], code[first], np.add.reduceat(n, first)
+    return doc, code, n
 
 
-def _byte_classes() -> np.ndarray:
-    """0 is the edge of a word, 1-26 letters, 27 digits, 28-31 other ASCII, 32-63 bytes beyond ASCII."""
-    table = np.zeros(256, np.int64)
-    for b in range(256):
-        if b >= 128:
-            table[b] = 32 + (b & 31)
-        elif chr(b).isalpha():
-            table[b] = ord(chr(b).lower()) - 96
-        elif chr(b).isdigit():
-            table[b] = 27
-        else:
-            table[b] = 28 + b % 4
-    return table
-
-
-CLASS = _byte_classes()
-
-
-def word_ngrams(distinct: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of the 4-grams of every distinct word, edges included, and the index of each one's word.
+def ngram_counts(docs: DataFrame, text: str) -> DataFrame:
+    """``code``, ``n``: how many rows' texts have each n-gram; summed in tasks first.
 
-    A word of n bytes has n + 1: one for every byte and one for its end, each with 3 classes before it.
+    A text counts once, so that no text vouches for what it repeats itself.
     """
-    data, offsets = text_bytes(distinct)
-    n = len(distinct)
-    at = np.arange(len(data)) + np.repeat(np.arange(1, n + 1) * (ORDER - 1), np.diff(offsets)) + np.repeat(np.arange(n), np.diff(offsets))
-    line = np.zeros(len(data) + n * ORDER + ORDER, np.int64)
-    line[at] = CLASS[data]
-    ends = offsets[1:] + np.arange(1, n + 1) * (ORDER - 1) + np.arange(n)
-    real = np.zeros(len(line), bool)
-    real[at] = True
-    real[ends] = True
-    places = np.flatnonzero(real)
-    code = np.zeros(len(places), np.int64)
-    for back in range(ORDER - 1, -1, -1):
-        code = code << BITS | line[places - back]
-    return code, np.repeat(np.arange(n), np.diff(offsets) + 1)
-
 
-def ngram_counts(docs: DataFrame, text: str) -> DataFrame:
-    """``code``, ``n``: how often each 4-gram occurs in all words of all texts; summed in tasks first."""
+    def summed(codes: list[np.ndarray], times: list[np.ndarray]) -> pa.RecordBatch:
+        code, where = np.unique(np.concatenate(codes), return_inverse=True)
+        n = np.bincount(where, np.concatenate(times), minlength=len(code)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
 
     def run(batches):
+        codes, times = [], []
         for batch in batches:
-            for piece in slices(batch, text):
-                words = words_of(*text_bytes(piece.column(0)))
-                code, word = word_ngrams(words.distinct)
-                found, where = np.unique(code, return_inverse=True)
-                n = np.bincount(where, words.counts()[word], minlength=len(found)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["code", "n"])
+            for piece in slices(batch, text, _SLICE):
+                _, code, _ = text_grams(*text_bytes(piece.column(0)))
+                code, n = np.unique(code, return_counts=True)
+                codes.append(code), times.append(n)
+                if sum(map(len, codes)) >= HELD:
+                    yield summed(codes, times)
+                    codes, times = [], []
+        if codes:
+            yield summed(codes, times)
 
     return docs.select(text).mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
-@dataclass
-class KneserNey:
-    """Sorted n-gram codes with log probabilities, and sorted contexts with log back-off weights, per order."""
-
-    grams: list[np.ndarray]
-    log_p: list[np.ndarray]
-    contexts: list[np.ndarray]
-    log_backoff: list[np.ndarray]
-
-    def score(self, code: np.ndarray) -> np.ndarray:
-        """Natural log probability of the last class of each 4-gram after the three before it."""
-        out = np.zeros(len(code))
-        open_ = np.arange(len(code))
-        for order in range(ORDER, 0, -1):
-            part = code[open_] & ((1 << BITS * order) - 1)
-            keys = self.grams[order - 1]
-            at = np.minimum(np.searchsorted(keys, part), len(keys) - 1)
-            hit = keys[at] == part if len(keys) else np.zeros(len(part), bool)
-            out[open_[hit]] += self.log_p[order - 1][at[hit]]
-            open_, part = open_[~hit], part[~hit]
-            if not len(open_):
-                break
-            context = part >> BITS
-            keys = self.contexts[order - 1]
-            at = np.minimum(np.searchsorted(keys, context), len(keys) - 1)
-            known = keys[at] == context if len(keys) else np.zeros(len(part), bool)
-            out[open_[known]] += self.log_backoff[order - 1][at[known]]
-        else:
-            out[open_] -= np.log(1 << BITS)
-        return out
-
-
-def discounts(n: np.ndarray) -> np.ndarray:
-    """Discounts for counts 0, 1, 2 and 3 or more, from the numbers of n-grams with counts 1 to 4."""
-    have = [int((n == k).sum()) for k in range(1, 5)]
+def discounts(have: list[int]) -> list[float]:
+    """Discounts for counts 1, 2 and 3 or more, from the numbers of n-grams with counts 1 to 4."""
     if min(have) == 0:
-        return np.array([0.0, 0.5, 0.75, 0.9])
+        return [0.5, 0.75, 0.9]
     y = have[0] / (have[0] + 2 * have[1])
-    return np.array([0.0] + [min(max(k - (k + 1) * y * have[k] / have[k - 1], 0.1), k - 0.05) for k in (1, 2, 3)])
+    return [min(max(k - (k + 1) * y * have[k] / have[k - 1], 0.1), k - 0.05) for k in (1, 2, 3)]
+
+
+def _ending(code: Column, order: int) -> Column:
+    return code.bitwiseAND(F.lit((1 << 8 * order) - 1))
 
 
-def fit_kneser_ney(code: np.ndarray, n: np.ndarray) -> KneserNey:
-    """The model from 4-gram counts. Lower orders count in how many ways an n-gram is continued to the left."""
-    order_counts: list[tuple[np.ndarray, np.ndarray]] = [(np.sort(code), n[np.argsort(code)])]
+def fit_kneser_ney(counts: DataFrame) -> DataFrame:
+    """``code``, ``log_p``: natural log probability of the last byte of every n-gram after those before it.
+
+    ``counts`` has ``code`` and ``n``. Lower orders count in how many ways an n-gram is continued to the
+    left. From order 2 on, n-grams with a count of 1 are discounted as a whole, as in a model pruned of
+    them, and have the probability of the order below. Contexts have at most 256 continuations, so
+    no key of these joins is hot.
+    """
+    levels = {ORDER: counts}
     for order in range(ORDER - 1, 0, -1):
-        suffix = order_counts[0][0] & ((1 << BITS * order) - 1)
-        order_counts.insert(0, np.unique(suffix, return_counts=True))
-    model = KneserNey([], [], [], [])
+        ways = levels[order + 1].groupBy(_ending(F.col("code"), order).alias("code")).agg(F.count("*").alias("n"))
+        levels[order] = materialise(ways, f"ngrams-{order}")
+    below = None
     for order in range(1, ORDER + 1):
-        grams, n = order_counts[order - 1]
-        cut = discounts(n)
-        level = np.minimum(n, 3)
-        contexts, of = np.unique(grams >> BITS, return_inverse=True)
-        total = np.bincount(of, n, minlength=len(contexts))
-        backoff = np.bincount(of, cut[level], minlength=len(contexts)) / total
-        if order == 1:
-            lower = np.full(len(grams), 1 / (1 << BITS))
+        level = levels[order]
+        have = level.agg(*[F.count(F.when(F.col("n") == k, 1)) for k in range(1, 5)]).first()  # four numbers
+        cut = discounts(list(have))
+        if order > 1:
+            cut[0] = 1.0
+        cut_of = F.when(F.col("n") == 1, cut[0]).when(F.col("n") == 2, cut[1]).otherwise(cut[2])
+        level = level.withColumn("context", F.shiftright("code", 8))
+        kinds = [F.count(F.when(F.col("n") == 1, 1)), F.count(F.when(F.col("n") == 2, 1)), F.count(F.when(F.col("n") > 2, 1))]
+        taken = sum((c * k for c, k in zip(cut[1:], kinds[1:])), cut[0] * kinds[0])
+        contexts = level.groupBy("context").agg(F.sum("n").alias("total"), taken.alias("taken"))
+        rows = level.join(contexts, "context")
+        if below is None:
+            rows = rows.withColumn("lower", F.lit(1 / 256))
         else:
-            suffix = grams & ((1 << BITS * (order - 1)) - 1)
-            lower = np.exp(model.log_p[-1][np.searchsorted(model.grams[-1], suffix)])
-        p = (n - cut[level]) / total[of] + backoff[of] * lower
-        model.grams.append(grams)
-        model.log_p.append(np.log(p))
-        model.contexts.append(contexts)
-        model.log_backoff.append(np.log(backoff))
-    return model
+            rows = rows.join(below.select(F.col("code").alias("ending"), F.exp("log_p").alias("lower")), _ending(F.col("code"), order - 1) == F.col("ending"))
+        p = (F.col("n") - cut_of) / F.col("total") + F.col("taken") / F.col("total") * F.col("lower")
+        below = materialise(rows.select("code", F.log(p).alias("log_p")), f"probabilities-{order}")
+    return below
 
 
 def duplicate_lines(data: np.ndarray, offsets: np.ndarray, words: Words) -> np.ndarray:
@@ -176,35 +187,67 @@ def repeated_words(words: Words) -> np.ndarray:
     return np.bincount(words.doc[covered], minlength=words.n_docs)
 
 
-def quality_counts(docs: DataFrame, model: KneserNey, key: str, text: str, lang: str) -> DataFrame:
-    """``key``, ``lang`` and the counts of ``quality_rules``, with ``log_perplexity`` (null without words)."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+def base_counts(docs: DataFrame, key: str, text: str, lang: str, model: DataFrame | None = None) -> DataFrame:
+    """``key``, ``lang``, ``text_hash`` and the counts of ``quality_rules``; with a ``model`` small enough to be sent, ``log_perplexity`` too."""
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     fields = [T.StructField(c, T.LongType()) for c in names]
     fields += [T.StructField("base_failed", T.BooleanType()), T.StructField("log_perplexity", T.DoubleType())]
+    sent = None
+    if model is not None:
+        table = model.toPandas().sort_values("code")  # SENT_ROWS rows at most
+        sent = docs.sparkSession.sparkContext.broadcast((table["code"].to_numpy(np.int64), table["log_p"].to_numpy(float)))
 
     def work(piece: pa.RecordBatch) -> list[pa.Array]:
-        data, offsets = text_bytes(piece.column(2))
+        data, offsets = text_bytes(piece.column(3))
         words = words_of(data, offsets)
         n = words.per_doc()
-        white = np.isin(data, (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D))
-        chars = sums_between(~white & (data & 0xC0 != 0x80), offsets)
+        chars = sums_between(~white_bytes(data) & (data & 0xC0 != 0x80), offsets)
         symbols = sums_between(np.isin(data, list(SYMBOLS)), offsets)
         repeats = repeated_words(words)
         failed = (n < 50) | (100 * repeats > 50 * n)
-        code, word = word_ngrams(words.distinct)
-        log_p = np.bincount(word, sent.value.score(code), minlength=len(words.distinct))
-        steps = np.bincount(word, minlength=len(words.distinct)).astype(float)
-        total, length = words.sums(log_p), words.sums(steps)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            value = -total / length
+        total, places = np.zeros(len(n)), np.zeros(len(n))
+        if sent is not None:
+            codes, log_p = sent.value
+            for code, doc in grams(data, offsets):
+                found, where = np.unique(code, return_inverse=True)
+                total += np.bincount(doc, log_p[np.searchsorted(codes, found)][where], minlength=len(n))
+                places += np.bincount(doc, minlength=len(n))
+        value = -total / np.maximum(places, 1)
         return [
             pa.array(n.astype(np.int64)), pa.array(chars), pa.array(symbols), pa.array(duplicate_lines(data, offsets, words)),
-            pa.array(repeats.astype(np.int64)), pa.array(failed), pa.array(value, mask=length == 0),
+            pa.array(repeats.astype(np.int64)), pa.array(failed), pa.array(value, mask=places == 0),
         ]
 
-    rows = docs.select(F.col(key).alias(key), F.col(lang).alias("lang"), F.col(text).alias("__text"))
-    return add_columns(rows, "__text", fields, work, keep=[key, "lang"])
+    rows = docs.select(F.col(key).alias(key), F.col(lang).alias("lang"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("__text"))
+    return add_columns(rows, "__text", fields, work, keep=[key, "lang", "text_hash"], most=_SLICE)
+
+
+def joined_perplexity(docs: DataFrame, text: str, model: DataFrame) -> DataFrame:
+    """``name``, ``log_perplexity`` of the distinct texts, by joining their n-grams with a model of any size.
+
+    Every text has an n-gram once, so no n-gram has a large share of the rows. Rows of equal texts add
+    to both sums alike and don't change their quotient.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for piece in slices(batch, text, _SLICE):
+                doc, code, n = text_grams(*text_bytes(piece.column(1)))
+                yield pa.RecordBatch.from_arrays([piece.column(0).take(pa.array(doc)), pa.array(code), pa.array(n)], ["name", "code", "n"])
+
+    asked = docs.select(F.xxhash64(F.col(text)).alias("name"), text).mapInArrow(run, "name long, code long, n long")
+    value = -F.sum(F.col("n") * F.col("log_p")) / F.sum("n")
+    return asked.join(model, "code").groupBy("name").agg(value.alias("log_perplexity"))
+
+
+def quality_counts(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
+    """``key``, ``lang`` and the counts of ``quality_rules``, with ``log_perplexity`` (null without words) by the model of all texts."""
+    model = fit_kneser_ney(materialise(ngram_counts(docs, text), "ngram-counts"))
+    if model.count() <= SENT_ROWS:
+        return base_counts(docs, key, text, lang, model)
+    by_text = materialise(joined_perplexity(docs, text, model), "perplexities")
+    counts = base_counts(docs, key, text, lang).drop("log_perplexity")
+    return counts.join(by_text, counts.text_hash == by_text.name, "left").drop("name")
 
 
 def perplexity_bands(counts: DataFrame, width: float = 6.0, least: float = 0.15) -> DataFrame:
@@ -228,22 +271,17 @@ def perplexity_bands(counts: DataFrame, width: float = 6.0, least: float = 0.15)
     return quartiles.select(F.col("lang").alias("band_lang"), (F.col("q2") / 1000 - down).alias("low"), (F.col("q2") / 1000 + up).alias("high"))
 
 
-def train(docs: DataFrame, text: str = "text") -> KneserNey:
-    """The model of all words of ``docs``; of no words at all, one that knows nothing."""
-    rows = materialise(ngram_counts(docs, text), "ngram-counts").toPandas()  # at most 64**4 rows
-    return fit_kneser_ney(rows["code"].to_numpy(np.int64), rows["n"].to_numpy(np.int64))
-
-
 def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """Counts of every row, whether it fails the base rules, and whether it is kept.
 
-    Kept are rows that pass the base rules and whose log perplexity (natural, per byte and word end)
-    lies in the band of their language, both ends included. Columns: ``key``, ``n_words``,
+    Kept are rows that pass the base rules and whose log perplexity (natural, per byte and word end, by
+    the model of all texts of ``docs``) lies in the band of their language, both ends included. Columns: ``key``, ``n_words``,
     ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``, ``kept``,
     ``log_perplexity``, ``low``, ``high``. Null texts count as empty: no words, failed. Rows without a
-    language share a band; repeated rows are judged each; an empty table gives an empty table.
+    language share a band; repeated rows are judged each; long texts are worked on in parts; an empty
+    table gives an empty table. Columns but these three are not read.
     """
-    counts = materialise(quality_counts(docs, train(docs, text), key, text, lang), "quality-counts")
+    counts = materialise(quality_counts(docs, key, text, lang), "quality-counts")
     bands = materialise(perplexity_bands(counts), "perplexity-bands")
     out = counts.join(bands, counts.lang.eqNullSafe(bands.band_lang), "left")
     inside = F.coalesce(F.col("log_perplexity").between(F.col("low"), F.col("high")), F.lit(False))

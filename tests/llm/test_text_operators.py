@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import collections
+import functools
 import itertools
 import math
 import random
+import string
 import struct
 
 import numpy as np
@@ -85,40 +87,92 @@ def base_counts(text: str | None) -> tuple:
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), again, len(inside)
 
 
-def plain_kneser_ney(counts: dict[tuple, int]):
-    """Log probability of the last class of a 4-gram, from the definition."""
-    levels = {perplexity.ORDER: dict(counts)}
+def plain_grams(text: str | None) -> list[bytes]:
+    line = b"".join(w.encode() + b" " for w in data.words(text))
+    return [(bytes(perplexity.ORDER) + line)[i + 1 : i + 1 + perplexity.ORDER] for i in range(len(line))]
+
+
+def plain_kneser_ney(texts: list):
+    """Probability of the last byte of an n-gram after those before it, from the definition."""
+    levels = {perplexity.ORDER: collections.Counter(g for t in texts for g in set(plain_grams(t)))}
     for order in range(perplexity.ORDER - 1, 0, -1):
         levels[order] = collections.Counter(g[1:] for g in levels[order + 1])
-    cut = {o: perplexity.discounts(np.array(list(c.values()))) for o, c in levels.items()}
-
-    def p(gram: tuple) -> float:
+    cut, after = {}, collections.defaultdict(list)
+    for order, level in levels.items():
+        cut[order] = [0.0, *perplexity.discounts([sum(n == k for n in level.values()) for k in range(1, 5)])]
+        if order > 1:
+            cut[order][1] = 1.0
+        for g, n in level.items():
+            after[g[:-1], order].append(n)
+
+    @functools.cache
+    def p(gram: bytes) -> float:
         if not gram:
-            return 1 / 64
-        level, d = levels[len(gram)], cut[len(gram)]
-        after = [n for g, n in level.items() if g[:-1] == gram[:-1]]
-        if not after:
+            return 1 / 256
+        order = len(gram)
+        others = after.get((gram[:-1], order))
+        if not others:
             return p(gram[1:])
-        n = level.get(gram, 0)
-        return (max(n - d[min(n, 3)], 0) + sum(d[min(x, 3)] for x in after) * p(gram[1:])) / sum(after)
+        n, d = levels[order].get(gram, 0), cut[order]
+        return (n - d[min(n, 3)] + sum(d[min(x, 3)] for x in others) * p(gram[1:])) / sum(others)
 
     return p
 
 
-def test_kneser_ney_equals_the_definition():
-    words = pa.array([b"the", b"then", b"other", b"a", b"\xc3\xa9t\xc3\xa9", b"9+"], pa.large_binary())
-    times = np.array([9, 3, 4, 2, 1, 1])
-    code, word = perplexity.word_ngrams(words)
-    found, where = np.unique(code, return_inverse=True)
-    model = perplexity.fit_kneser_ney(found, np.bincount(where, times[word]).astype(np.int64))
-    split = lambda c: tuple(int(c) >> 6 * k & 63 for k in (3, 2, 1, 0))
-    p = plain_kneser_ney({split(c): int(n) for c, n in zip(found, np.bincount(where, times[word]))})
-    new, _ = perplexity.word_ngrams(pa.array([b"thin", b"zebra", b"the", b"9"], pa.large_binary()))
-    assert np.allclose(model.score(new), [math.log(p(split(c))) for c in new])
+def plain_log_perplexity(p, text: str | None) -> float | None:
+    found = plain_grams(text)
+    return -sum(math.log(p(g)) for g in found) / len(found) if found else None
+
+
+def test_streams_and_grams(monkeypatch):
+    texts = [" ab  c\n", None, "", "\t ", "é", "x y", "abcdefgh " * 3]
+    for part in (5, 1 << 20):
+        monkeypatch.setattr(perplexity, "PART", part)
+        doc, code, n = perplexity.text_grams(*arrow_text.text_bytes(pa.array(texts)))
+        got = [collections.Counter() for _ in texts]
+        for d, c, k in zip(doc.tolist(), code.tolist(), n.tolist()):
+            got[d][c.to_bytes(perplexity.ORDER, "big")] += k
+        assert got == [collections.Counter(plain_grams(t)) for t in texts]
+
+
+def test_kneser_ney_equals_the_definition(spark, monkeypatch):
+    texts = [r[1] for r in data.rows()] + ["the other of the others", "\0 null bytes \0"]
+    docs = data.documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    p = plain_kneser_ney(texts)
+    model = perplexity.fit_kneser_ney(perplexity.materialise(perplexity.ngram_counts(docs, "text"), "counts"))
+    table = {r["code"].to_bytes(perplexity.ORDER, "big"): r["log_p"] for r in model.collect()}
+    assert set(table) == {g for t in texts for g in plain_grams(t)}
+    assert all(math.isclose(v, math.log(p(g)), rel_tol=1e-9, abs_tol=1e-12) for g, v in table.items())
     # Probabilities after any context sum to one.
-    for context in ((0, 0, 0), (0, 20, 8), (5, 5, 5)):
-        every = np.array([sum(c << 6 * k for k, c in zip((3, 2, 1, 0), (*context, last))) for last in range(64)])
-        assert np.isclose(np.exp(model.score(every)).sum(), 1)
+    for context in (b"the ", b" of ", bytes(perplexity.ORDER - 1), b"zzzz"):
+        assert math.isclose(sum(p(context + bytes([b])) for b in range(256)), 1)
+    # Sent to tasks or joined, every row gets the same perplexity.
+    for rows in (perplexity.SENT_ROWS, 0):
+        monkeypatch.setattr(perplexity, "SENT_ROWS", rows)
+        got = {r["doc_id"]: r["log_perplexity"] for r in perplexity.quality_counts(docs, "doc_id", "text", "lang").collect()}
+        for i, t in enumerate(texts):
+            want = plain_log_perplexity(p, t)
+            assert got[i] is None if want is None else math.isclose(got[i], want, rel_tol=1e-9)
+
+
+def test_shuffled_words_and_noise_are_less_likely(spark):
+    rng = random.Random(9)
+    follow = {a: rng.sample(string.ascii_lowercase, 7) for a in string.ascii_lowercase}
+
+    def ordered(n: int) -> list[str]:
+        out = ["a"]
+        while len(out) < n:
+            out.append(rng.choice(follow[out[-1]]))
+        return [c + "o" for c in out]
+
+    texts = [ordered(120) for _ in range(60)]
+    salad = rng.sample(texts[0], len(texts[0]))
+    noise = ["".join(rng.choices(string.ascii_letters, k=5)) for _ in range(120)]
+    rows = [(i, " ".join(t), "en", "s") for i, t in enumerate([*texts, salad, noise])]
+    got = {r["doc_id"]: r for r in perplexity.quality_rules(data.documents(spark, rows)).collect()}
+    assert got[60]["log_perplexity"] > max(got[i]["log_perplexity"] for i in range(60))
+    assert not got[60]["kept"] and not got[61]["kept"]
+    assert all(got[i]["kept"] for i in range(60))
 
 
 def test_quality_rules(spark):
