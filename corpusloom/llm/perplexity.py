@@ -28,7 +28,8 @@ SYMBOLS = b"#*$%&|<>"
 SENT_ROWS = 4_000_000
 #: Places of a text that are looked at together, and n-grams a task holds before it passes their counts on.
 PART, HELD = 2 << 20, 2 << 20
-_SLICE = 2 << 20
+#: Bytes of text worked on at once; a stream has up to one byte more per text, so most slices are one part.
+_SLICE = 3 << 19
 
 
 def stream(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -53,27 +54,33 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, n
     lead = ORDER - 1
     line = np.zeros(len(body) + lead * (len(length) + 1), np.uint8)
     ends = np.cumsum(length)
-    for start in range(0, len(body), PART):
-        place = np.arange(start, min(start + PART, len(body)))
-        line[place + (np.searchsorted(ends, place, "right") + 1) * lead] = body[place]
-    for start in range(0, len(body), PART):
-        place = np.arange(start, min(start + PART, len(body)))
-        doc = np.searchsorted(ends, place, "right")
-        at = place + (doc + 1) * lead
-        code = np.zeros(len(at), np.int64)
+
+    def docs_of(start: int, stop: int) -> np.ndarray:
+        first, last = np.searchsorted(ends, [start, stop - 1], "right")
+        inside = slice(first, last + 1)
+        return np.repeat(np.arange(first, last + 1), np.minimum(ends[inside], stop) - np.maximum(ends[inside] - length[inside], start))
+
+    spans = [(start, min(start + PART, len(body))) for start in range(0, len(body), PART)]
+    for start, stop in spans:
+        line[np.arange(start, stop) + (docs_of(start, stop) + 1) * lead] = body[start:stop]
+    for start, stop in spans:
+        doc = docs_of(start, stop)
+        at = np.arange(start, stop) + (doc + 1) * lead
+        low, high = at[0], at[-1] + 1
+        code = np.zeros(high - low, np.int64)
         for back in range(lead, -1, -1):
-            code = code << 8 | line[at - back]
-        yield code, doc
+            code = code << 8 | line[low - back : high - back]
+        yield code[at - low], doc
 
 
 def text_grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text, code and count of the distinct n-grams of each text."""
     found = []
     for code, doc in grams(data, offsets):
-        order = np.lexsort((code, doc))
-        code, doc = code[order], doc[order]
-        first = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (doc[1:] != doc[:-1])))
-        found.append((doc[first], code[first], np.diff(np.append(first, len(code)))))
+        # A part has fewer texts than 2**23 and a code has 40 bits, so both fit one number, which sorts fast.
+        docs = doc[np.append(True, doc[1:] != doc[:-1])]
+        both, n = np.unique((np.searchsorted(docs, doc) << 8 * ORDER) + code, return_counts=True)
+        found.append((docs[both >> 8 * ORDER], both & ((1 << 8 * ORDER) - 1), n))
     if not found:
         return (np.zeros(0, np.int64),) * 3
     doc, code, n = map(np.concatenate, zip(*found))
@@ -85,6 +92,18 @@ def text_grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return doc, code, n
 
 
+def looked_up(code: np.ndarray, codes: np.ndarray, log_p: np.ndarray) -> np.ndarray:
+    """``log_p`` of every code, by sorting codes and places as one number, so that the table is read in order."""
+    bits = int(PART).bit_length()
+    both = np.sort((code << bits) + np.arange(len(code)))
+    code, place = both >> bits, both & ((1 << bits) - 1)
+    first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+    values = log_p[np.searchsorted(codes, code[first])]
+    out = np.empty(len(code))
+    out[place] = np.repeat(values, np.diff(np.append(first, len(code))))
+    return out
+
+
 def ngram_counts(docs: DataFrame, text: str) -> DataFrame:
     """``code``, ``n``: how many rows' texts have each n-gram; summed in tasks first.
 
@@ -209,8 +228,7 @@ def base_counts(docs: DataFrame, key: str, text: str, lang: str, model: DataFram
         if sent is not None:
             codes, log_p = sent.value
             for code, doc in grams(data, offsets):
-                found, where = np.unique(code, return_inverse=True)
-                total += np.bincount(doc, log_p[np.searchsorted(codes, found)][where], minlength=len(n))
+                total += np.bincount(doc, looked_up(code, codes, log_p), minlength=len(n))
                 places += np.bincount(doc, minlength=len(n))
         value = -total / np.maximum(places, 1)
         return [
