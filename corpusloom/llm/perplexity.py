@@ -167,11 +167,12 @@ def fit_kneser_ney(counts: DataFrame) -> DataFrame:
         kinds = [F.count(F.when(F.col("n") == 1, 1)), F.count(F.when(F.col("n") == 2, 1)), F.count(F.when(F.col("n") > 2, 1))]
         taken = sum((c * k for c, k in zip(cut[1:], kinds[1:])), cut[0] * kinds[0])
         contexts = level.groupBy("context").agg(F.sum("n").alias("total"), taken.alias("taken"))
-        rows = level.join(contexts, "context")
+        rows = level.join(contexts.hint("merge"), "context")  # a broadcast would grow with the corpus
         if below is None:
             rows = rows.withColumn("lower", F.lit(1 / 256))
         else:
-            rows = rows.join(below.select(F.col("code").alias("ending"), F.exp("log_p").alias("lower")), _ending(F.col("code"), order - 1) == F.col("ending"))
+            lower = below.select(F.col("code").alias("ending"), F.exp("log_p").alias("lower"))
+            rows = rows.join(lower.hint("merge"), _ending(F.col("code"), order - 1) == F.col("ending"))
         p = (F.col("n") - cut_of) / F.col("total") + F.col("taken") / F.col("total") * F.col("lower")
         below = materialise(rows.select("code", F.log(p).alias("log_p")), f"probabilities-{order}")
     return below
@@ -213,8 +214,9 @@ def base_counts(docs: DataFrame, key: str, text: str, lang: str, model: DataFram
     fields += [T.StructField("base_failed", T.BooleanType()), T.StructField("log_perplexity", T.DoubleType())]
     sent = None
     if model is not None:
-        table = model.toPandas().sort_values("code")  # SENT_ROWS rows at most
-        sent = docs.sparkSession.sparkContext.broadcast((table["code"].to_numpy(np.int64), table["log_p"].to_numpy(float)))
+        table = model.orderBy("code").toArrow()  # SENT_ROWS rows at most
+        sent = docs.sparkSession.sparkContext.broadcast((table["code"].to_numpy(), table["log_p"].to_numpy()))
+        del table
 
     def work(piece: pa.RecordBatch) -> list[pa.Array]:
         data, offsets = text_bytes(piece.column(3))
@@ -255,7 +257,7 @@ def joined_perplexity(docs: DataFrame, text: str, model: DataFrame) -> DataFrame
 
     asked = docs.select(F.xxhash64(F.col(text)).alias("name"), text).mapInArrow(run, "name long, code long, n long")
     value = -F.sum(F.col("n") * F.col("log_p")) / F.sum("n")
-    return asked.join(model, "code").groupBy("name").agg(value.alias("log_perplexity"))
+    return asked.join(model.hint("merge"), "code").groupBy("name").agg(value.alias("log_perplexity"))
 
 
 def quality_counts(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
