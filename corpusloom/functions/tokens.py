@@ -6,6 +6,7 @@ import json
 from collections.abc import Iterable, Mapping
 from zlib import crc32
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +16,9 @@ from corpusloom.functions.wordlists import CLITICS, LEMMAS, NEGATIONS
 
 FEATURE_TOKEN = r"[\p{L}\p{N}_]{2,}"
 
+#: Rows whose tokens are looked up at once.
+LOOKUP_ROWS = 64
+
 _CLITIC = "|".join(CLITICS)
 # Clitics are split off and marked with U+2019, after every other U+2019 became "'".
 _NEGATED = r"(\p{L})n't"
@@ -72,20 +76,34 @@ def lemmatize(tokens: Column, lemmas: Mapping[str, str] | None = None, lowered:
     return F.filter(replaced, lambda t: t != "") if "" in entries.values() else replaced
 
 
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _looked_up(tokens: pa.Array, own: pa.Array) -> pa.Array:
+    """Each row's tokens replaced by the row's own entries, in time that grows with both, not with their product."""
+    made = []
+    for start in range(0, len(tokens), LOOKUP_ROWS):
+        rows, entries = tokens.slice(start, LOOKUP_ROWS).to_pylist(), own.slice(start, LOOKUP_ROWS).to_pylist()
+        tables = ({e["form"]: e["lemma"] for e in row or ()} for row in entries)
+        made.append(pa.array([row and [table.get(t, t) for t in row] for row, table in zip(rows, tables)], pa.list_(pa.string())))
+    return pa.concat_arrays(made) if made else pa.array([], pa.list_(pa.string()))
+
+
 def lemmatize_with_table(df: DataFrame, tokens: str, lemmas: DataFrame) -> DataFrame:
     """``lemmatize`` of the array column ``tokens`` with a dictionary table ``(form, lemma)`` of any size.
 
     Equal token arrays have equal lemmas, so arrays are joined by their digest and rows need no key.
     A form that the table has twice gets its smallest lemma. Null arrays stay null.
     """
-    digest = F.md5(F.to_json(F.col(tokens)))
     low = F.transform(tokens, lambda t: F.lower(t))
-    forms = df.where(F.col(tokens).isNotNull()).select(digest.alias("_digest"), F.explode(F.array_distinct(low)).alias("form")).distinct()
+    keyed = df.withColumn("_digest", F.md5(F.to_json(F.col(tokens))))
+    # The digest and the forms are made before the explode: beside it they would be made anew for each form.
+    arrays = keyed.where(F.col(tokens).isNotNull()).select("_digest", F.array_distinct(low).alias("_forms"))
+    forms = arrays.dropDuplicates(["_digest"]).select("_digest", F.explode("_forms").alias("form"))
     known = lemmas.groupBy("form").agg(F.lower(F.min("lemma")).alias("lemma"))
-    own = forms.join(known, "form").groupBy("_digest").agg(F.map_from_entries(F.collect_list(F.struct("form", "lemma"))).alias("_own"))
-    replaced = F.transform(low, lambda t: F.coalesce(F.col("_own")[t], t))
-    joined = df.withColumn("_digest", digest).join(own, "_digest", "left")
-    return joined.withColumn(tokens, F.filter(replaced, lambda t: t != "")).select(*df.columns)
+    own = forms.join(known, "form").groupBy("_digest").agg(F.collect_list(F.struct("form", "lemma")).alias("_own"))
+    joined = keyed.join(own, "_digest", "left").withColumn("_low", low)
+    looked_up = _looked_up(F.when(F.col("_own").isNotNull(), F.col("_low")), F.col("_own"))
+    replaced = joined.withColumn("_lemmas", F.coalesce(looked_up, F.col("_low")))
+    return replaced.withColumn(tokens, F.filter("_lemmas", lambda t: t != "")).select(*df.columns)
 
 
 def effective_stop_words(words: Iterable[str], keep: Iterable[str] = NEGATIONS) -> list[str]:

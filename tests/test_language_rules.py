@@ -5,10 +5,12 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import time
 from collections import Counter
 
 import pytest
 
+from corpusloom.functions import tokens
 from corpusloom.functions.wordlists import DETACHMENTS
 from corpusloom.operators import lemmas, selection
 
@@ -102,3 +104,14 @@ def test_grid_without_rows_or_with_one_class(spark):
     assert selection.grid_scores(spark.createDataFrame([], schema), "b", "y", "id", 3).count() == 0
     one = spark.createDataFrame([(i, 1, ([0], [1.0])) for i in range(30)], schema)
     assert all(r.FN == 0 and r.TP > 0 for r in selection.grid_scores(one, "b", "y", "id", 3).collect())
+
+
+def test_lemmas_of_a_long_text_take_time_in_proportion_to_its_length(spark):
+    """Neither the digest nor the lookup of a token may cost as much as the whole text."""
+    words = [f"word{i}" for i in range(40_000)]
+    docs = spark.createDataFrame([(1, words * 2), (2, ["Word7", None, "gone", ""]), (3, None), (4, [])], "id int, t array<string>")
+    table = spark.createDataFrame([(w, w[4:]) for w in words] + [("gone", ""), ("word7", "A")], "form string, lemma string")
+    started = time.perf_counter()
+    found = {r["id"]: r["t"] for r in tokens.lemmatize_with_table(docs, "t", table).collect()}
+    assert time.perf_counter() - started < 30
+    assert found == {1: [w[4:] for w in words] * 2, 2: ["7"], 3: None, 4: []}
