@@ -26,6 +26,12 @@ TOLERANCE = 1e-4
 #: Rows whose curvature the driver holds as preconditioner, at most. They steer the search, not its outcome.
 SAMPLE_ROWS = 4096
 
+#: Features, constant included, up to which the driver holds the curvature of a sample as a square over the features
+#: (512 MB), and rows of that sample, at most. With several rows a feature it is close to the curvature of all rows,
+#: so that the number of passes does not grow with them.
+SQUARE_SIZE = 8192
+SQUARE_ROWS = 65536
+
 #: Entries of a vector that one task adds up.
 CHUNK = 1 << 16
 
@@ -145,7 +151,7 @@ class Passes:
 class Factored:
     """A positive definite matrix as the product of a triangle and its transpose, in blocks; overwrites its argument."""
 
-    STEP = 64
+    STEP = 256
 
     def __init__(self, a: np.ndarray):
         self.low, self.inverse = a, []
@@ -154,7 +160,9 @@ class Factored:
             a[k:e, k:e] = np.linalg.cholesky(a[k:e, k:e])
             self.inverse.append(np.linalg.inv(a[k:e, k:e]))
             a[e:, k:e] = a[e:, k:e] @ self.inverse[-1].T
-            a[e:, e:] -= a[e:, k:e] @ a[e:, k:e].T
+            for r in range(e, len(a), 4 * self.STEP):  # only what lies below the diagonal is read again
+                to = r + 4 * self.STEP
+                a[r:to, e:to] -= a[r:to, k:e] @ a[e:to, k:e].T
 
     def solve(self, v: np.ndarray) -> np.ndarray:
         x = v.copy()
@@ -197,6 +205,37 @@ class SampleCurvature:
         return apply
 
 
+class SquareCurvature:
+    """The inverse Hessian of a sample of rows as a square over the features, each row standing for ``share`` rows."""
+
+    CHUNK_ROWS, STRIPE = 1024, 1024
+
+    def __init__(self, block: Block, size: int, c: float, share: float):
+        self.block, self.size, self.weight = block, size, 2 * c * share * block.cost
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(block.row, minlength=len(block.y)))])
+        self.square = np.empty((size, size))
+
+    def at(self, w: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+        """``v -> inverse Hessian at w times v``. The square is made anew, so what an earlier call gave is void."""
+        block, square = self.block, self.square
+        active = np.flatnonzero(block.y * block.times(w) < 1)
+        square.fill(0.0)
+        square[np.diag_indices(self.size)] = 1.0
+        for start in range(0, len(active), self.CHUNK_ROWS):
+            rows = active[start : start + self.CHUNK_ROWS]
+            lengths = self.starts[rows + 1] - self.starts[rows]
+            at = np.repeat(self.starts[rows] - (np.cumsum(lengths) - lengths), lengths)
+            at += np.arange(len(at))
+            dense = np.zeros((len(rows), self.size), np.float32)
+            root = np.sqrt(self.weight[rows])
+            dense[np.repeat(np.arange(len(rows)), lengths), block.indices[at]] = block.values[at] * np.repeat(root, lengths)
+            dense[:, -1] = root
+            for k in range(0, self.size, self.STRIPE):
+                e = k + self.STRIPE
+                square[k:e, :e] += dense[:, k:e].T @ dense[:, :e]
+        return Factored(square).solve
+
+
 @dataclass(frozen=True)
 class LinearSVM:
     """Weights by feature index, the intercept, and what the fit ended with."""
@@ -284,15 +323,19 @@ def fit_squared_hinge(
     return LinearSVM(w[:-1].tolist(), float(w[-1]), float(objective), norm, passes.jobs, c)
 
 
-def _sample(train: DataFrame, label: str, features: str, n: int, costs: tuple[float, float], size: int, c: float) -> SampleCurvature:
-    """Curvature of ``SAMPLE_ROWS`` rows at most, picked by a hash of their features."""
-    share = min(1.0, 0.9 * SAMPLE_ROWS / max(n, 1)) if n > SAMPLE_ROWS else 1.0
+def _sample(
+    train: DataFrame, label: str, features: str, n: int, costs: tuple[float, float], size: int, c: float
+) -> SampleCurvature | SquareCurvature:
+    """Curvature of a bounded sample of rows, picked by a hash of their features."""
+    square = n > SAMPLE_ROWS and size <= SQUARE_SIZE
+    most = SQUARE_ROWS if square else SAMPLE_ROWS
+    share = min(1.0, 0.9 * most / max(n, 1)) if n > most else 1.0
     known = train.where(F.col(label).isNotNull())
     drawn = known.where(F.pmod(F.xxhash64(f"{features}.indices", f"{features}.values"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    rows = drawn.select(F.col(label).cast("int").alias("y"), f"{features}.indices", f"{features}.values").limit(SAMPLE_ROWS).toArrow()
+    rows = drawn.select(F.col(label).cast("int").alias("y"), f"{features}.indices", f"{features}.values").limit(most).toArrow()
     y = np.where(rows["y"].to_numpy() == 1, 1.0, -1.0) if rows.num_rows else np.zeros(0)
     lists = [rows[name].combine_chunks() for name in ("indices", "values")]
     lengths = lists[0].value_lengths().to_numpy(zero_copy_only=False) if rows.num_rows else np.zeros(0, int)
     flat = [a.flatten().to_numpy(zero_copy_only=False) for a in lists]
     block = Block(y, np.where(y > 0, costs[1], costs[0]), np.repeat(np.arange(len(y)), lengths), flat[0].astype(np.int64), flat[1])
-    return SampleCurvature(block, size, c, n / max(len(y), 1))
+    return (SquareCurvature if square else SampleCurvature)(block, size, c, n / max(len(y), 1))

@@ -66,3 +66,17 @@ def test_degenerate_tables(spark):
     model = svm.fit_squared_hinge(one, "y", "x", 3, 1.0, "balanced", tolerance=1e-10)
     # Minimum of b^2 / 2 + 2 (1 - b)^2.
     assert abs(model.intercept - 0.8) < 1e-9 and model.weights == [0.0] * 3
+
+
+def test_passes_do_not_grow_with_the_rows_beyond_the_small_sample(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    size = 60
+    rows = []
+    for _ in range(1500):
+        indices = sorted(rng.choice(size, 8, replace=False).tolist())
+        rows.append((int(rng.random() < 0.3 + 0.4 * (indices[0] < 3)), (indices, rng.random(8).tolist())))
+    docs = spark.createDataFrame(rows, "pos int, f struct<indices: array<int>, values: array<double>>")
+    monkeypatch.setattr(svm, "SAMPLE_ROWS", 30)
+    model = svm.fit_squared_hinge(docs, "pos", "f", size, 100.0, "balanced", tolerance=1e-8)
+    assert model.gradient_norm <= 1e-8
+    assert model.passes <= 40
