@@ -5,13 +5,16 @@ from __future__ import annotations
 import html
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.columns import SPACE, let
 
+#: Texts that are decoded at once.
+DECODED_ROWS = 64
+
 BREAK_TAG = rf"(?i)<br{SPACE}*/?>"
 ANY_TAG = r"<[^>]+>"
 
@@ -41,11 +44,15 @@ def collapse_space(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, SPACE + "+", " "))
 
 
-@F.pandas_udf(T.StringType())
-def _unescape_nfkc(texts: pd.Series) -> pd.Series:
-    return texts.map(
-        lambda t: unicodedata.normalize("NFKC", html.unescape(t)), na_action="ignore"
-    )
+@F.arrow_udf(T.StringType())
+def _unescape_nfkc(texts: pa.Array) -> pa.Array:
+    """Few texts at a time are Python strings; the rest of the batch stays Arrow."""
+
+    def decoded(part: pa.Array) -> pa.Array:
+        return pa.array([t if t is None else unicodedata.normalize("NFKC", html.unescape(t)) for t in part.to_pylist()], pa.string())
+
+    parts = [decoded(texts.slice(start, DECODED_ROWS)) for start in range(0, len(texts), DECODED_ROWS)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
 
 def decode_entities(text: Column) -> Column:

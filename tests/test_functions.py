@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import re
+import tracemalloc
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,3 +154,15 @@ def test_truncate_and_pad(spark):
 
 def test_timestamp_text(spark):
     assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d", spark.range(1).select(C.timestamp_text()).first()[0])
+
+
+def test_decoding_holds_few_texts_as_strings():
+    """A batch of pages is decoded part by part; nulls stay."""
+    texts = pa.array([None] + [f"{i} &amp; ﬁ " + "x" * 5000 for i in range(4000)], pa.string())
+    tracemalloc.start()
+    found = X._unescape_nfkc.func(texts)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert found[0].as_py() is None and found[1].as_py()[:7] == "0 & fi " and len(found) == 4001
+    assert peak < 8 << 20
+    assert X._unescape_nfkc.func(texts.slice(0, 0)).type == pa.string()
