@@ -82,18 +82,20 @@ def with_contents(files: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready: list[tuple] = []
+        held = 0
 
         def made() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*ready), (pa.string(), pa.int64(), pa.binary()))], ["path", "length", "content"])
 
         for batch in batches:
             for path, length in zip(*(c.to_pylist() for c in batch.columns)):
-                if ready and sum(r[1] for r in ready) + length > BATCH_BYTES:
+                if ready and held + length > BATCH_BYTES:
                     yield made()
-                    ready = []
+                    ready, held = [], 0
                 system, inner, _ = located(path)
                 content = system.open_input_stream(inner, compression=None).read()
                 ready.append((path, len(content), content))
+                held += len(content)
         if ready:
             yield made()
 
@@ -110,14 +112,14 @@ def write_texts(rows: DataFrame, path: str, text: str, root: str) -> DataFrame:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[str] = set()
         for batch in batches:
-            names, sizes = batch.column(0).to_pylist(), []
-            for name, body in zip(names, batch.column(1).to_pylist()):
+            sizes = []
+            for name, body in zip(batch.column(0).to_pylist(), batch.column(1)):
                 system, inner, _ = located(f"{root.rstrip('/')}/{name}")
                 folder = inner.rsplit("/", 1)[0]
                 if folder not in known:
                     system.create_dir(folder, recursive=True)
                     known.add(folder)
-                data = (body or "").encode("utf-8")
+                data = (body.as_py() or "").encode("utf-8")  # one text at a time is a Python string
                 with system.open_output_stream(inner, compression=None) as file:
                     file.write(data)
                 sizes.append(len(data))
