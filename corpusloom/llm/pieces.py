@@ -341,10 +341,12 @@ def encode_documents(docs: DataFrame, model: PieceModel, text: str = "text", kee
         T.StructField("n_bytes_spelled", T.LongType()), T.StructField("exact", T.BooleanType()),
     ]
     shown = list(docs.columns if keep is None else keep)
+    # A text that is kept travels once.
+    read = text if text in shown else "__text"
 
     def work(piece: pa.RecordBatch) -> list[pa.Array]:
         model = sent.value
-        data, offsets = text_bytes(piece.column(piece.schema.get_field_index("__text")))
+        data, offsets = text_bytes(piece.column(piece.schema.get_field_index(read)))
         ids, count = model.encode(data, offsets)
         ends = np.concatenate([[0], np.cumsum(count)])
         spelled = np.concatenate([[0], np.cumsum(model.kinds[ids] == BYTE)])
@@ -361,8 +363,9 @@ def encode_documents(docs: DataFrame, model: PieceModel, text: str = "text", kee
             pa.array(spelled[ends[1:]] - spelled[ends[:-1]]), pa.array(same),
         ]
 
-    rows = docs.select(*[F.col(c) for c in shown], F.col(text).alias("__text"))
-    return add_columns(rows, "__text", fields, work, keep=shown, most=SLICE_BYTES)
+    extra = [] if read == text else [F.col(text).alias(read)]
+    rows = docs.select(*[F.col(c) for c in shown], *extra)
+    return add_columns(rows, read, fields, work, keep=shown, most=SLICE_BYTES)
 
 
 def decode_documents(rows: DataFrame, model: PieceModel, pieces: str = "pieces", text: str = "text") -> DataFrame:

@@ -323,3 +323,15 @@ def test_nothing_to_learn(spark):
     assert language.identify(data.empty(spark)).collect() == []
     docs = data.documents(spark).withColumn("lang", F.lit(None).cast("string"))
     assert {(r["lang_pred"], r["score"]) for r in language.identify(docs).collect()} == {("und", 0.0)}
+
+
+def test_a_text_that_is_kept_travels_to_the_encoder_once(spark):
+    docs = spark.createDataFrame([(1, "one two"), (2, None)], "doc_id int, text string")
+    model = pieces.read_model(spark, tokenizer_path("piece_bpe_32k.model"))
+    kept = pieces.encode_documents(docs, model)
+    sent = kept._jdf.queryExecution().optimizedPlan().children().head()
+    assert list(sent.schema().fieldNames()) == ["doc_id", "text"]
+    alone = pieces.encode_documents(docs, model, keep=["doc_id"])
+    rows = lambda df: [tuple(r) for r in df.select("doc_id", "pieces", "exact").orderBy("doc_id").collect()]
+    assert rows(kept) == rows(alone)
+    assert [r.text for r in kept.orderBy("doc_id").collect()] == ["one two", None]
