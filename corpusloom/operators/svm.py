@@ -27,8 +27,8 @@ TOLERANCE = 1e-4
 SAMPLE_ROWS = 4096
 
 #: Features, constant included, up to which the driver holds the curvature of a sample as a square over the features
-#: (512 MB), and rows of that sample, at most. With several rows a feature it is close to the curvature of all rows,
-#: so that the number of passes does not grow with them.
+#: (512 MB), and rows of that sample, at most. With several active rows a feature it is close to the curvature of
+#: all rows, so that few passes are needed.
 SQUARE_SIZE = 8192
 SQUARE_ROWS = 65536
 
