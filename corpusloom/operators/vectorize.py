@@ -120,31 +120,48 @@ def wide_names(vocab: Vocabulary, spark: SparkSession) -> list[str]:
     return names
 
 
-def dense_line(features: str, size: int, as_type: str) -> Column:
-    """All ``size`` values of a sparse row, zeros included, as one comma-separated text."""
+def dense_array(features: str, size: int, as_type: str) -> Column:
+    """All ``size`` values of a sparse row, zeros included, as one array."""
+
+    def zeros(n: Column) -> Column:
+        return F.array_repeat(F.lit(0).cast(as_type), n)
+
     indices, values = F.col(f"{features}.indices"), F.col(f"{features}.values")
     before = F.concat(F.array(F.lit(-1)), F.slice(indices, F.lit(1), F.greatest(F.size(indices) - 1, F.lit(0))))
     cells = F.transform(
         F.arrays_zip(indices.alias("i"), before.alias("b"), values.alias("v")),
-        lambda p: F.concat(F.repeat(F.lit("0,"), p["i"] - p["b"] - 1), p["v"].cast(as_type).cast("string")),
+        lambda p: F.concat(zeros(p["i"] - p["b"] - 1), F.array(p["v"].cast(as_type))),
     )
-    rest = F.repeat(F.lit(",0"), F.lit(size - 1) - F.element_at(indices, -1))
-    no_value = F.lit(",".join(["0"] * size))
-    return F.when(F.size(indices) > 0, F.concat(F.array_join(cells, ","), rest)).otherwise(no_value)
+    rest = zeros(F.lit(size - 1) - F.element_at(indices, -1))
+    return F.when(F.size(indices) > 0, F.concat(F.flatten(cells), rest)).otherwise(zeros(F.lit(size)))
 
 
 def wide_features(docs: DataFrame, features: str, vocab: Vocabulary, as_type: str = "bigint") -> DataFrame:
     """The original columns plus one column per feature, for export.
 
-    The row's values are written as one text and read back with the wide schema: thousands of
-    columns come from one expression, without a pivot.
+    The row's values are laid out as one array, and each column takes its place of it: thousands of
+    columns come from one expression, without a pivot and without text.
     """
     names = wide_names(vocab.require_features(), docs.sparkSession)
-    schema = ", ".join(f"`{name}` {as_type}" for name in names)
-    line = dense_line(features, len(names), as_type)
     kept = [c for c in docs.columns if c != features]
-    wide = docs.withColumn("_row", F.from_csv(line, schema, {"maxColumns": str(len(names) + 1)}))
-    return wide.select(*kept, "_row.*")
+    wide = docs.withColumn("_row", dense_array(features, len(names), as_type))
+    return wide.select(*kept, *[F.get("_row", F.lit(i)).alias(name) for i, name in enumerate(names)])
+
+
+def filled_cells(wide: DataFrame, key: str, names: list[str], value: str = "tf") -> DataFrame:
+    """``(key, ngram_column, value)``: the cells above zero of the columns ``names`` of a wide table.
+
+    Names are given to the few cells above zero only, so a zero costs a comparison and builds nothing.
+    """
+    labels = F.from_json(F.lit(json.dumps(names)), "array<string>")
+    places = F.sequence(F.lit(0), F.lit(len(names) - 1))
+
+    def above_zero(row: Column) -> Column:
+        filled = F.filter(places, lambda i: F.get(row, i) > 0)
+        return F.transform(filled, lambda i: F.struct(F.get(labels, i).alias("ngram_column"), F.get(row, i).alias(value)))
+
+    cells = let(F.array(*[F.col(name).cast("long") for name in names]), above_zero)
+    return wide.select(key, F.explode(cells).alias("c")).select(key, "c.*")
 
 
 def feature_names(columns: list[str], prefix: str = "bow_") -> list[str]:

@@ -54,14 +54,15 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def materialise(df: DataFrame, name: str, path: str | None = None, form: str = "parquet") -> DataFrame:
     """Write ``df`` as Parquet to ``path`` (a fresh shared path if none) and read it back.
 
-    The copy survives lost executors, and later jobs start from it instead of the inputs.
+    The copy survives lost executors, and later jobs start from it instead of the inputs. ``form`` may
+    name another format; ORC suits thousands of columns, since its writer collects rows before it encodes.
     """
     target = path or fresh_path(df.sparkSession, name)
-    df.write.parquet(target)
-    return df.sparkSession.read.schema(df.schema).parquet(target)
+    df.write.format(form).save(target)
+    return df.sparkSession.read.schema(df.schema).format(form).load(target)
 
 
 def clean_up(spark: SparkSession) -> None:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import classify, head, metrics, ranking, scoring, split, vectorize
 from corpusloom.operators.vocabulary import Vocabulary, fit_vocabulary, term_statistics
+from corpusloom.session import materialise
 
 # ---- split -----------------------------------------------------------------------------------
 
@@ -211,6 +212,25 @@ def test_wide_export(spark):
         vectorize.feature_names(["id"])
 
 
+def test_wide_export_places_values_without_text_and_reads_filled_cells_back(spark, tmp_path):
+    size = 300
+    vocab = Vocabulary([f"t{i:03d}" for i in range(size)], [2] * size, [3] * size, 5)
+    sparse = {1: {0: 2, 1: 1, 299: 4}, 2: {}, 3: {150: 1}, 4: {i: i + 1 for i in range(size)}, None: {298: 7}}
+    rows = [(k, (sorted(v), [float(v[i]) for i in sorted(v)])) for k, v in sparse.items()] + [(6, None)]
+    df = spark.createDataFrame(rows, "id int, bow struct<indices array<int>, values array<double>>")
+    wide = vectorize.wide_features(df, "bow", vocab)
+    names = vectorize.feature_names(wide.columns)
+    got = {r["id"]: tuple(r)[1:] for r in wide.collect()}
+    assert got == {k: tuple(sparse.get(k, {}).get(i, 0) for i in range(size)) for k in [*sparse, 6]}
+    assert {f.dataType.simpleString() for f in wide.schema.fields[1:]} == {"bigint"}
+    assert "from_csv" not in wide._jdf.queryExecution().optimizedPlan().toString()
+    stored = materialise(wide, "wide", str(tmp_path / "wide"), form="orc")
+    cells = sorted(((r["id"] or 0, r["ngram_column"], r["tf"]) for r in vectorize.filled_cells(stored, "id", names).collect()))
+    assert cells == sorted((k or 0, names[i], n) for k, v in sparse.items() for i, n in v.items())
+    odd = spark.createDataFrame([(1, None, -1, 3)], "id int, bow_a long, bow_b long, bow_c long")
+    assert [tuple(r) for r in vectorize.filled_cells(odd, "id", ["bow_a", "bow_b", "bow_c"]).collect()] == [(1, "bow_c", 3)]
+
+
 def test_vocabulary_round_trip(spark, corpus, tmp_path):
     _, _, vocab = corpus
     vocab.save(spark, str(tmp_path / "v"))
