@@ -9,6 +9,7 @@ import time
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.functions import tokens
 from corpusloom.functions.wordlists import DETACHMENTS
@@ -99,6 +100,29 @@ def test_grid_equals_plain_python(spark):
     assert len(got) == 2 * 2 * 4
 
 
+def test_grid_makes_the_features_once_and_weighs_long_rows_in_slices(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = [(i, i % 2, [rng.randrange(9) for _ in range(rng.randint(0, 7))]) for i in range(60)] + [(100, 1, None)]
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("struct<indices:array<int>,values:array<double>>")
+    def counted(words):
+        made.add(1)
+        seen = Counter(words or [])
+        return (sorted(seen), [float(seen[w]) for w in sorted(seen)]) if words is not None else None
+
+    df = spark.createDataFrame(rows, "id int, y int, w array<int>").repartition(2).withColumn("b", counted("w"))
+
+    def run():
+        return {(r.alpha, r.prior, r.fold): (r.TP, r.FP, r.TN, r.FN) for r in selection.grid_scores(df, "b", "y", "id", 9, (0.5, 2.0), folds=3).collect()}
+
+    whole = run()
+    assert made.value == len(rows)
+    assert all(sum(sum(whole[a, p, f]) for f in range(3)) == len(rows) for a in (0.5, 2.0) for p in selection.PRIORS)
+    monkeypatch.setattr(selection, "ENTRIES", 3)
+    assert run() == whole
+
+
 def test_grid_without_rows_or_with_one_class(spark):
     schema = "id int, y int, b struct<indices:array<int>,values:array<double>>"
     assert selection.grid_scores(spark.createDataFrame([], schema), "b", "y", "id", 3).count() == 0
