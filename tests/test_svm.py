@@ -80,3 +80,39 @@ def test_passes_do_not_grow_with_the_rows_beyond_the_small_sample(spark, monkeyp
     model = svm.fit_squared_hinge(docs, "pos", "f", size, 100.0, "balanced", tolerance=1e-8)
     assert model.gradient_norm <= 1e-8
     assert model.passes <= 40
+
+
+def test_square_of_all_rows_is_the_curvature_however_it_is_added_up(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    size, c = 600, 10.0
+    rows = []
+    for _ in range(2600):
+        indices = sorted(rng.choice(size, 6, replace=False).tolist())
+        rows.append((int(rng.random() < 0.3 + 0.4 * (indices[0] < 40)), (indices, rng.random(6).tolist())))
+    docs = spark.createDataFrame(rows, "pos int, f struct<indices: array<int>, values: array<double>>").repartition(2)
+    blocks = svm.packed(docs, "pos", "f")
+    points = [np.zeros(size + 1), rng.normal(size=size + 1), rng.normal(size=size + 1)]
+    for moved, merged in ((1 << 22, 1 << 22), (0, 0), (8000, 1 << 22)):
+        monkeypatch.setattr(svm, "MOVED", moved)
+        monkeypatch.setattr(svm, "MERGED", merged)
+        monkeypatch.setattr(svm, "CHUNK", 1100)
+        passes = svm.Passes(blocks, size + 1, c, (1.0, 2.0))
+        near, v = svm.SquareCurvature(passes), rng.normal(size=size + 1)
+        for w in points:
+            assert np.allclose(near.at(w)(passes.curvature(w, v)), v, atol=1e-3)
+
+
+def test_passes_stay_few_where_a_sample_would_differ_from_all_rows(spark, monkeypatch):
+    """With as many features as a sample has rows, its curvature takes many products a step; that of all rows takes few."""
+    rng = np.random.default_rng(7)
+    size = 300
+    rows = []
+    for _ in range(1200):
+        indices = sorted(rng.choice(size, 12, replace=False).tolist())
+        rows.append((int(rng.random() < 0.2 + 0.5 * (indices[0] < 8)), (indices, rng.random(12).tolist())))
+    docs = spark.createDataFrame(rows, "pos int, f struct<indices: array<int>, values: array<double>>")
+    monkeypatch.setattr(svm, "SAMPLE_ROWS", 300)
+    monkeypatch.setattr(svm, "SQUARE_ROWS", 700, raising=False)  # the rows of the sample before
+    model = svm.fit_squared_hinge(docs, "pos", "f", size, 100.0, "balanced", tolerance=1e-8)
+    assert model.gradient_norm <= 1e-8
+    assert model.passes <= 50
