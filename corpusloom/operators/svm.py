@@ -35,7 +35,10 @@ SQUARE_TASKS = 32
 #: Entries of rows that have become active or ceased to be, up to which they are sent to the driver; beyond, the tasks
 #: add up their part of the square, once a step has taken more than this many products with the Hessian.
 MOVED = 1 << 22
-STALE = 8
+STALE = 4
+
+#: Blocks that a task of a pass reads, where there are more tasks than cores: a task of one block costs more to start than to run.
+BLOCKS = 8
 
 #: Numbers that the driver adds up from the tasks of a pass; where there are more, they are added up by tasks first.
 MERGED = 1 << 22
@@ -439,7 +442,8 @@ def fit_squared_hinge(
     """
     spark = train.sparkSession
     blocks = packed(train, label, features)
-    n, positive = blocks.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_pos"), F.lit(0))).first()
+    n, positive, stored = blocks.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_pos"), F.lit(0)), F.count("n")).first()
+    blocks = blocks.coalesce(max(1, spark.sparkContext.defaultParallelism, -(-stored // BLOCKS)))
     costs = (1.0, 1.0)
     if class_weight == "balanced" and 0 < positive < n:
         costs = (n / (2 * (n - positive)), n / (2 * positive))
