@@ -138,11 +138,18 @@ def preprocess_text(
     use_stop_words: bool = True,
     lemmas: Mapping[str, str] | None = None,
     stop_words: Iterable[str] | None = None,
+    lightly_cleaned: bool = False,
 ) -> Column:
-    """Cleaned text as space-joined lemmas without punctuation and stop words."""
+    """Cleaned text as space-joined lemmas without punctuation and stop words.
+
+    ``lightly_cleaned`` text went through ``light_clean``, which is as far as ``heavy_clean`` but for the case.
+    """
     from corpusloom.functions.text import heavy_clean
 
-    tokens = words_and_symbols(heavy_clean(text, lowercase))
+    if lightly_cleaned:
+        tokens = words_and_symbols(F.lower(text) if lowercase else text)
+    else:
+        tokens = words_and_symbols(heavy_clean(text, lowercase))
     if use_lemmas:
         tokens = lemmatize(tokens, lemmas, lowered=lowercase)
     if use_stop_words:

@@ -38,7 +38,7 @@ MOVED = 1 << 22
 STALE = 4
 
 #: Blocks that a task of a pass reads, where there are more tasks than cores: a task of one block costs more to start than to run.
-BLOCKS = 8
+BLOCKS = 16
 
 #: Numbers that the driver adds up from the tasks of a pass; where there are more, they are added up by tasks first.
 MERGED = 1 << 22

@@ -22,8 +22,9 @@ NEEDS = {
     "score_external": ("clean_light",), "top_bow": ("bow",), "top_tfidf": ("split", "tfidf"),
 }
 
+#: ``clean`` goes on from the texts of ``clean_light`` where both run.
 STEPS = (
-    "check_files", "convert", "check_table", "check_hashes", "split", "clean", "clean_light",
+    "check_files", "convert", "check_table", "check_hashes", "split", "clean_light", "clean",
     "bow", "tfidf", "train_mnb", "train_svm", "score_external", "top_bow", "top_tfidf", "test",
 )
 
@@ -95,7 +96,10 @@ class ModelRun:
 
     def clean(self) -> None:
         for name, df in self.tables.items():
-            text = df.withColumn("Review_preprocessed", preprocess_text(F.col("Review")))
+            if name in self.light:
+                text = self.light[name].withColumn("Review_preprocessed", preprocess_text(F.col("Review_preprocessed_BERT"), lightly_cleaned=True))
+            else:
+                text = df.withColumn("Review_preprocessed", preprocess_text(F.col("Review")))
             self.cleaned[name] = self._store(text, f"{name}_clean", "Review_preprocessed", feature_tokens(F.col("Review_preprocessed")).alias("tokens"))
 
     def clean_light(self) -> None:

@@ -131,3 +131,20 @@ def test_materialised_tables_go_to_the_shared_folder(spark, tmp_path):
     assert kept.count() == 3
     with pytest.raises(Exception):
         spark.read.parquet(temporary.inputFiles()[0]).count()
+
+
+def test_texts_are_cleaned_once_for_both_forms(spark, monkeypatch):
+    from corpusloom.functions import text
+
+    texts = ["The &amp;lt;b&amp;gt; Cats\u00a0RAN <br/> fast", "\ufb01ne &amp; GOOD, isn't it?", None, "  ", "\u0130stanbul <i>ROCKS</i>"]
+    rows = spark.createDataFrame([(i % 2, f"POS{i}", t) for i, t in enumerate(texts)], "POS int, Unique_ID string, Review string")
+    alone = runner.ModelRun(rows, rows, "Unique_ID", runner.Settings())
+    alone.run(["clean"])
+    calls, heavy = [], text.heavy_clean
+    monkeypatch.setattr(text, "heavy_clean", lambda *a, **k: calls.append(a) or heavy(*a, **k))
+    both = runner.ModelRun(rows, rows, "Unique_ID", runner.Settings())
+    both.run(["clean", "clean_light"])
+    assert len(calls) == 2  # one a table
+    for name in ("train", "test"):
+        ordered = lambda run: run.cleaned[name].orderBy("Unique_ID").collect()
+        assert ordered(both) == ordered(alone) and both.light[name].count() == len(texts)
