@@ -378,6 +378,8 @@ class SquareCurvature:
                 self.solve = Factored(self.square).solve
                 return self.solve
             except np.linalg.LinAlgError:  # by the rounding of its products; what is near enough steers the search as well
+                if shift > 1 or not np.isfinite(self.square.diagonal()).all():
+                    raise
                 shift = max(1e-7, 10 * shift)
 
 

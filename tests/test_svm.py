@@ -116,3 +116,12 @@ def test_passes_stay_few_where_a_sample_would_differ_from_all_rows(spark, monkey
     model = svm.fit_squared_hinge(docs, "pos", "f", size, 100.0, "balanced", tolerance=1e-8)
     assert model.gradient_norm <= 1e-8
     assert model.passes <= 50
+
+
+def test_a_square_that_no_rounding_explains_raises(spark):
+    rows = [(int(i % 3 == 0), ([i % 5], [1.0])) for i in range(40)]
+    docs = spark.createDataFrame(rows, "pos int, f struct<indices: array<int>, values: array<double>>")
+    near = svm.SquareCurvature(svm.Passes(svm.packed(docs, "pos", "f"), 6, 1.0, (1.0, 1.0)))
+    near.triangle.stripes[0][0, 0] = -1e9
+    with pytest.raises(np.linalg.LinAlgError):
+        near.at(np.zeros(6))
